@@ -1,0 +1,35 @@
+"""Join planning helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) that is broadcast on a checked count. A station network has a
+# few thousand stations; a million narrow rows is still far below executor memory.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a limited scan), so the check itself stays
+    cheap even when the side turns out to be large.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast for ``df`` only when its row count is proven small.
+
+    Otherwise the side is returned as is and Spark plans a shuffle join; adaptive
+    execution may still switch to a broadcast once the real shuffle size is known,
+    and splits skewed partitions of the large side.
+    """
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``big.join(small)`` with a size-checked broadcast of ``small``."""
+    return big.join(maybe_broadcast(small, max_rows), on, how)
