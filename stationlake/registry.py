@@ -55,3 +55,357 @@ FROM readings GROUP BY name, station_id""")
 @register("e01_station_availability", E01_SQL)
 def q_e01(spark, sf):
     return stats.station_availability(readings(spark, sf))
+
+
+# ---- batch analyses -------------------------------------------------------------------
+_E02 = f"""
+SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS nb_mesures,
+       {r2('avg(num_bikes_available)')} AS bikes_avg, avg(num_docks_available) AS docks_avg,
+       {r2('avg(occupation_rate)')} AS occupation_avg,
+       {cnt("station_status = 'empty'")} AS stations_empty,
+       {cnt("station_status = 'full'")} AS stations_full
+FROM readings GROUP BY 1"""
+
+
+@register("e02_hourly_patterns", with_readings(_E02))
+def q_e02(spark, sf):
+    return stats.hourly_patterns(readings(spark, sf))
+
+
+@register("e03_peak_hours", with_readings(f"SELECT * FROM ({_E02}) h ORDER BY occupation_avg DESC, hour LIMIT 5"))
+def q_e03(spark, sf):
+    return stats.peak_hours(stats.hourly_patterns(readings(spark, sf)))
+
+
+@register("e04_period_stats", with_readings(f"""
+SELECT time_period, count(*) AS nb_mesures, {r2('avg(num_bikes_available)')} AS bikes_avg,
+       {r2('avg(occupation_rate)')} AS occupation_avg,
+       {cnt("station_status = 'empty'")} AS empty_count, {cnt("station_status = 'full'")} AS full_count
+FROM readings GROUP BY time_period"""))
+def q_e04(spark, sf):
+    return stats.period_stats(readings(spark, sf))
+
+
+@register("e05_bike_types_overall", with_readings("""
+SELECT avg(mechanical_bikes) AS mechanical_avg, avg(electric_bikes) AS electric_avg,
+       CAST(sum(mechanical_bikes) AS BIGINT) AS mechanical_total,
+       CAST(sum(electric_bikes) AS BIGINT) AS electric_total
+FROM readings WHERE mechanical_bikes IS NOT NULL AND electric_bikes IS NOT NULL"""))
+def q_e05(spark, sf):
+    return stats.bike_types_overall(readings(spark, sf))
+
+
+_BT = f"""
+, bt AS (
+  SELECT name, {r2('avg(mechanical_bikes)')} AS mechanical_avg, {r2('avg(electric_bikes)')} AS electric_avg
+  FROM readings WHERE mechanical_bikes IS NOT NULL AND electric_bikes IS NOT NULL GROUP BY name)
+"""
+_E06 = f"""SELECT name, mechanical_avg, electric_avg,
+  {r2('electric_avg / NULLIF(mechanical_avg + electric_avg, 0) * 100')} AS ratio_electric FROM bt"""
+_E07 = f"""SELECT name, mechanical_avg, electric_avg, mechanical_avg + electric_avg AS total_avg,
+  {r2('electric_avg / NULLIF(mechanical_avg + electric_avg, 0) * 100')} AS ratio_electric FROM bt"""
+
+
+@register("e06_bike_types_by_name", with_readings(_BT + _E06))
+def q_e06(spark, sf):
+    return stats.bike_types_by_name(readings(spark, sf))
+
+
+@register("e06_top10_electric", with_readings(_BT + f"SELECT * FROM ({_E06}) x ORDER BY electric_avg DESC NULLS LAST, name LIMIT 10"))
+def q_e06_top(spark, sf):
+    return stats.top_by(stats.bike_types_by_name(readings(spark, sf)), "electric_avg", 10, "name")
+
+
+@register("e07_bike_types_notebook", with_readings(_BT + _E07))
+def q_e07(spark, sf):
+    return stats.bike_types_by_name(readings(spark, sf), with_total=True)
+
+
+@register("e07_top10_ratio", with_readings(_BT + f"SELECT * FROM ({_E07}) x ORDER BY ratio_electric DESC NULLS LAST, name LIMIT 10"))
+def q_e07_top(spark, sf):
+    return stats.top_by(stats.bike_types_by_name(readings(spark, sf), with_total=True), "ratio_electric", 10, "name")
+
+
+_PB = f"""
+, pb0 AS (
+  SELECT name, station_id, count(*) AS total_observations,
+         {cnt("station_status = 'empty'")} AS empty_count, {cnt("station_status = 'full'")} AS full_count
+  FROM readings GROUP BY name, station_id),
+pb AS (
+  SELECT *, {r2('empty_count / total_observations * 100')} AS empty_rate,
+            {r2('full_count / total_observations * 100')} AS full_rate FROM pb0)
+"""
+
+
+@register("e08_problematic_stations", with_readings(_PB + "SELECT *, empty_rate + full_rate AS problem_rate FROM pb"))
+def q_e08(spark, sf):
+    return stats.problematic_stations(readings(spark, sf))
+
+
+@register("e08_top20_problem", with_readings(_PB + """
+SELECT name, station_id, empty_rate, full_rate, empty_rate + full_rate AS problem_rate FROM pb
+ORDER BY problem_rate DESC, station_id, name LIMIT 20"""))
+def q_e08_problem(spark, sf):
+    return stats.problem_rankings(stats.problematic_stations(readings(spark, sf)))["problem"]
+
+
+@register("e08_top10_empty", with_readings(_PB + "SELECT name, station_id, empty_rate FROM pb ORDER BY empty_rate DESC, station_id, name LIMIT 10"))
+def q_e08_empty(spark, sf):
+    return stats.problem_rankings(stats.problematic_stations(readings(spark, sf)))["empty"]
+
+
+@register("e08_top10_full", with_readings(_PB + "SELECT name, station_id, full_rate FROM pb ORDER BY full_rate DESC, station_id, name LIMIT 10"))
+def q_e08_full(spark, sf):
+    return stats.problem_rankings(stats.problematic_stations(readings(spark, sf)))["full"]
+
+
+@register("e09_global_metrics", with_readings(f"""
+SELECT count(*) AS total_observations, count(DISTINCT station_id) AS total_stations,
+       {r2('avg(num_bikes_available)')} AS avg_bikes_available,
+       {r2('avg(num_docks_available)')} AS avg_docks_available,
+       {r2('avg(occupation_rate)')} AS avg_occupation_rate,
+       CAST(sum(capacity) AS BIGINT) AS total_system_capacity
+FROM readings"""))
+def q_e09(spark, sf):
+    return stats.global_metrics(readings(spark, sf))
+
+
+@register("e09_top_occupied", E01_SQL + " ORDER BY occupation_avg DESC, station_id, name LIMIT 10")
+def q_e09_top(spark, sf):
+    return stats.top_by(stats.station_availability(readings(spark, sf)), "occupation_avg", 10, "station_id", "name")
+
+
+@register("e16_distinct_stations", with_readings("SELECT count(DISTINCT station_id) AS total_stations FROM readings"))
+def q_e16(spark, sf):
+    return stats.distinct_stations(readings(spark, sf))
+
+
+@register("e01_group_count", with_readings("SELECT count(*) AS n_groups FROM (SELECT DISTINCT name, station_id FROM readings) g"))
+def q_e01_count(spark, sf):
+    return stats.station_count(stats.station_availability(readings(spark, sf)))
+
+
+# ---- aggregating requests and hit lists ----------------------------------------------
+from stationlake.operators import panels, predicates as P, search  # noqa: E402
+
+LATEST = "(SELECT max(ts) FROM readings)"
+
+
+def since(hours: int) -> str:
+    return f"ts >= {LATEST} - INTERVAL {hours} HOUR"
+
+
+@register("e10_by_status", with_readings(f"""
+SELECT station_status, count(*) AS doc_count, {r2('avg(num_bikes_available)')} AS avg_bikes,
+       {r2('avg(occupation_rate)')} AS avg_occupation
+FROM readings WHERE station_status IS NOT NULL GROUP BY station_status
+ORDER BY doc_count DESC, station_status LIMIT 10"""))
+def q_e10(spark, sf):
+    return search.by_status(readings(spark, sf))
+
+
+@register("e11_by_district_24h", with_readings(f"""
+SELECT arrondissement, count(*) AS doc_count, {r2('avg(num_bikes_available)')} AS avg_bikes,
+       {r2('avg(num_docks_available)')} AS avg_docks, {r2('avg(occupation_rate)')} AS avg_occupation,
+       CAST(sum(capacity) AS BIGINT) AS total_capacity
+FROM readings WHERE {since(24)} AND arrondissement IS NOT NULL GROUP BY arrondissement
+ORDER BY avg_bikes DESC NULLS LAST, arrondissement LIMIT 20"""))
+def q_e11(spark, sf):
+    return search.by_district(readings(spark, sf), since="24h", as_of="latest")
+
+
+@register("e12_hourly_histogram_24h", with_readings(f"""
+, f AS (SELECT * FROM readings WHERE {since(24)} AND ts <= {LATEST}),
+a AS (
+  SELECT date_trunc('hour', ts) AS bucket, count(*) AS doc_count,
+         {r2('avg(num_bikes_available)')} AS avg_bikes, {r2('avg(electric_bikes)')} AS avg_electric,
+         {r2('avg(mechanical_bikes)')} AS avg_mechanical, count(DISTINCT station_id) AS total_stations
+  FROM f GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 HOUR)) AS bucket FROM a)
+SELECT s.bucket,
+       strftime(timezone('Europe/Paris', s.bucket AT TIME ZONE 'UTC'), '%Y-%m-%d %H:%M:%S') AS bucket_local,
+       COALESCE(a.doc_count, 0) AS doc_count, a.avg_bikes, a.avg_electric, a.avg_mechanical,
+       COALESCE(a.total_stations, 0) AS total_stations
+FROM s LEFT JOIN a ON s.bucket = a.bucket"""))
+def q_e12(spark, sf):
+    return search.hourly_histogram(readings(spark, sf), since="24h", as_of="latest")
+
+
+@register("e13_by_period_7d", with_readings(f"""
+SELECT time_period, count(*) AS doc_count, {r2('avg(occupation_rate)')} AS avg_occupation,
+       {r2('avg(num_bikes_available)')} AS avg_bikes,
+       {cnt("station_status = 'empty'")} AS stations_empty, {cnt("station_status = 'full'")} AS stations_full
+FROM readings WHERE ts >= {LATEST} - INTERVAL 7 DAY AND time_period IS NOT NULL GROUP BY time_period
+ORDER BY doc_count DESC, time_period LIMIT 10"""))
+def q_e13(spark, sf):
+    return search.by_period(readings(spark, sf), since="7d", as_of="latest")
+
+
+@register("e14_top_names_occupation_24h", with_readings(f"""
+, f AS (SELECT * FROM readings WHERE {since(24)} AND name IS NOT NULL),
+a AS (SELECT name, count(*) AS doc_count, {r2('avg(occupation_rate)')} AS avg_occupation,
+             {r2('avg(num_bikes_available)')} AS avg_bikes FROM f GROUP BY name),
+s AS (SELECT name, latitude AS sample_lat, longitude AS sample_lon, capacity AS sample_capacity,
+             row_number() OVER (PARTITION BY name ORDER BY ts DESC, station_id DESC) AS rn FROM f)
+SELECT a.name, doc_count, avg_occupation, avg_bikes, sample_lat, sample_lon, sample_capacity
+FROM a JOIN s ON a.name = s.name AND s.rn = 1
+ORDER BY avg_occupation DESC NULLS LAST, a.name LIMIT 20"""))
+def q_e14(spark, sf):
+    return search.top_names_by_occupation(readings(spark, sf), since="24h", as_of="latest")
+
+
+@register("e15_cardinality_exact", with_readings("SELECT count(DISTINCT station_id) AS total_stations FROM readings"))
+def q_e15(spark, sf):
+    return search.station_cardinality(readings(spark, sf), approx=False)
+
+
+@register("t03_recent_empty_24h", with_readings(f"""
+SELECT name, station_id, latitude, longitude, num_bikes_available, num_docks_available, ts
+FROM readings WHERE station_status = 'empty' AND {since(24)}
+ORDER BY ts DESC, station_id LIMIT 50"""))
+def q_t03(spark, sf):
+    return search.recent_with_status(readings(spark, sf), "empty", since="24h", as_of="latest")
+
+
+GEO_LAT, GEO_LON, GEO_R = 48.8584, 2.2945, 500.0
+
+
+def haversine_sql(lat: str, lon: str, lat0: float, lon0: float) -> str:
+    deg = P.DEG
+    la0 = lat0 * deg
+    s1 = f"sin(({lat} * {deg!r} - {la0!r}) / 2)"
+    s2 = f"sin(({lon} * {deg!r} - {lon0 * deg!r}) / 2)"
+    import math
+    a = f"({s1} * {s1} + {math.cos(la0)!r} * cos({lat} * {deg!r}) * {s2} * {s2})"
+    return f"({2 * P.EARTH_RADIUS_M!r} * asin(least(1.0, sqrt({a}))))"
+
+
+_DIST = haversine_sql("latitude", "longitude", GEO_LAT, GEO_LON)
+
+
+@register("t04_near_500m_24h", with_readings(f"""
+, f AS (SELECT *, {_DIST} AS distance FROM readings WHERE {since(24)})
+SELECT name, station_id, latitude, longitude, num_bikes_available, electric_bikes, mechanical_bikes,
+       {r2('distance')} AS distance_m, ts
+FROM f WHERE distance <= {GEO_R} ORDER BY distance, ts DESC, station_id LIMIT 20"""))
+def q_t04(spark, sf):
+    return search.near(readings(spark, sf), GEO_LAT, GEO_LON, GEO_R, since="24h", as_of="latest")
+
+
+@register("p06_geo_radius_stations", with_readings(f"""
+SELECT DISTINCT station_id, name, {r2(_DIST)} AS distance_m FROM readings WHERE {_DIST} <= {GEO_R}"""))
+def q_p06(spark, sf):
+    from pyspark.sql import functions as F
+    df = readings(spark, sf)
+    return (df.filter(P.geo_within("latitude", "longitude", GEO_LAT, GEO_LON, GEO_R))
+            .select("station_id", "name",
+                    F.round(P.haversine_m("latitude", "longitude", GEO_LAT, GEO_LON), 2).alias("distance_m"))
+            .distinct())
+
+
+@register("p01_types_known", with_readings("""
+SELECT station_id, ts, mechanical_bikes, electric_bikes FROM readings
+WHERE mechanical_bikes IS NOT NULL AND electric_bikes IS NOT NULL"""))
+def q_p01(spark, sf):
+    return (readings(spark, sf).filter(P.not_null_all("mechanical_bikes", "electric_bikes"))
+            .select("station_id", "ts", "mechanical_bikes", "electric_bikes"))
+
+
+@register("p07_regex_district", with_readings(r"""
+SELECT DISTINCT name, arrondissement FROM readings WHERE regexp_matches(name, '\d{5}')"""))
+def q_p07(spark, sf):
+    return (readings(spark, sf).filter(P.regex("name", r"\d{5}"))
+            .select("name", "arrondissement").distinct())
+
+
+@register("p08_dashboard_filter_7d", with_readings(f"""
+SELECT station_id, name, ts, station_status, time_period FROM readings
+WHERE ts >= {LATEST} - INTERVAL 7 DAY AND ts <= {LATEST}
+  AND station_status IN ('empty', 'full') AND time_period = 'morning'"""))
+def q_p08(spark, sf):
+    df = P.filter_readings(readings(spark, sf), since="7d", as_of="latest",
+                           status=["empty", "full"], period="morning")
+    return df.select("station_id", "name", "ts", "station_status", "time_period")
+
+
+@register("p02_term_full", with_readings("""
+SELECT station_id, ts, num_docks_available FROM readings WHERE station_status = 'full'"""))
+def q_p02(spark, sf):
+    return (readings(spark, sf).filter(P.term("station_status", "full"))
+            .select("station_id", "ts", "num_docks_available"))
+
+
+# ---- dashboard panels -------------------------------------------------------------------
+@register("e17_line_bikes_hourly", with_readings(f"""
+SELECT date_trunc('hour', ts) AS bucket, {r2('avg(num_bikes_available)')} AS avg_bikes, count(*) AS doc_count
+FROM readings GROUP BY 1"""))
+def q_e17(spark, sf):
+    return panels.hourly_line(readings(spark, sf))
+
+
+@register("e18_metric_occupancy", with_readings(f"""
+SELECT {r2('avg(occupation_rate)')} AS avg_occupation, count(*) AS doc_count FROM readings"""))
+def q_e18(spark, sf):
+    return panels.overall_occupancy(readings(spark, sf))
+
+
+_E19 = f"SELECT name, {r2('avg(num_bikes_available)')} AS avg_bikes, count(*) AS doc_count FROM readings GROUP BY name"
+
+
+@register("e19_bar_most_bikes", with_readings(f"SELECT * FROM ({_E19}) x ORDER BY avg_bikes DESC, name LIMIT 15"))
+def q_e19(spark, sf):
+    return panels.names_by_bikes(readings(spark, sf))
+
+
+@register("e19_bar_least_bikes", with_readings(f"SELECT * FROM ({_E19}) x ORDER BY avg_bikes ASC, name LIMIT 15"))
+def q_e19_least(spark, sf):
+    return panels.names_by_bikes(readings(spark, sf), least=True)
+
+
+_PERIODS = ["morning", "lunch", "afternoon", "evening", "night"]
+
+
+@register("e20_heatmap_hour_period", with_readings(
+    "SELECT date_trunc('hour', ts) AS bucket, "
+    + ", ".join(f"{r2(f'avg(CASE WHEN time_period = {chr(39)}{p}{chr(39)} THEN occupation_rate END)')} AS {p}"
+                for p in _PERIODS)
+    + " FROM readings GROUP BY 1"))
+def q_e20(spark, sf):
+    return panels.occupancy_heatmap(readings(spark, sf))
+
+
+@register("e21_problem_table", with_readings("""
+SELECT name, station_id, num_bikes_available, num_docks_available, station_status, ts
+FROM readings WHERE station_status IN ('empty', 'full')"""))
+def q_e21(spark, sf):
+    return panels.problem_table(readings(spark, sf))
+
+
+_G01 = """
+, g AS (SELECT *, row_number() OVER (PARTITION BY station_id
+          ORDER BY ts DESC, last_reported DESC, num_bikes_available DESC) AS rn FROM readings)
+"""
+
+
+@register("g01_latest_per_station", with_readings(_G01 + """
+SELECT station_id, name, latitude, longitude, occupation_rate, num_bikes_available, num_docks_available,
+       station_status, is_installed, is_renting, ts FROM g WHERE rn = 1"""))
+def q_g01(spark, sf):
+    return panels.latest_per_station(readings(spark, sf))
+
+
+@register("e22_key_figures", with_readings(_G01 + f"""
+SELECT CAST(sum(num_bikes_available) AS BIGINT) AS bikes_available, {r2('avg(occupation_rate)')} AS avg_occupation,
+       {cnt('is_installed AND is_renting')} AS active_stations, count(*) AS stations
+FROM g WHERE rn = 1"""))
+def q_e22(spark, sf):
+    return panels.key_figures(panels.latest_per_station(readings(spark, sf)))
+
+
+@register("e23_cycle_totals", with_readings("""
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS collected_at,
+       CAST(sum(num_bikes_available) AS BIGINT) AS total_bikes,
+       CAST(sum(num_docks_available) AS BIGINT) AS total_docks, count(*) AS stations
+FROM readings GROUP BY 1"""))
+def q_e23(spark, sf):
+    return panels.cycle_totals(readings(spark, sf))
