@@ -409,3 +409,152 @@ SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS collected_at,
 FROM readings GROUP BY 1"""))
 def q_e23(spark, sf):
     return panels.cycle_totals(readings(spark, sf))
+
+
+# ---- text search ----------------------------------------------------------------------
+from stationlake.functions.text import analyze_text, stop_words  # noqa: E402
+from stationlake.operators import text_search as TS  # noqa: E402
+from stationlake.oracle import r  # noqa: E402
+
+
+def _sql_list(items) -> str:
+    return "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in items) + "]"
+
+
+_TOKENS = rf"""
+, ns AS (SELECT name, count(*) AS n_docs FROM readings WHERE name IS NOT NULL GROUP BY name),
+tk AS (SELECT name, n_docs,
+         list_filter(string_split_regex(lower(name), '[^\p{{L}}\p{{N}}]+'),
+                     lambda t: t <> '' AND NOT list_contains({_sql_list(stop_words())}, t)) AS toks
+       FROM ns)
+"""
+_HIT = "r.name, r.station_id, r.ts, r.num_bikes_available, r.station_status"
+
+
+def _bm25_sql(query: str) -> tuple[str, str]:
+    """(extra CTEs, score expression over tk/st/dq) for a BM25 score of ``query``."""
+    q = analyze_text(query)
+    ctes = [", st AS (SELECT CAST(sum(n_docs) AS DOUBLE) AS n, sum(n_docs * len(toks)) / sum(n_docs) AS avgdl FROM tk)"]
+    parts = ["CAST(0.0 AS DOUBLE)"]
+    for i, t in enumerate(dict.fromkeys(q)):
+        ctes.append(f", dq{i} AS (SELECT COALESCE(sum(n_docs), 0) AS df FROM tk WHERE list_contains(toks, '{t}'))")
+    for t in q:
+        i = list(dict.fromkeys(q)).index(t)
+        tf = f"CAST(len(list_filter(toks, lambda x: x = '{t}')) AS DOUBLE)"
+        idf = f"ln(1 + (st.n - dq{i}.df + 0.5) / (dq{i}.df + 0.5))"
+        norm = "CAST(1.2 AS DOUBLE) * (1 - CAST(0.75 AS DOUBLE) + CAST(0.75 AS DOUBLE) * len(toks) / st.avgdl)"
+        parts.append(f"({idf} * {tf} / ({tf} + {norm}))")
+    froms = "tk, st" + "".join(f", dq{i}" for i in range(len(dict.fromkeys(q))))
+    return "\n".join(ctes), r(" + ".join(parts), 6), froms
+
+
+def _match_sql(query: str, operator: str, size: int) -> str:
+    q = analyze_text(query)
+    ctes, score, froms = _bm25_sql(query)
+    joiner = " AND " if operator == "and" else " OR "
+    cond = joiner.join(f"list_contains(toks, '{t}')" for t in q) or "false"
+    return with_readings(_TOKENS + ctes + f"""
+, m AS (SELECT name, {score} AS score FROM {froms} WHERE {cond})
+SELECT {_HIT}, m.score FROM readings r JOIN m ON r.name = m.name
+ORDER BY m.score DESC, r.ts DESC, r.station_id LIMIT {size}""")
+
+
+@register("d02_match_and_gizmo", _match_sql("gizmo", "and", 10))
+def q_d02(spark, sf):
+    return TS.match_terms(readings(spark, sf), "gizmo", "and", 10)
+
+
+@register("d02_match_and_two_terms", _match_sql("Red Gizmo", "and", 10))
+def q_d02b(spark, sf):
+    return TS.match_terms(readings(spark, sf), "Red Gizmo", "and", 10)
+
+
+def _scores_sql(query: str) -> str:
+    q = analyze_text(query)
+    ctes, score, froms = _bm25_sql(query)
+    cond = " OR ".join(f"list_contains(toks, '{t}')" for t in q)
+    return with_readings(_TOKENS + ctes + f"\nSELECT name, n_docs, {score} AS score FROM {froms} WHERE {cond}")
+
+
+@register("d08_bm25_name_scores", _scores_sql("red gizmo"))
+def q_d08(spark, sf):
+    return TS.name_scores(readings(spark, sf), "red gizmo")
+
+
+@register("d03_phrase_prefix_red_wid", with_readings(_TOKENS + f"""
+, m AS (SELECT name, len(toks) AS n_tokens FROM tk
+        WHERE len(list_filter(range(1, len(toks)), lambda i: toks[i] = 'red' AND starts_with(toks[i + 1], 'wid'))) > 0)
+SELECT {_HIT} FROM readings r JOIN m ON r.name = m.name
+ORDER BY m.n_tokens, r.ts DESC, r.station_id LIMIT 20"""))
+def q_d03(spark, sf):
+    return TS.phrase_prefix(readings(spark, sf), "red wid", 20)
+
+
+@register("d03_phrase_prefix_single", with_readings(_TOKENS + f"""
+, m AS (SELECT name, len(toks) AS n_tokens FROM tk WHERE len(list_filter(toks, lambda t: starts_with(t, 'bo'))) > 0)
+SELECT {_HIT} FROM readings r JOIN m ON r.name = m.name
+ORDER BY m.n_tokens, r.ts DESC, r.station_id LIMIT 20"""))
+def q_d03b(spark, sf):
+    return TS.phrase_prefix(readings(spark, sf), "Bo", 20)
+
+
+def _grams_py(tokens, lo=3, hi=4):
+    out = []
+    for t in tokens:
+        for n in range(lo, hi + 1):
+            out += [t[i:i + n] for i in range(len(t) - n + 1)]
+    return list(dict.fromkeys(out))
+
+
+_GRAMS_SQL = ("list_distinct(flatten(list_transform(toks, lambda t: flatten(["
+              "CASE WHEN length(t) >= 3 THEN list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)) ELSE [] END, "
+              "CASE WHEN length(t) >= 4 THEN list_transform(range(1, length(t) - 2), lambda i: substring(t, i, 4)) ELSE [] END"
+              "]))))")
+
+
+@register("d04_ngram_gadget", with_readings(_TOKENS + f"""
+, m AS (SELECT name, len(list_intersect({_GRAMS_SQL}, {_sql_list(_grams_py(analyze_text('gadget')))})) AS shared FROM tk)
+SELECT {_HIT}, m.shared FROM readings r JOIN m ON r.name = m.name WHERE m.shared > 0
+ORDER BY m.shared DESC, r.ts DESC, r.station_id LIMIT 20"""))
+def q_d04(spark, sf):
+    return TS.ngram_match(readings(spark, sf), "gadget", 20)
+
+
+def _fuzzy_sql(value: str, size: int = 10, max_expansions: int = 50) -> str:
+    v = value.lower()
+    k = TS.auto_fuzziness(len(v))
+    return with_readings(_TOKENS + f"""
+, vocab AS (SELECT DISTINCT unnest(toks) AS term FROM tk),
+ex AS (SELECT term, CAST(damerau_levenshtein(term, '{v}') AS INTEGER) AS distance FROM vocab
+       WHERE abs(length(term) - {len(v)}) <= {k} AND left(term, 1) = '{v[:1]}'
+         AND damerau_levenshtein(term, '{v}') <= {k}
+       ORDER BY distance, term LIMIT {max_expansions}),
+nt AS (SELECT name, unnest(list_distinct(toks)) AS term FROM tk),
+m AS (SELECT nt.name, min(ex.distance) AS distance FROM nt JOIN ex ON nt.term = ex.term GROUP BY nt.name)
+SELECT {_HIT}, m.distance FROM readings r JOIN m ON r.name = m.name
+ORDER BY m.distance, r.ts DESC, r.station_id LIMIT {size}""")
+
+
+@register("d05_fuzzy_gizom", _fuzzy_sql("gizom"))
+def q_d05(spark, sf):
+    return TS.fuzzy_match(readings(spark, sf), "gizom")
+
+
+@register("d05_fuzzy_gizmmo", _fuzzy_sql("Gizmmo"))
+def q_d05b(spark, sf):
+    return TS.fuzzy_match(readings(spark, sf), "Gizmmo")
+
+
+@register("d06_autocomplete_sm", with_readings("""
+SELECT DISTINCT name FROM readings WHERE starts_with(lower(name), 'sm') ORDER BY name LIMIT 10"""))
+def q_d06(spark, sf):
+    return TS.autocomplete(readings(spark, sf), "Sm", 10)
+
+
+@register("d07_edge_ngram_gi_wid", with_readings(_TOKENS + f"""
+, m AS (SELECT name, len(list_filter({_sql_list(analyze_text('gi wid'))},
+          lambda q: length(q) BETWEEN 2 AND 20 AND len(list_filter(toks, lambda t: starts_with(t, q))) > 0)) AS matched FROM tk)
+SELECT {_HIT}, m.matched FROM readings r JOIN m ON r.name = m.name WHERE m.matched > 0
+ORDER BY m.matched DESC, r.ts DESC, r.station_id LIMIT 10"""))
+def q_d07(spark, sf):
+    return TS.edge_ngram_match(readings(spark, sf), "gi wid", 10)
