@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from stationlake.functions.columns import count_when, rate_pct, round2
 
-_EMPTY = F.col("station_status") == "empty"
-_FULL = F.col("station_status") == "full"
+
+def _is(status: str):
+    return F.col("station_status") == status
 
 
 def station_availability(df: DataFrame) -> DataFrame:
@@ -26,8 +27,8 @@ def station_availability(df: DataFrame) -> DataFrame:
                  F.max("num_bikes_available").alias("bikes_max"),
                  F.avg("num_docks_available").alias("docks_avg"),
                  F.avg("occupation_rate").alias("occupation_avg"),
-                 count_when(_EMPTY).alias("times_empty"),
-                 count_when(_FULL).alias("times_full"),
+                 count_when(_is("empty")).alias("times_empty"),
+                 count_when(_is("full")).alias("times_full"),
                  F.avg("mechanical_bikes").alias("mechanical_avg"),
                  F.avg("electric_bikes").alias("electric_avg"))
             .withColumn("bikes_avg", round2("bikes_avg"))
@@ -47,8 +48,8 @@ def hourly_patterns(df: DataFrame) -> DataFrame:
                  F.avg("num_bikes_available").alias("bikes_avg"),
                  F.avg("num_docks_available").alias("docks_avg"),
                  F.avg("occupation_rate").alias("occupation_avg"),
-                 count_when(_EMPTY).alias("stations_empty"),
-                 count_when(_FULL).alias("stations_full"))
+                 count_when(_is("empty")).alias("stations_empty"),
+                 count_when(_is("full")).alias("stations_full"))
             .withColumn("bikes_avg", round2("bikes_avg"))
             .withColumn("occupation_avg", round2("occupation_avg"))
             .orderBy("hour"))
@@ -65,8 +66,8 @@ def period_stats(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("nb_mesures"),
                  F.avg("num_bikes_available").alias("bikes_avg"),
                  F.avg("occupation_rate").alias("occupation_avg"),
-                 count_when(_EMPTY).alias("empty_count"),
-                 count_when(_FULL).alias("full_count"))
+                 count_when(_is("empty")).alias("empty_count"),
+                 count_when(_is("full")).alias("full_count"))
             .withColumn("bikes_avg", round2("bikes_avg"))
             .withColumn("occupation_avg", round2("occupation_avg")))
 
@@ -112,8 +113,8 @@ def problematic_stations(df: DataFrame) -> DataFrame:
     """Empty / full shares per (name, station); problem rate = sum of the rounded shares."""
     return (df.groupBy("name", "station_id")
             .agg(F.count(F.lit(1)).alias("total_observations"),
-                 count_when(_EMPTY).alias("empty_count"),
-                 count_when(_FULL).alias("full_count"))
+                 count_when(_is("empty")).alias("empty_count"),
+                 count_when(_is("full")).alias("full_count"))
             .withColumn("empty_rate", F.round(F.col("empty_count") / F.col("total_observations") * 100, 2))
             .withColumn("full_rate", F.round(F.col("full_count") / F.col("total_observations") * 100, 2))
             .withColumn("problem_rate", F.col("empty_rate") + F.col("full_rate")))
