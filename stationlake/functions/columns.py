@@ -101,14 +101,12 @@ def truthy(col, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.lower(F.trim(c)).isin(words)
     if isinstance(dtype, T.VariantType):
-        kind = F.schema_of_variant(c)
-        as_text = F.try_variant_get(c, "$", "string")
-        numeric = kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$")
-        return (F.when(c.isNull() | (kind == "VOID"), F.lit(None).cast(T.BooleanType()))
-                .when(kind == "BOOLEAN", F.try_variant_get(c, "$", "boolean"))
-                .when(numeric, F.try_variant_get(c, "$", "double") != 0)
-                .when(kind == "STRING", F.lower(F.trim(as_text)).isin(words))
-                .otherwise(F.lit(False)))
+        # A variant cast to boolean follows SQL casts: numbers are true when non-zero,
+        # text is true when trimmed and lower-cased it is one of TRUE_WORDS (Spark's
+        # string-to-boolean rule accepts exactly those as true); any other text, and
+        # arrays or objects, give NULL there and false here. JSON null stays NULL.
+        return (F.when(c.isNull() | F.is_variant_null(c), F.lit(None).cast(T.BooleanType()))
+                .otherwise(F.coalesce(F.try_variant_get(c, "$", "boolean"), F.lit(False))))
     raise TypeError(f"cannot coerce {dtype} to boolean")
 
 
@@ -129,11 +127,6 @@ def event_time(collected_at="collected_at", fallback=None) -> Column:
     return F.coalesce(parsed, fallback if fallback is not None else F.current_timestamp())
 
 
-def event_time_failed(collected_at="collected_at") -> Column:
-    """Flag replacing the date filter's failure tag."""
-    return F.try_to_timestamp(_c(collected_at)).isNull()
-
-
 def geo_point(lat="latitude", lon="longitude") -> Column:
     """struct(lat, lon) when both are present."""
     la, lo = _c(lat), _c(lon)

@@ -92,3 +92,12 @@ def analyze_text(text: str) -> list[str]:
 
 def stop_words() -> list[str]:
     return list(_STOP)
+
+
+def ngrams_text(tokens: list[str], lo: int = NGRAM_MIN, hi: int = NGRAM_MAX) -> list[str]:
+    """Python twin of :func:`ngrams` for query literals (distinct, first-seen order)."""
+    out = []
+    for t in tokens:
+        for n in range(lo, hi + 1):
+            out += [t[i:i + n] for i in range(len(t) - n + 1)]
+    return list(dict.fromkeys(out))

@@ -69,13 +69,14 @@ def enrich(readings: DataFrame, ingest_time: Column | None = None) -> DataFrame:
     """
     schema = readings.schema
     flags = {n: C.truthy(n, schema[n].dataType).alias(n) for n in FLAG_COLUMNS if n in readings.columns}
-    ts = C.event_time("collected_at", ingest_time)
-    out = readings.select(
+    parsed = readings.withColumn("_parsed_ts", F.try_to_timestamp("collected_at"))
+    fallback = ingest_time if ingest_time is not None else F.current_timestamp()
+    out = parsed.select(
         *[flags.get(c, F.col(c)) for c in readings.columns if c not in DROPPED_FIELDS],
         F.when(F.col("last_reported").isNotNull(), C.unix_to_timestamp("last_reported"))
          .alias("last_reported_date"),
-        ts.alias("ts"),
-        C.event_time_failed("collected_at").alias("ts_parse_failed"),
+        F.coalesce(F.col("_parsed_ts"), fallback).alias("ts"),
+        F.col("_parsed_ts").isNull().alias("ts_parse_failed"),
         C.geo_point("latitude", "longitude").alias("location"),
         C.station_status().alias("station_status"),
         C.pipeline_constants()[0],

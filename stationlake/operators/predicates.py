@@ -78,6 +78,12 @@ def resolve_as_of(df: DataFrame, as_of=None, ts: str = "ts") -> Column:
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, str) and as_of == "latest":
+        if "dt" in df.columns:
+            # the newest event lies in the newest day: read only that day's times
+            # (on a day-partitioned store the max-day subquery reads partition values,
+            # and the day filter prunes every other folder at run time)
+            last_day = df.select(F.max("dt")).scalar()
+            return df.filter(F.col("dt") == last_day).select(F.max(ts)).scalar()
         return df.select(F.max(ts)).scalar()
     return F.lit(as_of).cast("timestamp")
 

@@ -1,25 +1,25 @@
 """Text search on station names (D02-D08). Hits are readings, as in the reference.
 
-Plan shape, shared by every operator here:
-
-1. ``names``: ``groupBy(name).count()`` over the readings: one scan of the name
-   column, partially aggregated, so the shuffle carries one row per distinct name
-   per task however skewed the names are;
-2. analysis and matching on those distinct names only (column expressions; the
-   fuzzy distance is a vectorised UDF on candidate vocabulary terms);
-3. the matching names (one row each, with a score) join back to the readings
-   behind a row-count-checked broadcast, then a top-k picks the hits.
+Plan shape: one scan of the readings with a cheap substring pre-filter (every query
+token is a substring of the lower-cased name), the name analyzer on the survivors,
+the exact match test, a per-row score, and a top-k. No join and no shuffle of the
+readings. Corpus statistics for BM25 come from one partially aggregated
+``groupBy(name)`` exposed as a single scalar subquery.
+
+The query string is analysed on the driver with the same rules as the name
+analyzer (:func:`stationlake.functions.text.analyze_text`); it is a literal.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.functions.distance import osa
-from stationlake.functions.text import EDGE_MAX, EDGE_MIN, NGRAM_MAX, NGRAM_MIN, analyze, \
-    analyze_positions, edge_ngrams, ngrams
-from stationlake.plans.joins import maybe_broadcast
+from stationlake.functions.text import (EDGE_MAX, EDGE_MIN, NGRAM_MAX, NGRAM_MIN, analyze, analyze_positions,
+                                        analyze_text, ngrams, ngrams_text)
 
 # BM25 parameters (the search engine's defaults).
 K1, B = 1.2, 0.75
@@ -33,59 +33,85 @@ def name_counts(df: DataFrame, field: str = "name") -> DataFrame:
             .withColumn("toks", analyze("name")))
 
 
-def _hits(df: DataFrame, matched: DataFrame, order: list[Column], size: int,
-          extra: tuple[str, ...] = ()) -> DataFrame:
-    """Join matching names back to the readings and keep the ``size`` best hits."""
-    joined = df.select(*HIT_COLUMNS).join(maybe_broadcast(matched), "name")
-    return joined.orderBy(*order).limit(size).select(*HIT_COLUMNS, *extra)
+def _rows(df: DataFrame, pre: Column) -> DataFrame:
+    """Hit columns of the readings passing the substring pre-filter, with their tokens."""
+    return df.select(*HIT_COLUMNS).filter(pre).withColumn("_toks", analyze("name"))
+
+
+def _contains_all(terms) -> Column:
+    return reduce(lambda a, b: a & b, [F.lower("name").contains(t) for t in dict.fromkeys(terms)])
+
+
+def _contains_any(terms) -> Column:
+    return reduce(lambda a, b: a | b, [F.lower("name").contains(t) for t in dict.fromkeys(terms)])
+
+
+def _equals(t: str):
+    return lambda x: x == F.lit(t)
+
+
+def _starts_with(t: str):
+    return lambda x: x.startswith(t)
 
 
-def bm25(names: DataFrame, query_terms: Column) -> DataFrame:
-    """BM25 score per name for the query terms (k1 1.2, b 0.75) -> (name, score).
+def _top(hits: DataFrame, order: list[Column], size: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    return hits.orderBy(*order).limit(size).select(*HIT_COLUMNS, *extra)
 
-    Corpus statistics (readings count, average length, per-term document frequency)
-    are corpus-wide; they come from the distinct-name table weighted by readings.
-    The per-term frequency table has at most one row per query term, so it is
-    broadcast; the totals enter as scalar subqueries. Scores keep 6 decimals.
+
+def _nothing(df: DataFrame, extra: dict[str, str]) -> DataFrame:
+    return df.select(*HIT_COLUMNS, *[F.lit(None).cast(t).alias(c) for c, t in extra.items()]).limit(0)
+
+
+def corpus_stats(df: DataFrame, terms: list[str]) -> Column:
+    """One scalar subquery: readings with a name (``n``), total tokens (``len``), and per
+    distinct query term the readings whose name holds it (``df0``, ``df1``, ...)."""
+    names = name_counts(df)
+    cols = [F.sum("n_docs").cast("double").alias("n"), F.sum(F.col("n_docs") * F.size("toks")).alias("len")]
+    for i, t in enumerate(dict.fromkeys(terms)):
+        cols.append(F.sum(F.when(F.array_contains("toks", F.lit(t)), F.col("n_docs")).otherwise(0)).alias(f"df{i}"))
+    return names.agg(F.struct(*cols).alias("s")).scalar()
+
+
+def bm25_score(toks: Column, terms: list[str], stats: Column) -> Column:
+    """BM25 (k1 1.2, b 0.75, idf ln(1 + (N - df + 0.5) / (df + 0.5))), 6 decimals.
+
+    Summed over the query terms in query order (a repeated term counts again).
     """
-    stats = names.agg(F.sum("n_docs").alias("n"), F.sum(F.col("n_docs") * F.size("toks")).alias("len"))
-    n_total = stats.select(F.col("n").cast("double")).scalar()
-    avgdl = stats.select(F.col("len") / F.col("n")).scalar()
-    term_df = (names.select("n_docs", F.explode(F.array_distinct("toks")).alias("term"))
-               .filter(F.array_contains(query_terms, F.col("term")))
-               .groupBy("term").agg(F.sum("n_docs").alias("df")))
-    per_term = (names.select("name", "toks", F.explode(query_terms).alias("term"))
-                .join(F.broadcast(term_df), "term", "left"))
-    tf = F.size(F.filter("toks", lambda x: x == F.col("term"))).cast("double")
-    idf = F.log(1 + (n_total - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.lit(K1) * (1 - F.lit(B) + F.lit(B) * F.size("toks").cast("double") / avgdl)
-    term_score = F.coalesce(idf * tf / (tf + norm), F.lit(0.0))
-    return per_term.groupBy("name").agg(F.round(F.sum(term_score), 6).alias("score"))
+    distinct = list(dict.fromkeys(terms))
+    avgdl = stats["len"] / stats["n"]
+    norm = F.lit(K1) * (1 - F.lit(B) + F.lit(B) * F.size(toks).cast("double") / avgdl)
+    score = F.lit(0.0)
+    for t in terms:
+        dfreq = stats[f"df{distinct.index(t)}"]
+        idf = F.log(1 + (stats["n"] - dfreq + 0.5) / (dfreq + 0.5))
+        tf = F.size(F.filter(toks, _equals(t))).cast("double")
+        score = score + idf * tf / (tf + norm)
+    return F.round(score, 6)
 
 
 def match_terms(df: DataFrame, query: str, operator: str = "and", size: int = 10) -> DataFrame:
     """D02 (``operator='and'``: every query term in the name) / match with ``'or'``.
 
-    Ordered by BM25 score (6 decimals), then newest reading, then station id.
-    A query with no terms left after analysis matches nothing.
+    Ordered by BM25 score, then newest reading, then station id. A query with no
+    terms left after analysis matches nothing.
     """
-    names = name_counts(df)
-    q = analyze(F.lit(query))
-    if operator == "and":
-        cond = F.forall(q, lambda t: F.array_contains("toks", t))
-    else:
-        cond = F.exists(q, lambda t: F.array_contains("toks", t))
-    matched = names.filter((F.size(q) > 0) & cond).select("name").join(bm25(names, q), "name")
-    return _hits(df, matched, [F.col("score").desc(), F.col("ts").desc(), "station_id"], size,
-                 ("score",))
+    q = analyze_text(query)
+    if not q:
+        return _nothing(df, {"score": "double"})
+    both = operator == "and"
+    rows = _rows(df, _contains_all(q) if both else _contains_any(q))
+    tests = [F.array_contains("_toks", F.lit(t)) for t in dict.fromkeys(q)]
+    hits = rows.filter(reduce(lambda a, b: (a & b) if both else (a | b), tests))
+    hits = hits.withColumn("score", bm25_score(F.col("_toks"), q, corpus_stats(df, q)))
+    return _top(hits, [F.col("score").desc(), F.col("ts").desc(), "station_id"], size, ("score",))
 
 
 def name_scores(df: DataFrame, query: str) -> DataFrame:
-    """D08 table: BM25 score per name matching any query term (6 decimals)."""
+    """D08 table: BM25 score per name matching any query term."""
+    q = analyze_text(query)
     names = name_counts(df)
-    q = analyze(F.lit(query))
-    return (names.filter(F.exists(q, lambda t: F.array_contains("toks", t)))
-            .select("name", "n_docs").join(bm25(names, q), "name"))
+    hit = reduce(lambda a, b: a | b, [F.array_contains("toks", F.lit(t)) for t in dict.fromkeys(q)])
+    return names.filter(hit).select("name", "n_docs", bm25_score(F.col("toks"), q, corpus_stats(df, q)).alias("score"))
 
 
 def phrase_prefix(df: DataFrame, query: str, size: int = 20) -> DataFrame:
@@ -95,37 +121,41 @@ def phrase_prefix(df: DataFrame, query: str, size: int = 20) -> DataFrame:
     must start a token at the next position. Every expansion counts (no cap).
     Ordered by fewest name tokens, newest reading, station id.
     """
-    names = name_counts(df).withColumn("tp", analyze_positions("name"))
-    q = analyze(F.lit(query))
-    n = F.size(q)
-
-    def at(i: Column, k) -> Column:
-        return F.element_at("tp", i + k)
+    q = analyze_text(query)
+    if not q:
+        return _nothing(df, {})
+    n = len(q)
+    rows = _rows(df, _contains_all(q)).withColumn("_tp", analyze_positions("name"))
 
     def phrase_at(i: Column) -> Column:
-        head = F.forall(F.sequence(F.lit(0), n - 1), lambda k: F.when(
-            k == n - 1, at(i, k)["term"].startswith(F.element_at(q, n)))
-            .otherwise(at(i, k)["term"] == F.element_at(q, k + 1))
-            & (at(i, k)["pos"] == at(i, F.lit(0))["pos"] + k))
-        return head
+        first = F.element_at("_tp", i)
+        conds = []
+        for k, t in enumerate(q):
+            tok = F.element_at("_tp", i + k)
+            same = tok["term"].startswith(t) if k == n - 1 else (tok["term"] == F.lit(t))
+            conds.append(same & (tok["pos"] == first["pos"] + k))
+        return reduce(lambda a, b: a & b, conds)
 
-    found = F.when((n > 0) & (F.size("tp") >= n),
-                   F.exists(F.sequence(F.lit(1), F.size("tp") - n + 1), phrase_at)).otherwise(F.lit(False))
-    matched = names.filter(found).select("name", F.size("toks").alias("n_tokens"))
-    return _hits(df, matched, [F.col("n_tokens").asc(), F.col("ts").desc(), "station_id"], size)
+    found = (F.size("_tp") >= n) & F.exists(F.sequence(F.lit(1), F.greatest(F.size("_tp") - n + 1, F.lit(1))),
+                                             phrase_at)
+    hits = rows.filter(found).withColumn("_n", F.size("_toks"))
+    return _top(hits, [F.col("_n").asc(), F.col("ts").desc(), "station_id"], size)
 
 
 def ngram_match(df: DataFrame, query: str, size: int = 20, lo: int = NGRAM_MIN,
                 hi: int = NGRAM_MAX) -> DataFrame:
-    """Names sharing any character n-gram with the query.
+    """Names sharing any character n-gram (lo..hi) with the query.
 
     Ordered by number of shared grams, then newest reading, then station id.
     """
-    qg = ngrams(analyze(F.lit(query)), lo, hi)
-    names = name_counts(df).withColumn("shared", F.size(F.array_intersect(ngrams("toks", lo, hi), qg)))
-    matched = names.filter(F.col("shared") > 0).select("name", "shared")
-    return _hits(df, matched, [F.col("shared").desc(), F.col("ts").desc(), "station_id"], size,
-                 ("shared",))
+    qg = ngrams_text(analyze_text(query), lo, hi)
+    if not qg:
+        return _nothing(df, {"shared": "int"})
+    grams = F.array(*[F.lit(g) for g in qg])
+    hits = (_rows(df, _contains_any(qg))
+            .withColumn("shared", F.size(F.array_intersect(ngrams(F.col("_toks"), lo, hi), grams)))
+            .filter(F.col("shared") > 0))
+    return _top(hits, [F.col("shared").desc(), F.col("ts").desc(), "station_id"], size, ("shared",))
 
 
 def auto_fuzziness(length: int) -> int:
@@ -143,7 +173,7 @@ def fuzzy_terms(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int
     """
     v = value.lower()
     k = auto_fuzziness(len(v)) if fuzziness == "AUTO" else int(fuzziness)
-    vocab = (name_counts(df).select(F.explode(F.array_distinct("toks")).alias("term")).distinct())
+    vocab = name_counts(df).select(F.explode("toks").alias("term")).distinct()
     cand = vocab.filter((F.abs(F.length("term") - len(v)) <= k)
                         & (F.left("term", F.lit(prefix_length)) == v[:prefix_length]))
     scored = cand.withColumn("distance", osa(F.col("term"), F.lit(v))).filter(F.col("distance") <= k)
@@ -154,14 +184,20 @@ def fuzzy_match(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int
                 max_expansions: int = 50, size: int = 10) -> DataFrame:
     """Readings whose name holds a term within the allowed edits.
 
+    The expansion list has at most ``max_expansions`` rows, so it is brought to the
+    driver and enters the row scan as a literal map term -> distance.
     Ordered by smallest distance, newest reading, station id.
     """
-    terms = fuzzy_terms(df, value, fuzziness, prefix_length, max_expansions)
-    names = name_counts(df).select("name", F.explode(F.array_distinct("toks")).alias("term"))
-    matched = (names.join(F.broadcast(terms), "term")   # at most max_expansions rows
-               .groupBy("name").agg(F.min("distance").alias("distance")))
-    return _hits(df, matched, [F.col("distance").asc(), F.col("ts").desc(), "station_id"], size,
-                 ("distance",))
+    expansions = fuzzy_terms(df, value, fuzziness, prefix_length, max_expansions).collect()
+    if not expansions:
+        return _nothing(df, {"distance": "int"})
+    terms = [r.term for r in expansions]
+    dist = F.create_map(*[x for r in expansions for x in (F.lit(r.term), F.lit(r.distance))])
+    hits = (_rows(df, _contains_any(terms))
+            .withColumn("_m", F.array_intersect("_toks", F.array(*[F.lit(t) for t in terms])))
+            .filter(F.size("_m") > 0)
+            .withColumn("distance", F.array_min(F.transform("_m", lambda t: dist[t])).cast("int")))
+    return _top(hits, [F.col("distance").asc(), F.col("ts").desc(), "station_id"], size, ("distance",))
 
 
 def autocomplete(df: DataFrame, prefix: str, size: int = 10) -> DataFrame:
@@ -173,13 +209,17 @@ def autocomplete(df: DataFrame, prefix: str, size: int = 10) -> DataFrame:
 
 def edge_ngram_match(df: DataFrame, query: str, size: int = 10, lo: int = EDGE_MIN,
                      hi: int = EDGE_MAX) -> DataFrame:
-    """Names with a token that starts with a query term (edge n-grams lo..hi).
+    """Names with a token whose edge n-grams (lo..hi) hold a query term.
 
-    Ordered by number of matched query terms, newest reading, station id.
+    A term of length lo..hi is an edge n-gram of a token exactly when the token
+    starts with it, which is what is tested. Ordered by number of matched query
+    terms, newest reading, station id.
     """
-    q = analyze(F.lit(query))
-    names = name_counts(df).withColumn("edges", edge_ngrams("toks", lo, hi))
-    matched_n = F.size(F.filter(q, lambda t: F.array_contains("edges", t)))
-    matched = names.select("name", matched_n.alias("matched")).filter(F.col("matched") > 0)
-    return _hits(df, matched, [F.col("matched").desc(), F.col("ts").desc(), "station_id"], size,
-                 ("matched",))
+    q = [t for t in analyze_text(query) if lo <= len(t) <= hi]
+    if not q:
+        return _nothing(df, {"matched": "int"})
+    per_term = [F.exists("_toks", _starts_with(t)).cast("int") for t in q]
+    hits = (_rows(df, _contains_any(q))
+            .withColumn("matched", reduce(lambda a, b: a + b, per_term))
+            .filter(F.col("matched") > 0))
+    return _top(hits, [F.col("matched").desc(), F.col("ts").desc(), "station_id"], size, ("matched",))

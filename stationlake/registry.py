@@ -558,3 +558,56 @@ SELECT {_HIT}, m.matched FROM readings r JOIN m ON r.name = m.name WHERE m.match
 ORDER BY m.matched DESC, r.ts DESC, r.station_id LIMIT 10"""))
 def q_d07(spark, sf):
     return TS.edge_ngram_match(readings(spark, sf), "gi wid", 10)
+
+
+# ---- store upkeep, preview, build-side dedup ------------------------------------------
+from stationlake.operators.join import dedup_last  # noqa: E402
+from stationlake.sources import store as ST  # noqa: E402
+from stationlake.sources.fixtures import station_info  # noqa: E402
+
+
+@register("a10_preview_first5", with_readings("""
+SELECT name, num_bikes_available, num_docks_available, occupation_rate, station_status
+FROM readings ORDER BY ts, station_id LIMIT 5"""))
+def q_a10(spark, sf):
+    return ST.preview(readings(spark, sf))
+
+
+@register("a10_count", with_readings("SELECT count(*) AS total_records FROM readings"))
+def q_a10_count(spark, sf):
+    from pyspark.sql import functions as F
+    return readings(spark, sf).agg(F.count(F.lit(1)).alias("total_records"))
+
+
+@register("a13_day_counts", with_readings("SELECT dt, count(*) AS doc_count FROM readings GROUP BY dt"))
+def q_a13(spark, sf):
+    return ST.day_counts(readings(spark, sf))
+
+
+@register("a14_retained_7d_by_day", with_readings("""
+SELECT dt, count(*) AS doc_count FROM readings
+WHERE dt >= (SELECT max(dt) FROM readings) - INTERVAL 7 DAY GROUP BY dt"""))
+def q_a14(spark, sf):
+    return ST.day_counts(ST.retain(readings(spark, sf), 7, as_of="latest"))
+
+
+@register("a14_expired_7d", with_readings("""
+SELECT DISTINCT dt FROM readings WHERE dt < (SELECT max(dt) FROM readings) - INTERVAL 7 DAY"""))
+def q_a14_expired(spark, sf):
+    return ST.expired_days(readings(spark, sf), 7, as_of="latest")
+
+
+@register("b02_dedup_last_by_name", """
+WITH info AS (
+  SELECT p_name || CASE WHEN p_partkey % 3 = 0 THEN ' ' || CAST(75001 + p_partkey % 20 AS VARCHAR) ELSE '' END AS name,
+         CAST(p_partkey AS VARCHAR) AS station_id, p_partkey AS pos,
+         CAST(CASE WHEN p_partkey % 19 = 18 THEN 0 ELSE p_size END AS BIGINT) AS capacity
+  FROM part WHERE p_partkey % 17 <> 16),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY pos DESC) AS rn FROM info)
+SELECT name, station_id, capacity FROM ranked WHERE rn = 1""")
+def q_b02(spark, sf):
+    """B02 over info entries keyed by name: the entry with the greatest key wins."""
+    from pyspark.sql import functions as F
+    info = station_info(spark, sf).select("name", "station_id", "capacity",
+                                          F.col("station_id").cast("bigint").alias("pos"))
+    return dedup_last(info, "name", "pos").select("name", "station_id", "capacity")

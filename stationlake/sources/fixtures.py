@@ -55,12 +55,15 @@ def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("user_id"), "p_size")
-    j = ev.join(maybe_broadcast(parts), "user_id")
+    j = (ev.join(maybe_broadcast(parts), "user_id")
+         .select("user_id", "event_id", "event_type", "p_size",
+                 F.date_format("ts", ISO_FORMAT).alias("collected_at"),
+                 (F.floor("value") % (F.col("p_size") + 1)).alias("b"),
+                 F.get_json_object("props", "$.k").cast("bigint").alias("k")))
     err = F.col("event_type") == "error"
-    b = F.floor("value") % (F.col("p_size") + 1)
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    e = k % (b + 1)
-    collected = F.date_format("ts", ISO_FORMAT)
+    b = F.col("b")
+    e = F.col("k") % (b + 1)
+    collected = F.col("collected_at")
     ok = F.when(err, F.lit("0")).otherwise(F.lit("1"))
     types = F.array(
         F.struct((b - e).alias("mechanical"), F.lit(None).cast("bigint").alias("ebike")),
