@@ -149,6 +149,17 @@ def rate_pct(part, total) -> Column:
     return F.round(F.try_divide(_c(part), _c(total)) * 100, 2)
 
 
+def mean_2dp(col="occupation_rate") -> Column:
+    """Exact mean of a column whose values carry at most 2 decimals (a share in percent).
+
+    The values are summed as whole hundredths (integers), then divided once, so the
+    result does not depend on the order in which partitions are combined; a plain
+    floating-point average can flip the 2nd decimal when the mean sits on a tie.
+    """
+    c = _c(col)
+    return F.sum(F.round(c * 100).cast(T.LongType())) / (F.count(c) * F.lit(100.0))
+
+
 def count_when(cond: Column) -> Column:
     """Number of rows where ``cond`` holds (0 on no rows)."""
     return F.sum(F.when(cond, 1).otherwise(0)).cast(T.LongType())

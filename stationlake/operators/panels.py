@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import PERIOD_NAMES, count_when, round2
+from stationlake.functions.columns import PERIOD_NAMES, count_when, mean_2dp, round2
 from stationlake.operators.predicates import terms
 
 
@@ -18,7 +18,7 @@ def hourly_line(df: DataFrame, metric: str = "num_bikes_available", alias: str =
 
 def overall_occupancy(df: DataFrame) -> DataFrame:
     """The global average occupancy, one row."""
-    return df.agg(round2(F.avg("occupation_rate")).alias("avg_occupation"),
+    return df.agg(round2(mean_2dp("occupation_rate")).alias("avg_occupation"),
                   F.count(F.lit(1)).alias("doc_count"))
 
 
@@ -38,7 +38,7 @@ def occupancy_heatmap(df: DataFrame) -> DataFrame:
     """
     return (df.groupBy(F.date_trunc("hour", "ts").alias("bucket"))
             .pivot("time_period", PERIOD_NAMES)
-            .agg(round2(F.avg("occupation_rate")))
+            .agg(round2(mean_2dp("occupation_rate")))
             .orderBy("bucket"))
 
 
@@ -67,7 +67,7 @@ def key_figures(latest: DataFrame) -> DataFrame:
     "Active" (installed and renting) is this library's definition.
     """
     return latest.agg(F.sum("num_bikes_available").alias("bikes_available"),
-                      round2(F.avg("occupation_rate")).alias("avg_occupation"),
+                      round2(mean_2dp("occupation_rate")).alias("avg_occupation"),
                       count_when(F.col("is_installed") & F.col("is_renting")).alias("active_stations"),
                       F.count(F.lit(1)).alias("stations"))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import count_when
+from stationlake.functions.columns import count_when, mean_2dp
 from stationlake.operators.predicates import (geo_within, haversine_m, resolve_as_of, term,
                                               time_range)
 
@@ -19,7 +19,7 @@ DEFAULT_TZ = "Europe/Paris"
 
 
 def _avg(col: str, alias: str, decimals: int | None = 2) -> Column:
-    a = F.avg(col)
+    a = mean_2dp(col) if col == "occupation_rate" else F.avg(col)
     return (F.round(a, decimals) if decimals is not None else a).alias(alias)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import count_when, rate_pct, round2
+from stationlake.functions.columns import count_when, mean_2dp, rate_pct, round2
 
 
 def _is(status: str):
@@ -26,7 +26,7 @@ def station_availability(df: DataFrame) -> DataFrame:
                  F.min("num_bikes_available").alias("bikes_min"),
                  F.max("num_bikes_available").alias("bikes_max"),
                  F.avg("num_docks_available").alias("docks_avg"),
-                 F.avg("occupation_rate").alias("occupation_avg"),
+                 mean_2dp("occupation_rate").alias("occupation_avg"),
                  count_when(_is("empty")).alias("times_empty"),
                  count_when(_is("full")).alias("times_full"),
                  F.avg("mechanical_bikes").alias("mechanical_avg"),
@@ -47,7 +47,7 @@ def hourly_patterns(df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("nb_mesures"),
                  F.avg("num_bikes_available").alias("bikes_avg"),
                  F.avg("num_docks_available").alias("docks_avg"),
-                 F.avg("occupation_rate").alias("occupation_avg"),
+                 mean_2dp("occupation_rate").alias("occupation_avg"),
                  count_when(_is("empty")).alias("stations_empty"),
                  count_when(_is("full")).alias("stations_full"))
             .withColumn("bikes_avg", round2("bikes_avg"))
@@ -65,7 +65,7 @@ def period_stats(df: DataFrame) -> DataFrame:
     return (df.groupBy("time_period")
             .agg(F.count(F.lit(1)).alias("nb_mesures"),
                  F.avg("num_bikes_available").alias("bikes_avg"),
-                 F.avg("occupation_rate").alias("occupation_avg"),
+                 mean_2dp("occupation_rate").alias("occupation_avg"),
                  count_when(_is("empty")).alias("empty_count"),
                  count_when(_is("full")).alias("full_count"))
             .withColumn("bikes_avg", round2("bikes_avg"))
@@ -143,7 +143,7 @@ def global_metrics(df: DataFrame) -> DataFrame:
         F.count_distinct("station_id").alias("total_stations"),
         round2(F.avg("num_bikes_available")).alias("avg_bikes_available"),
         round2(F.avg("num_docks_available")).alias("avg_docks_available"),
-        round2(F.avg("occupation_rate")).alias("avg_occupation_rate"),
+        round2(mean_2dp("occupation_rate")).alias("avg_occupation_rate"),
         F.sum("capacity").alias("total_system_capacity"))
 
 

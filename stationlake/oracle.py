@@ -17,6 +17,12 @@ def r(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
+def avg2dp(expr: str = "occupation_rate") -> str:
+    """Exact mean of a 2-decimal column: whole hundredths summed, one division."""
+    return (f"CAST(sum(CAST(round(({expr}) * 100) AS BIGINT)) AS DOUBLE) "
+            f"/ (CAST(count({expr}) AS DOUBLE) * 100.0)")
+
+
 def cnt(cond: str) -> str:
     return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
 

@@ -1,0 +1,19 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that arrives in fewer splits than there are task slots.
+
+    A small input stored as one unsplittable file (one Parquet row group) is read by
+    a single task; row-heavy work after it would then use one core. Only in that case
+    the rows are redistributed round-robin; an input that already has enough splits
+    (any large input) is returned untouched, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationlake.oracle import cnt, r2, with_readings
+from stationlake.oracle import avg2dp, cnt, r2, with_readings
 from stationlake.operators import stats
 from stationlake.sources.fixtures import readings
 
@@ -45,7 +45,7 @@ SELECT name, station_id, count(*) AS nb_mesures,
        {r2('avg(num_bikes_available)')} AS bikes_avg,
        min(num_bikes_available) AS bikes_min, max(num_bikes_available) AS bikes_max,
        avg(num_docks_available) AS docks_avg,
-       {r2('avg(occupation_rate)')} AS occupation_avg,
+       {r2(avg2dp())} AS occupation_avg,
        {cnt("station_status = 'empty'")} AS times_empty,
        {cnt("station_status = 'full'")} AS times_full,
        avg(mechanical_bikes) AS mechanical_avg, avg(electric_bikes) AS electric_avg
@@ -61,7 +61,7 @@ def q_e01(spark, sf):
 _E02 = f"""
 SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS nb_mesures,
        {r2('avg(num_bikes_available)')} AS bikes_avg, avg(num_docks_available) AS docks_avg,
-       {r2('avg(occupation_rate)')} AS occupation_avg,
+       {r2(avg2dp())} AS occupation_avg,
        {cnt("station_status = 'empty'")} AS stations_empty,
        {cnt("station_status = 'full'")} AS stations_full
 FROM readings GROUP BY 1"""
@@ -79,7 +79,7 @@ def q_e03(spark, sf):
 
 @register("e04_period_stats", with_readings(f"""
 SELECT time_period, count(*) AS nb_mesures, {r2('avg(num_bikes_available)')} AS bikes_avg,
-       {r2('avg(occupation_rate)')} AS occupation_avg,
+       {r2(avg2dp())} AS occupation_avg,
        {cnt("station_status = 'empty'")} AS empty_count, {cnt("station_status = 'full'")} AS full_count
 FROM readings GROUP BY time_period"""))
 def q_e04(spark, sf):
@@ -163,7 +163,7 @@ def q_e08_full(spark, sf):
 SELECT count(*) AS total_observations, count(DISTINCT station_id) AS total_stations,
        {r2('avg(num_bikes_available)')} AS avg_bikes_available,
        {r2('avg(num_docks_available)')} AS avg_docks_available,
-       {r2('avg(occupation_rate)')} AS avg_occupation_rate,
+       {r2(avg2dp())} AS avg_occupation_rate,
        CAST(sum(capacity) AS BIGINT) AS total_system_capacity
 FROM readings"""))
 def q_e09(spark, sf):
@@ -197,7 +197,7 @@ def since(hours: int) -> str:
 
 @register("e10_by_status", with_readings(f"""
 SELECT station_status, count(*) AS doc_count, {r2('avg(num_bikes_available)')} AS avg_bikes,
-       {r2('avg(occupation_rate)')} AS avg_occupation
+       {r2(avg2dp())} AS avg_occupation
 FROM readings WHERE station_status IS NOT NULL GROUP BY station_status
 ORDER BY doc_count DESC, station_status LIMIT 10"""))
 def q_e10(spark, sf):
@@ -206,7 +206,7 @@ def q_e10(spark, sf):
 
 @register("e11_by_district_24h", with_readings(f"""
 SELECT arrondissement, count(*) AS doc_count, {r2('avg(num_bikes_available)')} AS avg_bikes,
-       {r2('avg(num_docks_available)')} AS avg_docks, {r2('avg(occupation_rate)')} AS avg_occupation,
+       {r2('avg(num_docks_available)')} AS avg_docks, {r2(avg2dp())} AS avg_occupation,
        CAST(sum(capacity) AS BIGINT) AS total_capacity
 FROM readings WHERE {since(24)} AND arrondissement IS NOT NULL GROUP BY arrondissement
 ORDER BY avg_bikes DESC NULLS LAST, arrondissement LIMIT 20"""))
@@ -232,7 +232,7 @@ def q_e12(spark, sf):
 
 
 @register("e13_by_period_7d", with_readings(f"""
-SELECT time_period, count(*) AS doc_count, {r2('avg(occupation_rate)')} AS avg_occupation,
+SELECT time_period, count(*) AS doc_count, {r2(avg2dp())} AS avg_occupation,
        {r2('avg(num_bikes_available)')} AS avg_bikes,
        {cnt("station_status = 'empty'")} AS stations_empty, {cnt("station_status = 'full'")} AS stations_full
 FROM readings WHERE ts >= {LATEST} - INTERVAL 7 DAY AND time_period IS NOT NULL GROUP BY time_period
@@ -243,7 +243,7 @@ def q_e13(spark, sf):
 
 @register("e14_top_names_occupation_24h", with_readings(f"""
 , f AS (SELECT * FROM readings WHERE {since(24)} AND name IS NOT NULL),
-a AS (SELECT name, count(*) AS doc_count, {r2('avg(occupation_rate)')} AS avg_occupation,
+a AS (SELECT name, count(*) AS doc_count, {r2(avg2dp())} AS avg_occupation,
              {r2('avg(num_bikes_available)')} AS avg_bikes FROM f GROUP BY name),
 s AS (SELECT name, latitude AS sample_lat, longitude AS sample_lon, capacity AS sample_capacity,
              row_number() OVER (PARTITION BY name ORDER BY ts DESC, station_id DESC) AS rn FROM f)
@@ -344,7 +344,7 @@ def q_e17(spark, sf):
 
 
 @register("e18_metric_occupancy", with_readings(f"""
-SELECT {r2('avg(occupation_rate)')} AS avg_occupation, count(*) AS doc_count FROM readings"""))
+SELECT {r2(avg2dp())} AS avg_occupation, count(*) AS doc_count FROM readings"""))
 def q_e18(spark, sf):
     return panels.overall_occupancy(readings(spark, sf))
 
@@ -367,7 +367,7 @@ _PERIODS = ["morning", "lunch", "afternoon", "evening", "night"]
 
 @register("e20_heatmap_hour_period", with_readings(
     "SELECT date_trunc('hour', ts) AS bucket, "
-    + ", ".join(f"{r2(f'avg(CASE WHEN time_period = {chr(39)}{p}{chr(39)} THEN occupation_rate END)')} AS {p}"
+    + ", ".join(f"{r2(avg2dp(f'CASE WHEN time_period = {chr(39)}{p}{chr(39)} THEN occupation_rate END'))} AS {p}"
                 for p in _PERIODS)
     + " FROM readings GROUP BY 1"))
 def q_e20(spark, sf):
@@ -395,7 +395,7 @@ def q_g01(spark, sf):
 
 
 @register("e22_key_figures", with_readings(_G01 + f"""
-SELECT CAST(sum(num_bikes_available) AS BIGINT) AS bikes_available, {r2('avg(occupation_rate)')} AS avg_occupation,
+SELECT CAST(sum(num_bikes_available) AS BIGINT) AS bikes_available, {r2(avg2dp())} AS avg_occupation,
        {cnt('is_installed AND is_renting')} AS active_stations, count(*) AS stations
 FROM g WHERE rn = 1"""))
 def q_e22(spark, sf):

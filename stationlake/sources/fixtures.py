@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.plans.joins import maybe_broadcast
+from stationlake.plans.partitioning import spread
 
 # ---- fixed values of the fixture derivation (FIXTURES.md §3) ----------------------
 NO_INFO_MOD, NO_INFO_REM = 17, 16          # p_partkey % 17 = 16 -> station without info
@@ -53,7 +54,7 @@ def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     after a row-count check, otherwise it is a shuffle join that adaptive execution
     can split when one station holds a large share of the events.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("user_id"), "p_size")
     j = (ev.join(maybe_broadcast(parts), "user_id")
          .select("user_id", "event_id", "event_type", "p_size",
@@ -83,10 +84,21 @@ def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_PLANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched readings: B01 over the two feeds, then the whole enrichment chain."""
+    """Enriched readings: B01 over the two feeds, then the whole enrichment chain.
+
+    The logical plan is built once per application and data folder (building it
+    checks the broadcast sides and resolves a long expression chain); a DataFrame is
+    an immutable plan, so every query reuses it and still reads the files afresh.
+    """
     from stationlake.operators.enrich import enrich, to_reading
     from stationlake.operators.join import join_status_info
 
-    joined = join_status_info(station_status(spark, sf_dir), station_info(spark, sf_dir))
-    return enrich(to_reading(joined))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _PLANS:
+        joined = join_status_info(station_status(spark, sf_dir), station_info(spark, sf_dir))
+        _PLANS[key] = enrich(to_reading(joined))
+    return _PLANS[key]

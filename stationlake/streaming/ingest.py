@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.functions.columns import count_when, round2
+from stationlake.functions.columns import count_when, mean_2dp, round2
 from stationlake.operators.enrich import enrich, to_reading
 from stationlake.operators.join import join_status_info
 from stationlake.session import checkpoint_path
@@ -115,5 +115,5 @@ def live_hourly(enriched: DataFrame, watermark: str = "10 minutes") -> DataFrame
             .groupBy(F.window("ts", "1 hour").alias("w"))
             .agg(F.count(F.lit(1)).alias("doc_count"),
                  round2(F.avg("num_bikes_available")).alias("avg_bikes"),
-                 round2(F.avg("occupation_rate")).alias("avg_occupation"))
+                 round2(mean_2dp("occupation_rate")).alias("avg_occupation"))
             .select(F.col("w.start").alias("bucket"), "doc_count", "avg_bikes", "avg_occupation"))
