@@ -62,13 +62,16 @@ def hourly_histogram(df: DataFrame, since="24h", as_of=None, tz: str = DEFAULT_T
                      approx_distinct: bool = False) -> DataFrame:
     """1-hour date histogram with empty buckets kept between the first and last.
 
-    Empty buckets have ``doc_count`` 0, NULL averages and 0 distinct stations. The
-    bucket skeleton is generated from the aggregate's own bounds, so its size is the
-    number of hours spanned, not the number of readings.
+    Empty buckets have ``doc_count`` 0, NULL averages and 0 distinct stations.
+    One shuffle aggregates the readings per hour; the hourly rows (at most one per
+    hour of the requested range, whatever the data volume) are then gathered into
+    one map, and the full hour sequence between the first and last bucket is read
+    from it, so the gap fill needs no join and no second pass over the aggregate.
     """
     now = resolve_as_of(df, as_of)
     distinct = (F.approx_count_distinct("station_id") if approx_distinct
                 else F.count_distinct("station_id"))
+    metrics = ("doc_count", "avg_bikes", "avg_electric", "avg_mechanical", "total_stations")
     agg = (df.filter(time_range(since, now))
            .groupBy(hour_bucket("ts", tz).alias("bucket"))
            .agg(F.count(F.lit(1)).alias("doc_count"),
@@ -76,15 +79,17 @@ def hourly_histogram(df: DataFrame, since="24h", as_of=None, tz: str = DEFAULT_T
                 _avg("electric_bikes", "avg_electric"),
                 _avg("mechanical_bikes", "avg_mechanical"),
                 distinct.alias("total_stations")))
-    skeleton = (agg.agg(F.sequence(F.min("bucket"), F.max("bucket"), F.expr("INTERVAL 1 HOUR")).alias("b"))
-                .select(F.explode("b").alias("bucket")))
-    out = skeleton.join(agg, "bucket", "left")
-    return (out.select(
+    packed = agg.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"),
+                     F.map_from_entries(F.collect_list(F.struct("bucket", F.struct(*metrics)))).alias("m"))
+    hours = packed.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("bucket"), "m")
+    cell = F.try_element_at("m", F.col("bucket"))
+    return (hours.select(
         "bucket",
         F.date_format(F.from_utc_timestamp("bucket", tz), "yyyy-MM-dd HH:mm:ss").alias("bucket_local"),
-        F.coalesce("doc_count", F.lit(0)).cast("bigint").alias("doc_count"),
-        "avg_bikes", "avg_electric", "avg_mechanical",
-        F.coalesce("total_stations", F.lit(0)).cast("bigint").alias("total_stations"))
+        F.coalesce(cell["doc_count"], F.lit(0)).cast("bigint").alias("doc_count"),
+        cell["avg_bikes"].alias("avg_bikes"), cell["avg_electric"].alias("avg_electric"),
+        cell["avg_mechanical"].alias("avg_mechanical"),
+        F.coalesce(cell["total_stations"], F.lit(0)).cast("bigint").alias("total_stations"))
         .orderBy("bucket"))
 
 

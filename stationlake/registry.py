@@ -20,8 +20,18 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir)``; it runs with the session zone pinned to UTC.
+
+    Event time is UTC and hour-of-day, day partitions and hour buckets are taken in
+    the session zone, so a caller's session with another default zone would shift them.
+    """
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

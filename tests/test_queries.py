@@ -99,3 +99,15 @@ def test_large_side_is_not_broadcast(spark):
     assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
     small = maybe_broadcast(big, max_rows=100)
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+
+
+def test_registered_queries_pin_utc(spark, con):
+    """A caller's session in another zone must not shift hours or days."""
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        df = E.queries()["e02_hourly_patterns"](spark, SF)
+        res = con.execute(E.oracle_sql()["e02_hourly_patterns"])
+        ocols = [d[0] for d in res.description]
+        assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, res.fetchall())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
