@@ -17,8 +17,12 @@ from stationlake.sources.sinks import write_csv, write_json
 from stationlake.sources.store import cache_base
 
 
-def run_analysis(readings: DataFrame, out_dir: str) -> dict[str, DataFrame]:
-    """Compute and write every analysis; returns the result frames (still cached)."""
+def run_analysis(readings: DataFrame, out_dir: str, single_file: bool = False) -> dict[str, DataFrame]:
+    """Compute and write every analysis; returns the result frames (still cached).
+
+    Results with one row per station or name are written by all tasks unless
+    ``single_file`` asks for the one-file layout (fine for a city-sized network).
+    """
     base = cache_base(readings.select(*[c for c in ANALYSIS_COLUMNS if c in readings.columns]))
     station = cache_base(stats.station_availability(base))
     hourly = cache_base(stats.hourly_patterns(base))
@@ -29,8 +33,9 @@ def run_analysis(readings: DataFrame, out_dir: str) -> dict[str, DataFrame]:
         "bike_types_analysis": stats.bike_types_by_name(base),
         "problematic_stations": stats.problematic_stations(base),
     }
+    bounded = {"hourly_patterns", "period_analysis"}  # at most 24 and 5 rows
     for name, df in results.items():
-        write_csv(df, os.path.join(out_dir, name))
+        write_csv(df, os.path.join(out_dir, name), single_file=single_file or name in bounded)
     summary = stats.global_summary(base, station, hourly)
     write_json(summary, os.path.join(out_dir, "global_summary"))
     results["global_summary"] = summary

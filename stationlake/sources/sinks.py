@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def write_csv(result: DataFrame, path: str) -> None:
-    """One CSV file with a header, replacing the folder.
+def write_csv(result: DataFrame, path: str, single_file: bool = True) -> None:
+    """CSV with a header, replacing the folder; nested columns as JSON text.
 
-    Only for aggregated results (at most one row per station or hour), which is
-    why a single output partition is safe. Nested columns are written as JSON text.
+    ``single_file`` writes one file from one task, which suits results whose size
+    is bounded by construction (24 hours, 5 periods). Tables with one row per
+    station or name grow with the network; for those pass ``single_file=False`` and
+    every task writes its own part file.
     """
     from pyspark.sql import functions as F
 
     cols = [F.to_json(F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name)
             for f in result.schema.fields]
-    result.select(*cols).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    out = result.select(*cols)
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", "true").csv(path)
 
 
 def write_json(summary: DataFrame, path: str) -> None:

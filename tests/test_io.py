@@ -12,6 +12,7 @@ from stationlake.operators.enrich import enrich, to_reading
 from stationlake.operators.join import join_status_info
 from stationlake.sources import kafka
 from stationlake.sources.feeds import read_info, read_status
+from stationlake.sources.sinks import write_csv
 from stationlake.sources.store import (day_counts, drop_expired, expired_days, preview, read_store, retain,
                                        write_store)
 
@@ -99,7 +100,7 @@ def test_day_store_retention_and_counts(spark, scratch, small_readings):
 def test_batch_job_writes_csv_and_json(spark, scratch, small_readings):
     from stationlake.plans.batch_job import release, run_analysis
 
-    res = run_analysis(small_readings, scratch)
+    res = run_analysis(small_readings, scratch, single_file=True)
     for name in ("station_availability", "hourly_patterns", "period_analysis", "bike_types_analysis",
                  "problematic_stations"):
         files = glob.glob(f"{scratch}/{name}/part-*.csv")
@@ -107,6 +108,11 @@ def test_batch_job_writes_csv_and_json(spark, scratch, small_readings):
         with open(files[0]) as f:
             header = f.readline().strip().split(",")
         assert header == res[name].columns
+    # multi-file layout: every part has the header, rows add up
+    multi = f"{scratch}/multi"
+    write_csv(res["station_availability"], multi, single_file=False)
+    back = spark.read.option("header", "true").csv(multi)
+    assert back.count() == res["station_availability"].count()
     files = glob.glob(f"{scratch}/global_summary/part-*.json")
     assert len(files) == 1
     with open(files[0], encoding="utf-8") as f:
