@@ -97,7 +97,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationlake.operators.enrich import enrich, to_reading
     from stationlake.operators.join import join_status_info
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        app = str(id(spark))
+    key = (app, os.path.abspath(sf_dir))
     if key not in _PLANS:
         joined = join_status_info(station_status(spark, sf_dir), station_info(spark, sf_dir))
         _PLANS[key] = enrich(to_reading(joined))
