@@ -7,7 +7,10 @@ fuzzy search counts it as one. The UDF runs on candidate vocabulary terms only
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +40,11 @@ def osa_distance(a: str, b: str, limit: int | None = None) -> int:
     return prev[lb]
 
 
+# Ship this module's functions inside the task instead of by import, so Python
+# workers need no copy of the package (on a cluster it may also go out as --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.IntegerType())
 def _osa(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([osa_distance(x, y) if x is not None and y is not None else None
