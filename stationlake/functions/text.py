@@ -39,19 +39,38 @@ def _stop_array() -> Column:
     return F.array(*[F.lit(w) for w in _STOP])
 
 
+def _sql_raw_tokens(name: str) -> str:
+    return f"filter(split(lower(`{name}`), r'{SPLIT_PATTERN}'), t -> t != '')"
+
+
+def _sql_stop() -> str:
+    return "array(" + ", ".join("'" + w + "'" for w in _STOP) + ")"
+
+
 def raw_tokens(text) -> Column:
     """Lower-cased words before stop-word removal (empty pieces dropped)."""
-    return F.filter(F.split(F.lower(_c(text)), SPLIT_PATTERN), lambda t: t != "")
+    if isinstance(text, str):
+        return F.expr(_sql_raw_tokens(text))
+    return F.filter(F.split(F.lower(text), SPLIT_PATTERN), lambda t: t != "")
 
 
 def analyze(text) -> Column:
-    """The name analyzer, array<string>."""
+    """The name analyzer, array<string>.
+
+    For a column name the whole expression is one SQL snippet (one call to build);
+    the same rules apply to any Column expression.
+    """
+    if isinstance(text, str):
+        return F.expr(f"filter({_sql_raw_tokens(text)}, t -> NOT array_contains({_sql_stop()}, t))")
     stop = _stop_array()
     return F.filter(raw_tokens(text), lambda t: ~F.array_contains(stop, t))
 
 
 def analyze_positions(text) -> Column:
     """D01 with positions: array<struct<pos:int, term:string>>, stop words leave gaps."""
+    if isinstance(text, str):
+        return F.expr(f"filter(transform({_sql_raw_tokens(text)}, (t, i) -> named_struct('pos', i, 'term', t)), "
+                      f"x -> NOT array_contains({_sql_stop()}, x.term))")
     stop = _stop_array()
     with_pos = F.transform(raw_tokens(text), lambda t, i: F.struct(i.alias("pos"), t.alias("term")))
     return F.filter(with_pos, lambda x: ~F.array_contains(stop, x["term"]))

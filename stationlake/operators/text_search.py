@@ -46,8 +46,13 @@ def _contains_any(terms) -> Column:
     return reduce(lambda a, b: a | b, [F.lower("name").contains(t) for t in dict.fromkeys(terms)])
 
 
-def _equals(t: str):
-    return lambda x: x == F.lit(t)
+def _term_frequency(toks: Column, t: str) -> Column:
+    """Occurrences of the analysed term ``t`` (letters and digits only) in ``toks``."""
+    return F.size(F.filter(toks, lambda x: x == F.lit(t))).cast("double")
+
+
+def _term_frequency_sql(toks: str, t: str) -> Column:
+    return F.expr(f"CAST(size(filter(`{toks}`, x -> x = '{t}')) AS DOUBLE)")
 
 
 def _starts_with(t: str):
@@ -72,19 +77,26 @@ def corpus_stats(df: DataFrame, terms: list[str]) -> Column:
     return names.agg(F.struct(*cols).alias("s")).scalar()
 
 
-def bm25_score(toks: Column, terms: list[str], stats: Column) -> Column:
+def bm25_score(toks, terms: list[str], stats: Column) -> Column:
     """BM25 (k1 1.2, b 0.75, idf ln(1 + (N - df + 0.5) / (df + 0.5))), 6 decimals.
 
     Summed over the query terms in query order (a repeated term counts again).
     """
     distinct = list(dict.fromkeys(terms))
+    if isinstance(toks, str):
+        name = toks
+        tf_of = lambda t: _term_frequency_sql(name, t)
+        toks = F.col(name)
+    else:
+        col = toks
+        tf_of = lambda t: _term_frequency(col, t)
     avgdl = stats["len"] / stats["n"]
     norm = F.lit(K1) * (1 - F.lit(B) + F.lit(B) * F.size(toks).cast("double") / avgdl)
     score = F.lit(0.0)
     for t in terms:
         dfreq = stats[f"df{distinct.index(t)}"]
         idf = F.log(1 + (stats["n"] - dfreq + 0.5) / (dfreq + 0.5))
-        tf = F.size(F.filter(toks, _equals(t))).cast("double")
+        tf = tf_of(t)
         score = score + idf * tf / (tf + norm)
     return F.round(score, 6)
 
@@ -102,7 +114,7 @@ def match_terms(df: DataFrame, query: str, operator: str = "and", size: int = 10
     rows = _rows(df, _contains_all(q) if both else _contains_any(q))
     tests = [F.array_contains("_toks", F.lit(t)) for t in dict.fromkeys(q)]
     hits = rows.filter(reduce(lambda a, b: (a & b) if both else (a | b), tests))
-    hits = hits.withColumn("score", bm25_score(F.col("_toks"), q, corpus_stats(df, q)))
+    hits = hits.withColumn("score", bm25_score("_toks", q, corpus_stats(df, q)))
     return _top(hits, [F.col("score").desc(), F.col("ts").desc(), "station_id"], size, ("score",))
 
 
@@ -111,7 +123,7 @@ def name_scores(df: DataFrame, query: str) -> DataFrame:
     q = analyze_text(query)
     names = name_counts(df)
     hit = reduce(lambda a, b: a | b, [F.array_contains("toks", F.lit(t)) for t in dict.fromkeys(q)])
-    return names.filter(hit).select("name", "n_docs", bm25_score(F.col("toks"), q, corpus_stats(df, q)).alias("score"))
+    return names.filter(hit).select("name", "n_docs", bm25_score("toks", q, corpus_stats(df, q)).alias("score"))
 
 
 def phrase_prefix(df: DataFrame, query: str, size: int = 20) -> DataFrame:
