@@ -117,3 +117,23 @@ def live_hourly(enriched: DataFrame, watermark: str = "10 minutes") -> DataFrame
                  round2(F.avg("num_bikes_available")).alias("avg_bikes"),
                  round2(mean_2dp("occupation_rate")).alias("avg_occupation"))
             .select(F.col("w.start").alias("bucket"), "doc_count", "avg_bikes", "avg_occupation"))
+
+
+def live_latest(enriched: DataFrame, watermark: str = "1 day") -> DataFrame:
+    """G01 on a stream: each station's latest reading, emitted in update mode.
+
+    The state is one row per station (``max_by`` keeps the newest reading); the
+    watermark lets readings older than it be dropped instead of reopening state.
+    """
+    from stationlake.operators.panels import latest_per_station
+
+    return latest_per_station(enriched.withWatermark("ts", watermark))
+
+
+def write_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None,
+                 trigger=DEFAULT_TRIGGER) -> StreamingQuery:
+    """Debug/dashboard sink: an in-memory table queryable as ``name`` (driver-side, small results only)."""
+    cp = checkpoint or checkpoint_path(df.sparkSession, name)
+    w = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+         .option("checkpointLocation", cp))
+    return _trigger(w, trigger).start()

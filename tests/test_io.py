@@ -123,3 +123,23 @@ def test_batch_job_writes_csv_and_json(spark, scratch, small_readings):
     occ = [s["occupation_avg"] for s in doc["top_occupied_stations"]]
     assert occ == sorted(occ, reverse=True)
     release(res)
+
+
+def test_cli_ingest_analyze_retain(spark, scratch):
+    from stationlake import cli
+
+    for i, ts in enumerate((1706365800, 1706452200)):  # two days
+        doc = json.loads(json.dumps(STATUS))
+        doc["last_updated"] = ts
+        _dump(f"{scratch}/status", f"s{i}.json", doc)
+    _dump(f"{scratch}/info", "i1.json", INFO)
+    cli.main(["ingest", "--status", f"{scratch}/status", "--info", f"{scratch}/info", "--store", f"{scratch}/store"])
+    store = read_store(spark, f"{scratch}/store")
+    assert store.count() == 6 and store.select("dt").distinct().count() == 2
+    cli.main(["ingest", "--stream", "--once", "--status", f"{scratch}/status", "--info", f"{scratch}/info",
+              "--store", f"{scratch}/store2", "--checkpoint", f"{scratch}/cp"])
+    assert read_store(spark, f"{scratch}/store2").count() == 6
+    cli.main(["analyze", "--store", f"{scratch}/store", "--out", f"{scratch}/out"])
+    assert glob.glob(f"{scratch}/out/global_summary/part-*.json")
+    cli.main(["retain", "--store", f"{scratch}/store", "--days", "0", "--as-of", "2024-01-28"])
+    assert read_store(spark, f"{scratch}/store").select("dt").distinct().count() == 1

@@ -113,3 +113,18 @@ def test_poll_stream_joins_static_info(spark, scratch):
     assert rows["1"].name != "Unknown" and rows["1"].collected_at == "2024-01-01T10:00:00.000000Z"
     cycle = [p["observedMetrics"]["cycle"] for p in q.recentProgress if p.get("observedMetrics")]
     assert cycle and cycle[0]["total_bikes"] == 3 and cycle[0]["total_docks"] == 9
+
+
+def test_live_latest_per_station_update_mode(spark, scratch):
+    src = f"{scratch}/src"
+    msgs = _messages_to_files(spark, src, n_files=3)
+    enriched, _ = ingest.enrich_stream(_stream_of(spark, src))
+    q = ingest.write_memory(ingest.live_latest(enriched), "live_latest", mode="update",
+                            checkpoint=f"{scratch}/cp", trigger="availableNow")
+    q.awaitTermination()
+    # update mode appends a row each time a station's latest changes; the newest per station wins
+    got = spark.sql("SELECT * FROM live_latest")
+    newest = got.groupBy("station_id").agg(F.max("ts").alias("ts"))
+    batch = enrich(kafka.parse_messages(msgs).drop(kafka.CORRUPT))
+    want = batch.groupBy("station_id").agg(F.max("ts").alias("ts"))
+    assert newest.exceptAll(want).count() == 0 and want.exceptAll(newest).count() == 0
