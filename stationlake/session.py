@@ -64,3 +64,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, e.g. for one streaming query."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                     partition_bytes: int = 256 << 20, shuffle_fraction: float = 0.1) -> dict[str, str]:
+    """Session settings for a large deployment, sized from the data read per query.
+
+    * shuffle partitions start at about one per ``partition_bytes`` of expected
+      shuffle volume: the analyses shuffle pruned columns after map-side
+      combining, estimated as ``shuffle_fraction`` of the input; at least two and at
+      most ten waves of task slots. Adaptive execution then coalesces small
+      partitions and splits skewed ones, so a partition stays well inside memory;
+    * scans take 512 MB splits of the day-partitioned Parquet store;
+    * broadcasts that Spark chooses on its own stay small (64 MB estimate);
+    * executors that are taken away hand their shuffle and cached blocks to others
+      (decommissioning), and lost tasks are retried, so jobs survive executor loss.
+    Pass the result as ``extra`` to :func:`get_spark` or as ``--conf`` to spark-submit.
+    """
+    slots = executors * cores_per_executor
+    wanted = -(-int(input_bytes * shuffle_fraction) // partition_bytes)
+    partitions = min(max(2 * slots, wanted), 10 * slots)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+        "spark.task.maxFailures": "8",
+    }

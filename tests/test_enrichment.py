@@ -98,3 +98,13 @@ def test_dedup_last_wins(spark):
                                "station_id string, name string, pos int")
     got = {r.station_id: r.name for r in dedup_last(df, "station_id", "pos").collect()}
     assert got == {"1": "new", "2": "only"}
+
+
+def test_cluster_settings_scale_with_input():
+    from stationlake.session import cluster_settings
+
+    small = cluster_settings(10 << 30, executors=10, cores_per_executor=4)
+    big = cluster_settings(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80          # two waves of 40 slots
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960         # 10 % of 100 TB / 256 MB
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
