@@ -7,13 +7,20 @@ chain) and runs over the whole tables. Parameters that depend on the data, such
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stationlake.oracle import avg2dp, cnt, r2, with_readings
-from stationlake.operators import stats
-from stationlake.sources.fixtures import readings
+from stationlake.functions.text import analyze_text, ngrams_text, stop_words
+from stationlake.operators import panels, search, stats
+from stationlake.operators import predicates as P
+from stationlake.operators import text_search as TS
+from stationlake.operators.join import dedup_last
+from stationlake.oracle import avg2dp, cnt, r, r2, with_readings
+from stationlake.sources import store as ST
+from stationlake.sources.fixtures import readings, station_info
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -196,7 +203,6 @@ def q_e01_count(spark, sf):
 
 
 # ---- aggregating requests and hit lists ----------------------------------------------
-from stationlake.operators import panels, predicates as P, search  # noqa: E402
 
 LATEST = "(SELECT max(ts) FROM readings)"
 
@@ -285,7 +291,6 @@ def haversine_sql(lat: str, lon: str, lat0: float, lon0: float) -> str:
     la0 = lat0 * deg
     s1 = f"sin(({lat} * {deg!r} - {la0!r}) / 2)"
     s2 = f"sin(({lon} * {deg!r} - {lon0 * deg!r}) / 2)"
-    import math
     a = f"({s1} * {s1} + {math.cos(la0)!r} * cos({lat} * {deg!r}) * {s2} * {s2})"
     return f"({2 * P.EARTH_RADIUS_M!r} * asin(least(1.0, sqrt({a}))))"
 
@@ -305,7 +310,6 @@ def q_t04(spark, sf):
 @register("p06_geo_radius_stations", with_readings(f"""
 SELECT DISTINCT station_id, name, {r2(_DIST)} AS distance_m FROM readings WHERE {_DIST} <= {GEO_R}"""))
 def q_p06(spark, sf):
-    from pyspark.sql import functions as F
     df = readings(spark, sf)
     return (df.filter(P.geo_within("latitude", "longitude", GEO_LAT, GEO_LON, GEO_R))
             .select("station_id", "name",
@@ -422,9 +426,6 @@ def q_e23(spark, sf):
 
 
 # ---- text search ----------------------------------------------------------------------
-from stationlake.functions.text import analyze_text, stop_words  # noqa: E402
-from stationlake.operators import text_search as TS  # noqa: E402
-from stationlake.oracle import r  # noqa: E402
 
 
 def _sql_list(items) -> str:
@@ -508,14 +509,6 @@ def q_d03b(spark, sf):
     return TS.phrase_prefix(readings(spark, sf), "Bo", 20)
 
 
-def _grams_py(tokens, lo=3, hi=4):
-    out = []
-    for t in tokens:
-        for n in range(lo, hi + 1):
-            out += [t[i:i + n] for i in range(len(t) - n + 1)]
-    return list(dict.fromkeys(out))
-
-
 _GRAMS_SQL = ("list_distinct(flatten(list_transform(toks, lambda t: flatten(["
               "CASE WHEN length(t) >= 3 THEN list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)) ELSE [] END, "
               "CASE WHEN length(t) >= 4 THEN list_transform(range(1, length(t) - 2), lambda i: substring(t, i, 4)) ELSE [] END"
@@ -523,7 +516,7 @@ _GRAMS_SQL = ("list_distinct(flatten(list_transform(toks, lambda t: flatten(["
 
 
 @register("d04_ngram_gadget", with_readings(_TOKENS + f"""
-, m AS (SELECT name, len(list_intersect({_GRAMS_SQL}, {_sql_list(_grams_py(analyze_text('gadget')))})) AS shared FROM tk)
+, m AS (SELECT name, len(list_intersect({_GRAMS_SQL}, {_sql_list(ngrams_text(analyze_text('gadget')))})) AS shared FROM tk)
 SELECT {_HIT}, m.shared FROM readings r JOIN m ON r.name = m.name WHERE m.shared > 0
 ORDER BY m.shared DESC, r.ts DESC, r.station_id LIMIT 20"""))
 def q_d04(spark, sf):
@@ -571,9 +564,6 @@ def q_d07(spark, sf):
 
 
 # ---- store upkeep, preview, build-side dedup ------------------------------------------
-from stationlake.operators.join import dedup_last  # noqa: E402
-from stationlake.sources import store as ST  # noqa: E402
-from stationlake.sources.fixtures import station_info  # noqa: E402
 
 
 @register("a10_preview_first5", with_readings("""
@@ -585,7 +575,6 @@ def q_a10(spark, sf):
 
 @register("a10_count", with_readings("SELECT count(*) AS total_records FROM readings"))
 def q_a10_count(spark, sf):
-    from pyspark.sql import functions as F
     return readings(spark, sf).agg(F.count(F.lit(1)).alias("total_records"))
 
 
@@ -617,7 +606,6 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY pos DESC) AS
 SELECT name, station_id, capacity FROM ranked WHERE rn = 1""")
 def q_b02(spark, sf):
     """B02 over info entries keyed by name: the entry with the greatest key wins."""
-    from pyspark.sql import functions as F
     info = station_info(spark, sf).select("name", "station_id", "capacity",
                                           F.col("station_id").cast("bigint").alias("pos"))
     return dedup_last(info, "name", "pos").select("name", "station_id", "capacity")
