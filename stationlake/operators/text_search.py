@@ -162,10 +162,10 @@ def ngram_match(df: DataFrame, query: str, size: int = 20, lo: int = NGRAM_MIN,
     """
     qg = ngrams_text(analyze_text(query), lo, hi)
     if not qg:
-        return _nothing(df, {"shared": "int"})
+        return _nothing(df, {"shared": "bigint"})
     grams = F.array(*[F.lit(g) for g in qg])
     hits = (_rows(df, _contains_any(qg))
-            .withColumn("shared", F.size(F.array_intersect(ngrams(F.col("_toks"), lo, hi), grams)))
+            .withColumn("shared", F.size(F.array_intersect(ngrams(F.col("_toks"), lo, hi), grams)).cast("bigint"))
             .filter(F.col("shared") > 0))
     return _top(hits, [F.col("shared").desc(), F.col("ts").desc(), "station_id"], size, ("shared",))
 
@@ -229,8 +229,8 @@ def edge_ngram_match(df: DataFrame, query: str, size: int = 10, lo: int = EDGE_M
     """
     q = [t for t in analyze_text(query) if lo <= len(t) <= hi]
     if not q:
-        return _nothing(df, {"matched": "int"})
-    per_term = [F.exists("_toks", _starts_with(t)).cast("int") for t in q]
+        return _nothing(df, {"matched": "bigint"})
+    per_term = [F.exists("_toks", _starts_with(t)).cast("bigint") for t in q]
     hits = (_rows(df, _contains_any(q))
             .withColumn("matched", reduce(lambda a, b: a + b, per_term))
             .filter(F.col("matched") > 0))

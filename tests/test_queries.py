@@ -34,9 +34,16 @@ def _rows(cols, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in df.schema.fields} == otypes
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
