@@ -128,3 +128,20 @@ def test_live_latest_per_station_update_mode(spark, scratch):
     batch = enrich(kafka.parse_messages(msgs).drop(kafka.CORRUPT))
     want = batch.groupBy("station_id").agg(F.max("ts").alias("ts"))
     assert newest.exceptAll(want).count() == 0 and want.exceptAll(newest).count() == 0
+
+
+def test_console_sink_and_processing_time_trigger(spark, scratch):
+    src = f"{scratch}/src"
+    total = _messages_to_files(spark, src, n_files=2).count()
+    enriched, _ = ingest.enrich_stream(_stream_of(spark, src))
+    q = ingest.console(enriched.select("station_id", "station_status"), trigger="availableNow", rows=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    # the poller's fixed cycle as a processing-time trigger; drained, then stopped
+    q = ingest.write_days(ingest.enrich_stream(_stream_of(spark, src))[0], f"{scratch}/store",
+                          f"{scratch}/cp", trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{scratch}/store").count() == total
