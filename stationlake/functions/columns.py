@@ -25,14 +25,14 @@ DISTRICT_GATE = r"\d{5}"
 # Number pattern of the district extraction (a grok NUMBER: optional sign, digits,
 # optional fraction, not preceded by a digit, dot or sign).
 NUMBER_PATTERN = r"(?<![0-9.+-])([+-]?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+))"
-# Constant metadata columns.
-SOURCE = "velib_api"
-CITY = "Paris"
-PIPELINE = "velib-kafka-elasticsearch"
-DATA_TYPE = "bike_sharing"
 DEFAULT_NAME = "Unknown"
 # ------------------------------------------------------------------------------------
 
+# Constant metadata columns (C04). They are labels for downstream consumers, not inputs
+# of any analysis; pass the labels your consumers expect to ``to_reading``/``enrich``.
+DEFAULT_LABELS = {"source": "station_feed", "city": "Paris", "pipeline": "stationlake-ingest",
+                  "data_type": "bike_sharing"}
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -134,9 +134,10 @@ def geo_point(lat="latitude", lon="longitude") -> Column:
                   F.struct(la.cast(T.DoubleType()).alias("lat"), lo.cast(T.DoubleType()).alias("lon")))
 
 
-def pipeline_constants() -> tuple[Column, Column]:
-    """The ingest's constant metadata columns."""
-    return F.lit(PIPELINE).alias("pipeline"), F.lit(DATA_TYPE).alias("data_type")
+def label_columns(names: tuple[str, ...], labels: dict | None = None) -> list[Column]:
+    """Constant metadata columns ``names`` with their labels."""
+    merged = {**DEFAULT_LABELS, **(labels or {})}
+    return [F.lit(merged[n]).alias(n) for n in names]
 
 
 def round2(c) -> Column:

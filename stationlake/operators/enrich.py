@@ -21,7 +21,7 @@ def _zero_flag() -> Column:
     return F.parse_json(F.lit("0"))
 
 
-def to_reading(joined: DataFrame) -> DataFrame:
+def to_reading(joined: DataFrame, labels: dict | None = None) -> DataFrame:
     """Status x info row -> one reading message.
 
     Missing or null counts become 0, a missing bike-type list becomes empty, missing
@@ -54,14 +54,13 @@ def to_reading(joined: DataFrame) -> DataFrame:
         docks.alias("num_docks_available"),
         *[flag(n) for n in FLAG_COLUMNS],
         C.occupancy_rate(bikes, F.col("capacity")).alias("occupation_rate"),
-        F.lit(C.SOURCE).alias("source"),
-        F.lit(C.CITY).alias("city"),
+        *C.label_columns(("source", "city"), labels),
         C.bike_type_count(types, "mechanical").alias("mechanical_bikes"),
         C.bike_type_count(types, "ebike").alias("electric_bikes"),
     )
 
 
-def enrich(readings: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+def enrich(readings: DataFrame, ingest_time: Column | None = None, labels: dict | None = None) -> DataFrame:
     """Reading messages -> enriched readings (C06-C15, plus the ``dt`` day partition).
 
     ``ingest_time`` is the fallback event time for unparsable ``collected_at``
@@ -79,8 +78,7 @@ def enrich(readings: DataFrame, ingest_time: Column | None = None) -> DataFrame:
         F.col("_parsed_ts").isNull().alias("ts_parse_failed"),
         C.geo_point("latitude", "longitude").alias("location"),
         C.station_status().alias("station_status"),
-        C.pipeline_constants()[0],
-        C.pipeline_constants()[1],
+        *C.label_columns(("pipeline", "data_type"), labels),
         C.district("name").alias("arrondissement"),
     )
     return (out

@@ -15,6 +15,7 @@ from stationlake.functions.columns import count_when, mean_2dp
 from stationlake.operators.predicates import (geo_within, haversine_m, resolve_as_of, term,
                                               time_range)
 
+# fixed value: zone of the date histogram's local bucket labels
 DEFAULT_TZ = "Europe/Paris"
 
 

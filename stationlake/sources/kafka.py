@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from stationlake.schema import READING
 
 CORRUPT = "_corrupt_record"
-TOPIC = "velib-data"
+TOPIC = "station-readings"
 
-# producer settings of the reference, as Kafka sink options
+# ---- fixed values: the producer settings to keep, as Kafka sink options -------------
 PRODUCER_OPTIONS = {
     "kafka.acks": "all",
     "kafka.retries": "3",
@@ -25,6 +25,7 @@ PRODUCER_OPTIONS = {
     "kafka.buffer.memory": "33554432",
     "kafka.compression.type": "gzip",
 }
+# ------------------------------------------------------------------------------------
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC,

@@ -82,12 +82,15 @@ def test_sample_record_and_unknown_station(spark):
     ])
     out = enrich(to_reading(join_status_info(status, info)), F.lit(dt.datetime(2026, 1, 1, 9, 0))).orderBy("station_id")
     a, b = out.collect()
+    labelled = enrich(to_reading(join_status_info(status, info), labels={"source": "feed_x"}),
+                      labels={"pipeline": "p1"}).select("source", "pipeline").first()
+    assert (labelled.source, labelled.pipeline) == ("feed_x", "p1")
     assert (a.occupation_rate, a.station_status, a.hour_of_day, a.time_period, str(a.dt)) == \
         (37.5, "available", 14, "afternoon", "2026-01-27")
     assert (a.mechanical_bikes, a.electric_bikes, a.arrondissement) == (10, 5, None)
     assert (a.location.lat, a.location.lon, a.ts_parse_failed) == (48.8532, 2.3691, False)
     assert (a.is_installed, a.source, a.city, a.pipeline, a.data_type) == \
-        (False, "velib_api", "Paris", "velib-kafka-elasticsearch", "bike_sharing")
+        (False, "station_feed", "Paris", "stationlake-ingest", "bike_sharing")
     # no info: defaults; bad timestamp: ingest time and the failure flag
     assert (b.name, b.capacity, b.occupation_rate, b.station_status) == ("Unknown", 0, 0.0, "unknown")
     assert (b.ts_parse_failed, b.hour_of_day, b.last_reported) == (True, 9, 0)

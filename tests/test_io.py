@@ -59,8 +59,8 @@ def test_snapshot_feeds_and_cap(spark, scratch):
 def test_topic_parse_corrupt_side_output_and_encode(spark):
     raw = spark.createDataFrame(
         [('{"station_id":"1","collected_at":"2026-01-27T14:30:00Z","num_bikes_available":1,"num_docks_available":5,"capacity":6,'
-          '"is_installed":1}', "velib-data", 0, 7, dt.datetime(2026, 1, 27, 15)),
-         ('{"station_id":', "velib-data", 0, 8, dt.datetime(2026, 1, 27, 15))],
+          '"is_installed":1}', "station-readings", 0, 7, dt.datetime(2026, 1, 27, 15)),
+         ('{"station_id":', "station-readings", 0, 8, dt.datetime(2026, 1, 27, 15))],
         "value string, topic string, partition int, offset long, timestamp timestamp")
     parsed = kafka.parse_messages(raw)
     bad = parsed.filter(kafka.is_corrupt()).collect()
