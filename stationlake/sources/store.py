@@ -13,6 +13,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.schema import ENRICHED
+
 
 def write_store(enriched: DataFrame, path: str, mode: str = "overwrite",
                 max_records_per_file: int = 5_000_000) -> None:
@@ -29,9 +31,16 @@ def write_store(enriched: DataFrame, path: str, mode: str = "overwrite",
      .partitionBy("dt").parquet(path))
 
 
-def read_store(spark: SparkSession, path: str, columns=None, exclude=()) -> DataFrame:
-    """Every day of the store; ``columns`` prunes, ``exclude`` drops fields."""
-    df = spark.read.option("basePath", path).parquet(path)
+def read_store(spark: SparkSession, path: str, columns=None, exclude=(), schema=ENRICHED) -> DataFrame:
+    """Every day of the store; ``columns`` prunes, ``exclude`` drops fields.
+
+    The schema is given, not inferred, so no file footer is opened to plan the scan
+    (``schema=None`` infers it). A store written by the streaming sink lists its
+    files in the sink's log, which still names the files of days removed by
+    retention (:func:`drop_expired`); files that no longer exist are skipped.
+    """
+    reader = spark.read.option("basePath", path).option("ignoreMissingFiles", "true")
+    df = (reader.schema(schema) if schema is not None else reader).parquet(path)
     if columns:
         df = df.select(*columns)
     return df.drop(*exclude) if exclude else df

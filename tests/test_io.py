@@ -74,8 +74,15 @@ def test_topic_parse_corrupt_side_output_and_encode(spark):
 
 
 def test_day_store_retention_and_counts(spark, scratch, small_readings):
+    from stationlake.schema import ENRICHED
+
+    def types(schema):
+        return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+    assert types(small_readings.schema) == types(ENRICHED)
     path = f"{scratch}/store"
     write_store(small_readings, path)
+    assert types(read_store(spark, path, schema=None).schema) == types(ENRICHED)
     days = sorted(os.path.basename(p) for p in glob.glob(f"{path}/dt=*"))
     assert len(days) == 30 and days[0] == "dt=2024-01-01"
     store = read_store(spark, path, exclude=("num_bikes_available_types",))

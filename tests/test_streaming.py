@@ -145,3 +145,20 @@ def test_console_sink_and_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert spark.read.parquet(f"{scratch}/store").count() == total
+
+
+def test_retention_on_a_streamed_store(spark, scratch):
+    import datetime as dt
+
+    from stationlake.sources.store import drop_expired, read_store
+
+    src, out = f"{scratch}/src", f"{scratch}/store"
+    total = _messages_to_files(spark, src, n_files=2).count()
+    ingest.write_days(ingest.enrich_stream(_stream_of(spark, src))[0], out, f"{scratch}/cp",
+                      trigger="availableNow").awaitTermination()
+    assert read_store(spark, out).count() == total
+    deleted = drop_expired(spark, out, 7, dt.date(2024, 1, 30))
+    assert len(deleted) == 22
+    kept = read_store(spark, out)
+    assert kept.select("dt").distinct().count() == 8
+    assert kept.count() == kept.filter("dt >= '2024-01-23'").count() > 0
