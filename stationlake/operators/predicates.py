@@ -67,24 +67,36 @@ def _interval(seconds: float) -> Column:
     return F.expr(f"INTERVAL '{int(seconds)}' SECOND")
 
 
+def latest_event_micros(df: DataFrame, ts: str = "ts") -> int | None:
+    """The data's greatest event time, as microseconds since the epoch (one value).
+
+    The newest event lies in the newest day: with a ``dt`` column the max-day query
+    reads only partition values on a day-partitioned store, and the max-time query
+    then reads that single day.
+    """
+    if "dt" in df.columns:
+        last_day = df.agg(F.max("dt")).first()[0]
+        if last_day is None:
+            return None
+        df = df.filter(F.col("dt") == F.lit(last_day))
+    return df.agg(F.unix_micros(F.max(ts))).first()[0]
+
+
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = "ts") -> Column:
     """The "now" of relative ranges.
 
-    ``None``: the query time; ``"latest"``: the data's greatest event time (a scalar
-    subquery, evaluated once); a ``datetime``/text: that instant; a ``Column``: as is.
+    ``None``: the query time; ``"latest"``: the data's greatest event time, looked up
+    once and used as a literal, so time and day bounds prune partitions at planning
+    time and reach the Parquet scan; a ``datetime``/text: that instant; a ``Column``:
+    as is.
     """
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, str) and as_of == "latest":
-        if "dt" in df.columns:
-            # the newest event lies in the newest day: read only that day's times
-            # (on a day-partitioned store the max-day subquery reads partition values,
-            # and the day filter prunes every other folder at run time)
-            last_day = df.select(F.max("dt")).scalar()
-            return df.filter(F.col("dt") == last_day).select(F.max(ts)).scalar()
-        return df.select(F.max(ts)).scalar()
+        micros = latest_event_micros(df, ts)
+        return F.timestamp_micros(F.lit(micros)) if micros is not None else F.lit(None).cast("timestamp")
     return F.lit(as_of).cast("timestamp")
 
 

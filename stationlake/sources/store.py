@@ -67,7 +67,7 @@ def _cutoff(df: DataFrame, days: int, as_of) -> Column:
     if as_of is None:
         today = F.current_date()
     elif isinstance(as_of, str) and as_of == "latest":
-        today = df.select(F.max("dt")).scalar()
+        today = F.lit(df.agg(F.max("dt")).first()[0])
     else:
         today = F.lit(as_of).cast("date")
     return F.date_sub(today, days)
