@@ -121,12 +121,6 @@ def unix_to_timestamp(seconds="last_reported") -> Column:
     return F.timestamp_seconds(_c(seconds))
 
 
-def event_time(collected_at="collected_at", fallback=None) -> Column:
-    """ISO-8601 text to event time; unparsable text falls back to ingest time."""
-    parsed = F.try_to_timestamp(_c(collected_at))
-    return F.coalesce(parsed, fallback if fallback is not None else F.current_timestamp())
-
-
 def geo_point(lat="latitude", lon="longitude") -> Column:
     """struct(lat, lon) when both are present."""
     la, lo = _c(lat), _c(lon)

@@ -28,8 +28,3 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     """
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
 
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``big.join(small)`` with a size-checked broadcast of ``small``."""
-    return big.join(maybe_broadcast(small, max_rows), on, how)
