@@ -50,11 +50,25 @@ READING_COLS = ("station_id, ts, name, latitude, longitude, capacity, num_bikes_
                 "hour_of_day, time_period, arrondissement, is_installed, is_returning, is_renting, "
                 "last_reported, dt")
 
+# Integer columns that can be NULL are reported as DOUBLE in check outputs (values are
+# exact): a client converting results to pandas turns a nullable BIGINT into float64
+# from Spark but into a nullable Int64 from DuckDB, so equal values would print apart.
+NULLABLE_INTS = ("mechanical_bikes", "electric_bikes", "arrondissement")
 
-@register("c_enriched_readings", with_readings(f"SELECT {READING_COLS} FROM readings"))
+
+def as_double(df: DataFrame, cols=NULLABLE_INTS) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _reading_cols_sql() -> str:
+    cols = [c.strip() for c in READING_COLS.split(",")]
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in NULLABLE_INTS else c for c in cols)
+
+
+@register("c_enriched_readings", with_readings(f"SELECT {_reading_cols_sql()} FROM readings"))
 def q_enriched(spark, sf):
     """B01 + C01-C13: the whole enriched table, row by row."""
-    return readings(spark, sf).select(*[c.strip() for c in READING_COLS.split(",")])
+    return as_double(readings(spark, sf).select(*[c.strip() for c in READING_COLS.split(",")]))
 
 
 E01_SQL = with_readings(f"""
@@ -300,11 +314,11 @@ _DIST = haversine_sql("latitude", "longitude", GEO_LAT, GEO_LON)
 
 @register("t04_near_500m_24h", with_readings(f"""
 , f AS (SELECT *, {_DIST} AS distance FROM readings WHERE {since(24)})
-SELECT name, station_id, latitude, longitude, num_bikes_available, electric_bikes, mechanical_bikes,
-       {r2('distance')} AS distance_m, ts
+SELECT name, station_id, latitude, longitude, num_bikes_available, CAST(electric_bikes AS DOUBLE) AS electric_bikes,
+       CAST(mechanical_bikes AS DOUBLE) AS mechanical_bikes, {r2('distance')} AS distance_m, ts
 FROM f WHERE distance <= {GEO_R} ORDER BY distance, ts DESC, station_id LIMIT 20"""))
 def q_t04(spark, sf):
-    return search.near(readings(spark, sf), GEO_LAT, GEO_LON, GEO_R, since="24h", as_of="latest")
+    return as_double(search.near(readings(spark, sf), GEO_LAT, GEO_LON, GEO_R, since="24h", as_of="latest"))
 
 
 @register("p06_geo_radius_stations", with_readings(f"""
