@@ -1,5 +1,7 @@
 """One station holding a third of all readings: results stay exact, plans pre-aggregate."""
 
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +58,33 @@ def test_hourly_distinct_stations_exact(skewed, pdf):
     want = pdf.assign(b=b).groupby("b").station_id.nunique()
     got = {pd.Timestamp(r.bucket): r.total_stations for r in h}
     assert got == {k: v for k, v in want.items()}
+
+
+def test_info_join_beyond_the_broadcast_bound(spark):
+    """Above the row bound B01 is a shuffle join; it gives the same rows, hot key included."""
+    from stationlake.operators.join import join_status_info
+    from stationlake.sources.fixtures import station_info, station_status
+
+    sf = "/root/testdata/sf0.001"
+    status = station_status(spark, sf)
+    hot = status.withColumn("station_id", F.when((F.abs(F.hash("collected_at")) % 3) == 0, F.lit("1"))
+                            .otherwise(F.col("station_id")))
+    info = station_info(spark, sf)
+    small = join_status_info(hot, info)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        big = join_status_info(hot, info, max_broadcast_rows=10)
+        plan = _plan(big)
+        # B01 (on station_id) is a sort-merge join; the fixture's own events x part join
+        # keeps its checked broadcast
+        assert re.search(r"SortMergeJoin \[station_id", plan)
+        assert not re.search(r"BroadcastHashJoin \[station_id", plan)
+        cols = ["station_id", "collected_at", "name", "capacity", "latitude"]
+        assert big.select(*cols).exceptAll(small.select(*cols)).count() == 0
+        assert small.select(*cols).exceptAll(big.select(*cols)).count() == 0
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
