@@ -494,6 +494,12 @@ def q_d02b(spark, sf):
     return TS.match_terms(readings(spark, sf), "Red Gizmo", "and", 10)
 
 
+@register("d02_match_or_red_gizmo", _match_sql("red gizmo", "or", 10))
+def q_d02_or(spark, sf):
+    """The match request with its default operator (any term)."""
+    return TS.match_terms(readings(spark, sf), "red gizmo", "or", 10)
+
+
 def _scores_sql(query: str) -> str:
     q = analyze_text(query)
     ctes, score, froms = _bm25_sql(query)

@@ -87,11 +87,18 @@ def test_fan_out_and_live_hourly(spark, scratch):
          .option("checkpointLocation", f"{scratch}/cp2").trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.sql("SELECT * FROM live_hourly")
-    batch_hours = enrich(kafka.parse_messages(msgs).drop(kafka.CORRUPT)).select(
-        F.date_trunc("hour", "ts").alias("b")).distinct().count()
+    batch = enrich(kafka.parse_messages(msgs).drop(kafka.CORRUPT))
+    batch_hours = batch.select(F.date_trunc("hour", "ts").alias("b")).distinct().count()
     # append mode: every closed hour is emitted once; the newest hour stays open
     assert 0 < got.count() <= batch_hours
     assert got.select("bucket").distinct().count() == got.count()
+    # each emitted window equals the batch aggregate of its hour
+    from stationlake.functions.columns import mean_2dp, round2
+    want = (batch.groupBy(F.date_trunc("hour", "ts").alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("doc_count"),
+                 round2(F.avg("num_bikes_available")).alias("avg_bikes"),
+                 round2(mean_2dp("occupation_rate")).alias("avg_occupation")))
+    assert got.exceptAll(want.join(got.select("bucket"), "bucket").select(*got.columns)).count() == 0
 
 
 def test_poll_stream_joins_static_info(spark, scratch):
