@@ -150,3 +150,24 @@ def test_cli_ingest_analyze_retain(spark, scratch):
     assert glob.glob(f"{scratch}/out/global_summary/part-*.json")
     cli.main(["retain", "--store", f"{scratch}/store", "--days", "0", "--as-of", "2024-01-28"])
     assert read_store(spark, f"{scratch}/store").select("dt").distinct().count() == 1
+
+
+def test_one_pass_job_equals_the_operators(spark, scratch, small_readings):
+    """Every table of the one-pass batch job equals the stand-alone operator's result."""
+    from stationlake.operators import stats
+    from stationlake.plans import batch_job as J
+
+    p = J.partials(small_readings)
+    pairs = {
+        "E01": (J.station_table(p), stats.station_availability(small_readings)),
+        "E02": (J.hourly_table(p), stats.hourly_patterns(small_readings)),
+        "E04": (J.period_table(p), stats.period_stats(small_readings)),
+        "E06": (J.bike_types_table(p), stats.bike_types_by_name(small_readings)),
+        "E08": (J.problems_table(J.station_table(p)), stats.problematic_stations(small_readings)),
+        "E09": (J.global_table(p), stats.global_metrics(small_readings)),
+    }
+    for k, (a, b) in pairs.items():
+        assert a.columns == b.columns, k
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, k
+    # the only table built from the readings is bounded by stations x 24 hours
+    assert p.count() <= small_readings.select("name", "station_id").distinct().count() * 24
