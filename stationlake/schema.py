@@ -80,13 +80,6 @@ ENRICHED_EXTRA = [
 
 FLAG_COLUMNS = ("is_installed", "is_returning", "is_renting")
 
-# the columns analyses need; reading a store with this projection prunes the rest
-ANALYSIS_COLUMNS = (
-    "station_id", "name", "ts", "num_bikes_available", "num_docks_available", "capacity",
-    "occupation_rate", "station_status", "mechanical_bikes", "electric_bikes", "time_period",
-    "hour_of_day", "arrondissement", "latitude", "longitude", "is_installed", "is_renting", "dt",
-)
-
 # the enriched reading as stored (flags coerced to booleans, enrichment columns appended)
 ENRICHED = T.StructType(
     [T.StructField(f.name, T.BooleanType() if f.name in FLAG_COLUMNS else f.dataType) for f in READING.fields]
