@@ -147,16 +147,16 @@ def global_metrics(df: DataFrame) -> DataFrame:
         F.sum("capacity").alias("total_system_capacity"))
 
 
-def global_summary(df: DataFrame, station_stats: DataFrame, hourly: DataFrame,
-                   top_n: int = 10) -> DataFrame:
-    """The nested summary document as one row.
+def summary_from(metrics: DataFrame, station_stats: DataFrame, hourly: DataFrame,
+                 top_n: int = 10) -> DataFrame:
+    """E09 document from its parts: one-row ``metrics`` (see :func:`global_metrics`), the
+    per-station table and the hourly table.
 
     The ten most occupied stations and the hourly pattern are small by construction
     (at most ``top_n`` and 24 rows); they are gathered with ``collect_list`` inside
     Spark and attached as scalar subqueries, so nothing passes through the driver
     until the one-row result is written.
     """
-    metrics = global_metrics(df)
     top_rows = (top_by(station_stats, "occupation_avg", top_n, "station_id", "name")
                 .select(F.struct(*station_stats.columns).alias("r")))
     top = top_rows.agg(F.array_sort(F.collect_list("r"),
@@ -173,3 +173,9 @@ def global_summary(df: DataFrame, station_stats: DataFrame, hourly: DataFrame,
         top.scalar().alias("top_occupied_stations"),
         hours.scalar().alias("hourly_pattern"),
     )
+
+
+def global_summary(df: DataFrame, station_stats: DataFrame, hourly: DataFrame,
+                   top_n: int = 10) -> DataFrame:
+    """The nested summary document as one row, from the readings."""
+    return summary_from(global_metrics(df), station_stats, hourly, top_n)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.functions.columns import rate_pct, round2, time_period
+from stationlake.operators.stats import summary_from
 from stationlake.sources.sinks import write_csv, write_json
 from stationlake.sources.store import cache_base
 
@@ -130,23 +131,8 @@ def global_table(p: DataFrame) -> DataFrame:
 
 
 def summary_document(p: DataFrame, stations: DataFrame, hourly: DataFrame, top_n: int = 10) -> DataFrame:
-    """The nested summary as one row (bounded parts gathered in Spark)."""
-    from stationlake.operators.stats import top_by
-
-    top = (top_by(stations, "occupation_avg", top_n, "station_id", "name")
-           .agg(F.array_sort(F.collect_list(F.struct(*stations.columns)),
-                             lambda a, b: F.when(a["occupation_avg"] > b["occupation_avg"], -1)
-                             .when(a["occupation_avg"] < b["occupation_avg"], 1)
-                             .when(a["station_id"] < b["station_id"], -1)
-                             .when(a["station_id"] > b["station_id"], 1).otherwise(0))))
-    hours = hourly.agg(F.array_sort(F.collect_list(F.struct(*hourly.columns))))
-    return global_table(p).select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("generated_at"),
-        F.struct("total_observations", "total_stations").alias("analysis_period"),
-        F.struct("avg_bikes_available", "avg_docks_available", "avg_occupation_rate",
-                 "total_system_capacity").alias("global_statistics"),
-        top.scalar().alias("top_occupied_stations"),
-        hours.scalar().alias("hourly_pattern"))
+    """The nested summary as one row, from the partials and the two small tables."""
+    return summary_from(global_table(p), stations, hourly, top_n)
 
 
 def run_analysis(readings: DataFrame, out_dir: str, single_file: bool = False) -> dict[str, DataFrame]:

@@ -171,3 +171,14 @@ def test_one_pass_job_equals_the_operators(spark, scratch, small_readings):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, k
     # the only table built from the readings is bounded by stations x 24 hours
     assert p.count() <= small_readings.select("name", "station_id").distinct().count() * 24
+
+
+def test_summary_operator_matches_batch_job(spark, small_readings):
+    from stationlake.operators import stats
+    from stationlake.plans import batch_job as J
+
+    st, hr = stats.station_availability(small_readings), stats.hourly_patterns(small_readings)
+    a = stats.global_summary(small_readings, st, hr).drop("generated_at").first().asDict(recursive=True)
+    p = J.partials(small_readings)
+    b = J.summary_document(p, J.station_table(p), J.hourly_table(p)).drop("generated_at").first().asDict(recursive=True)
+    assert a == b
