@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from stationlake.llm.op1_license import op1_license_scans
 from stationlake.llm.op2_quality import op2_quality_rules
+from stationlake.llm.op5_toxicity import op5_toxicity
+from stationlake.llm.op7_warc import op7_warc
 from stationlake.llm.op10_line_dedup import op10_line_dedup
 
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_quality_rules": op2_quality_rules,
+    "op5_toxicity": op5_toxicity,
+    "op7_warc": op7_warc,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}
