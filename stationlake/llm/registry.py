@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from stationlake.llm.op1_license import op1_license_scans
 from stationlake.llm.op2_quality import op2_quality_rules
+from stationlake.llm.op3_sentencepiece import op3_sentencepiece
+from stationlake.llm.op4_decontaminate import op4_decontamination
 from stationlake.llm.op5_toxicity import op5_toxicity
 from stationlake.llm.op7_warc import op7_warc
 from stationlake.llm.op10_line_dedup import op10_line_dedup
@@ -11,6 +13,8 @@ from stationlake.llm.op10_line_dedup import op10_line_dedup
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_quality_rules": op2_quality_rules,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op7_warc": op7_warc,
     "op10_line_dedup": op10_line_dedup,
