@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +59,47 @@ def slices(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int) -> Itera
         step = b.num_rows if total <= max_bytes else max(1, int(b.num_rows * max_bytes / total))
         for i in range(0, b.num_rows, max(1, step)):
             yield b.slice(i, step)
+
+
+class WordHashes(dict):
+    """word -> 64-bit hash, remembered up to ``most`` words."""
+
+    def __init__(self, hasher, most: int = 400_000) -> None:
+        super().__init__()
+        self.hasher, self.most = hasher, most
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = self.hasher(word)
+        return h
+
+    def of(self, text: bytes) -> np.ndarray:
+        """Hashes of the words of a lower-cased text, in order; long texts go piece by piece."""
+        if len(self) > self.most:
+            self.clear()
+        parts = []
+        for piece in pieces(text):
+            w = piece.lower().split()  # ASCII letters and ASCII white space only
+            parts.append(np.fromiter(map(self.__getitem__, w), np.uint64, len(w)))
+        return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """The text in pieces of about ``size`` bytes, cut at white space."""
+    begin = 0
+    while begin < len(text):
+        end = len(text)
+        if end - begin > size:
+            m = SPACE.search(text, begin + size)
+            end = m.start() if m else end
+        yield text[begin:end]
+        begin = end
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (wraps around)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -7,6 +7,7 @@ from stationlake.llm.op2_quality import op2_quality_rules
 from stationlake.llm.op3_sentencepiece import op3_sentencepiece
 from stationlake.llm.op4_decontaminate import op4_decontamination
 from stationlake.llm.op5_toxicity import op5_toxicity
+from stationlake.llm.op6_minhash import op6_minhash
 from stationlake.llm.op7_warc import op7_warc
 from stationlake.llm.op10_line_dedup import op10_line_dedup
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
+    "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
     "op10_line_dedup": op10_line_dedup,
 }
