@@ -9,6 +9,8 @@ from stationlake.llm.op4_decontaminate import op4_decontamination
 from stationlake.llm.op5_toxicity import op5_toxicity
 from stationlake.llm.op6_minhash import op6_minhash
 from stationlake.llm.op7_warc import op7_warc
+from stationlake.llm.op8_interpolation import op8_lm_scoring
+from stationlake.llm.op9_token_shards import op9_token_shards
 from stationlake.llm.op10_line_dedup import op10_line_dedup
 
 QUERIES = {
@@ -19,6 +21,8 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_token_shards": op9_token_shards,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}
