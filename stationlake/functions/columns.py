@@ -13,8 +13,7 @@ from pyspark.sql import types as T
 # ---- fixed values that must equal the reference's ---------------------------------
 # Text forms read as true by the flag coercion (after trim + lower-case).
 TRUE_WORDS = ["1", "true", "t", "yes", "y"]
-# Status classes, in rule order, and the share of capacity below which a count is "low".
-STATUSES = ["empty", "full", "low", "almost_full", "available", "unknown"]
+# Share of capacity below which a count is "low".
 LOW_SHARE = 0.2
 # Periods of the day: [start hour, end hour) -> label; every other hour is "night".
 PERIODS = [(6, 12, "morning"), (12, 14, "lunch"), (14, 19, "afternoon"), (19, 22, "evening")]
@@ -69,9 +68,45 @@ def time_period(hour) -> Column:
     return expr.otherwise(F.lit(NIGHT))
 
 
+# Time parts are taken in UTC by arithmetic on the instant, whatever the session zone.
 def hour_of_day(ts="ts") -> Column:
-    """C11: hour of event time (session zone, UTC)."""
-    return F.hour(_c(ts))
+    """C11: UTC hour of event time."""
+    return F.floor(F.pmod(F.unix_seconds(_c(ts)), F.lit(86400)) / 3600).cast(T.IntegerType())
+
+
+def utc_date(ts="ts") -> Column:
+    """UTC day of an instant."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(ts)) / 86400).cast(T.IntegerType()))
+
+
+def utc_hour(ts="ts") -> Column:
+    """Start of the UTC hour of an instant."""
+    s = F.unix_seconds(_c(ts))
+    return F.timestamp_seconds(s - F.pmod(s, F.lit(3600)))
+
+
+def utc_text(ts) -> Column:
+    """An instant as 'yyyy-MM-dd HH:mm:ss[.ffffff]' in UTC."""
+    seconds = (F.unix_micros(_c(ts)) / 1000000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return (F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)).cast("string")
+
+
+def iso_utc(text) -> Column:
+    """'yyyy-MM-dd HH:mm:ss[.ffffff]' -> 'yyyy-MM-ddTHH:mm:ss.ffffffZ'."""
+    t = _c(text)
+    return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 8), F.lit("."),
+                    F.rpad(F.substring(t, 21, 6), 6, "0"), F.lit("Z"))
+
+
+def parse_utc(text) -> Column:
+    """Text to an instant; text without a zone is UTC; NULL when it does not parse."""
+    t = F.trim(_c(text))
+    zoned = t.rlike(r"\d:\d{2}.*([A-Za-z]|[+-]\d{1,2}(:?\d{2})?)$")
+    day = F.timestamp_seconds(F.unix_date(t.try_cast("date")).cast("bigint") * 86400)
+    return (F.when(zoned, F.try_to_timestamp(t))
+            .when(t.rlike(r"\d:\d{2}"), F.try_to_timestamp(F.concat(t, F.lit("Z"))))
+            .otherwise(day))
 
 
 def district(name="name") -> Column:

@@ -1,8 +1,9 @@
-"""Edit distance with adjacent transpositions (optimal string alignment), vectorised.
+"""Edit distance with adjacent transpositions (optimal string alignment).
 
 Spark's built-in ``levenshtein`` counts a swap of two neighbours as two edits; the
-fuzzy search counts it as one. The UDF runs on candidate vocabulary terms only
-(distinct words that already passed the prefix and length filters), never on rows.
+fuzzy search counts it as one. A term within k edits here is within 2k there, so the
+built-in filters first; the UDF (a loop over the pairs of an Arrow batch) runs on the
+few distinct vocabulary terms that are left, never on rows.
 """
 
 from __future__ import annotations

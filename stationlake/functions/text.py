@@ -1,14 +1,15 @@
-"""Text analysis of station names as Spark column expressions.
+"""Text analysis of station names as Spark column expressions.
 
 The rules are this library's (the reference names its analyzers without defining
 them): lower-case, split on anything that is not a letter or digit, drop French
-stop words. Positions are counted before stop words are removed, so a phrase does
-not match across a removed word.
+stop words. Positions are counted before stop words are removed, in names and queries
+alike, so a phrase matches across a removed word only where both have one.
 """
 
 from __future__ import annotations
 
-import regex as _re
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +26,6 @@ FRENCH_STOP_WORDS = [
 ]
 SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 NGRAM_MIN, NGRAM_MAX = 3, 4          # n-gram analyzer
-EDGE_MIN, EDGE_MAX = 2, 20           # edge n-gram (autocomplete) analyzer
 # ------------------------------------------------------------------------------------
 
 _STOP = sorted(set(FRENCH_STOP_WORDS))
@@ -92,21 +92,15 @@ def ngrams(tokens: Column, lo: int = NGRAM_MIN, hi: int = NGRAM_MAX) -> Column:
     return F.array_distinct(F.flatten(per_token))
 
 
-def edge_ngrams(tokens: Column, lo: int = EDGE_MIN, hi: int = EDGE_MAX) -> Column:
-    """Distinct leading substrings of each token, lengths lo..hi."""
-    empty = F.array().cast("array<string>")
-
-    def edges(t: Column) -> Column:
-        lengths = F.sequence(F.lit(lo), F.least(F.length(t), F.lit(hi)))
-        return F.when(F.length(t) >= lo, F.transform(lengths, lambda n: F.left(t, n))).otherwise(empty)
-
-    return F.array_distinct(F.flatten(F.transform(tokens, edges)))
+# ---- the same analysis in plain Python, for query literals in SQL checks and tests --
+def text_positions(text: str) -> list[tuple[int, str]]:
+    """(position, term) of a query text; stop words leave gaps."""
+    spaced = "".join(c if unicodedata.category(c)[0] in "LN" else " " for c in text.lower())
+    return [(i, t) for i, t in enumerate(spaced.split()) if t not in set(_STOP)]
 
 
-# ---- the same analysis in plain Python, for query literals in SQL checks and tests --
 def analyze_text(text: str) -> list[str]:
-    toks = [t for t in _re.split(SPLIT_PATTERN, text.lower()) if t]
-    return [t for t in toks if t not in set(_STOP)]
+    return [t for _, t in text_positions(text)]
 
 
 def stop_words() -> list[str]:

@@ -33,7 +33,7 @@ def to_reading(joined: DataFrame, labels: dict | None = None) -> DataFrame:
     types = (F.coalesce(F.col("num_bikes_available_types"), F.array().cast(BIKE_TYPES))
              if "num_bikes_available_types" in cols else F.array().cast(BIKE_TYPES))
     collected = (F.col("collected_at") if "collected_at" in cols
-                 else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+                 else C.iso_utc(C.utc_text(F.current_timestamp())))
 
     def flag(name: str) -> Column:
         if name not in cols:
@@ -68,7 +68,7 @@ def enrich(readings: DataFrame, ingest_time: Column | None = None, labels: dict
     """
     schema = readings.schema
     flags = {n: C.truthy(n, schema[n].dataType).alias(n) for n in FLAG_COLUMNS if n in readings.columns}
-    parsed = readings.withColumn("_parsed_ts", F.try_to_timestamp("collected_at"))
+    parsed = readings.withColumn("_parsed_ts", C.parse_utc("collected_at"))
     fallback = ingest_time if ingest_time is not None else F.current_timestamp()
     out = parsed.select(
         *[flags.get(c, F.col(c)) for c in readings.columns if c not in DROPPED_FIELDS],
@@ -84,4 +84,4 @@ def enrich(readings: DataFrame, ingest_time: Column | None = None, labels: dict
     return (out
             .withColumn("hour_of_day", C.hour_of_day("ts"))
             .withColumn("time_period", C.time_period(F.col("hour_of_day")))
-            .withColumn("dt", F.to_date("ts")))
+            .withColumn("dt", C.utc_date("ts")))

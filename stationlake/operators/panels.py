@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import PERIOD_NAMES, count_when, mean_2dp, round2
+from stationlake.functions.columns import PERIOD_NAMES, count_when, mean_2dp, round2, utc_hour
+from stationlake.operators.join import last_rows
 from stationlake.operators.predicates import terms
 
 
 def hourly_line(df: DataFrame, metric: str = "num_bikes_available", alias: str = "avg_bikes") -> DataFrame:
     """Average of one metric per UTC hour bucket (buckets with data only)."""
-    return (df.groupBy(F.date_trunc("hour", "ts").alias("bucket"))
+    return (df.groupBy(utc_hour("ts").alias("bucket"))
             .agg(round2(F.avg(metric)).alias(alias), F.count(F.lit(1)).alias("doc_count"))
             .orderBy("bucket"))
 
@@ -36,7 +37,7 @@ def occupancy_heatmap(df: DataFrame) -> DataFrame:
     The pivot values are given, so Spark plans a single aggregation without a
     distinct-values pass.
     """
-    return (df.groupBy(F.date_trunc("hour", "ts").alias("bucket"))
+    return (df.groupBy(utc_hour("ts").alias("bucket"))
             .pivot("time_period", PERIOD_NAMES)
             .agg(round2(mean_2dp("occupation_rate")))
             .orderBy("bucket"))
@@ -52,13 +53,14 @@ def problem_table(df: DataFrame) -> DataFrame:
 def latest_per_station(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Each station's latest reading (map layer: point, occupancy colour, tooltip).
 
-    ``max_by`` aggregates partially before the shuffle, so a station with a huge
-    history never lands whole in one task (a ranking window would).
+    A hash aggregate finds each station's latest time; only readings at that time are
+    compared further, so a station with a huge history is combined map-side.
     """
     cols = cols or ["name", "latitude", "longitude", "occupation_rate", "num_bikes_available",
                     "num_docks_available", "station_status", "is_installed", "is_renting", "ts"]
-    latest = F.max_by(F.struct(*cols), F.struct("ts", "last_reported", "num_bikes_available"))
-    return df.groupBy("station_id").agg(latest.alias("r")).select("station_id", "r.*")
+    order = ["ts", "last_reported", "num_bikes_available"]
+    rows = df.select("station_id", *dict.fromkeys([*cols, *order]))
+    return last_rows(rows, "station_id", order).select("station_id", *cols)
 
 
 def key_figures(latest: DataFrame) -> DataFrame:

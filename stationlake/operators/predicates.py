@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.functions.columns import parse_utc, utc_date
+
 # ---- fixed values ------------------------------------------------------------------
 EARTH_RADIUS_M = 6371008.7714  # mean earth radius used by the geo distance
 DEG = math.pi / 180.0
@@ -67,37 +69,37 @@ def _interval(seconds: float) -> Column:
     return F.expr(f"INTERVAL '{int(seconds)}' SECOND")
 
 
-def latest_event_micros(df: DataFrame, ts: str = "ts") -> int | None:
-    """The data's greatest event time, as microseconds since the epoch (one value).
+def store_days(df: DataFrame) -> list[str]:
+    """The days ('yyyy-MM-dd') of the store folders that ``df`` reads, sorted; from file names, no job."""
+    return sorted({m for f in df.inputFiles() for m in re.findall(r"/dt=(\d{4}-\d{2}-\d{2})/", f)})
+
+
+def latest_event(df: DataFrame, ts: str = "ts") -> Column:
+    """The data's greatest event time, as a scalar subquery of the query that uses it.
 
-    The newest event lies in the newest day: with a ``dt`` column the max-day query
-    reads only partition values on a day-partitioned store, and the max-time query
-    then reads that single day.
+    On a day-partitioned store only the newest day (known from the partition folders)
+    is read for it. No job runs while the plan is built; day bounds that depend on the
+    subquery prune partitions once its value is known.
     """
-    if "dt" in df.columns:
-        last_day = df.agg(F.max("dt")).first()[0]
-        if last_day is None:
-            return None
-        df = df.filter(F.col("dt") == F.lit(last_day))
-    return df.agg(F.unix_micros(F.max(ts))).first()[0]
+    days = store_days(df) if "dt" in df.columns else []
+    newest = df.filter(F.col("dt") == F.lit(days[-1]).cast("date")) if days else df
+    return newest.agg(F.max(ts)).scalar()
 
 
 def resolve_as_of(df: DataFrame, as_of=None, ts: str = "ts") -> Column:
     """The "now" of relative ranges.
 
-    ``None``: the query time; ``"latest"``: the data's greatest event time, looked up
-    once and used as a literal, so time and day bounds prune partitions at planning
-    time and reach the Parquet scan; a ``datetime``/text: that instant; a ``Column``:
-    as is.
+    ``None``: the query time; ``"latest"``: the data's greatest event time
+    (:func:`latest_event`); a ``datetime``: that instant; text: that instant, UTC unless
+    it names a zone; a ``Column``: as is.
     """
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, str) and as_of == "latest":
-        micros = latest_event_micros(df, ts)
-        return F.timestamp_micros(F.lit(micros)) if micros is not None else F.lit(None).cast("timestamp")
-    return F.lit(as_of).cast("timestamp")
+        return latest_event(df, ts)
+    return parse_utc(F.lit(as_of)) if isinstance(as_of, str) else F.lit(as_of).cast("timestamp")
 
 
 def time_range(since, as_of: Column, ts: str = "ts", until: bool = True,
@@ -108,9 +110,9 @@ def time_range(since, as_of: Column, ts: str = "ts", until: bool = True,
     if until:
         pred = pred & (_c(ts) <= as_of)
     if day_col:
-        pred = pred & (F.col(day_col) >= F.to_date(lo))
+        pred = pred & (F.col(day_col) >= utc_date(lo))
         if until:
-            pred = pred & (F.col(day_col) <= F.to_date(as_of))
+            pred = pred & (F.col(day_col) <= utc_date(as_of))
     return pred
 
 
@@ -132,7 +134,13 @@ def bounding_box(lat, lon, lat0: float, lon0: float, radius_m: float) -> Column:
     c = math.cos(lat0 * DEG)
     if math.sin(d) < c:
         dlon = math.asin(math.sin(d) / c) / DEG + 1e-9
-        pred = pred & _c(lon).between(lon0 - dlon, lon0 + dlon)
+        west, east = lon0 - dlon, lon0 + dlon
+        box = _c(lon).between(west, east)
+        if west < -180:  # the box goes on beyond the 180th meridian
+            box = box | (_c(lon) >= west + 360)
+        if east > 180:
+            box = box | (_c(lon) <= east - 360)
+        pred = pred & box
     return pred
 
 

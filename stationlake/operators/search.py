@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import count_when, mean_2dp
+from stationlake.functions.columns import count_when, mean_2dp, utc_text
 from stationlake.operators.predicates import (geo_within, haversine_m, resolve_as_of, term,
                                               time_range)
 
@@ -55,24 +55,25 @@ def by_district(df: DataFrame, since="1h", as_of=None, size: int = 20) -> DataFr
 
 
 def hour_bucket(ts: str = "ts", tz: str = DEFAULT_TZ) -> Column:
-    """Start (UTC instant) of the fixed 1-hour bucket, rounded in zone ``tz``."""
-    return F.to_utc_timestamp(F.date_trunc("hour", F.from_utc_timestamp(F.col(ts), tz)), tz)
+    """Start (instant) of the 1-hour bucket, rounded by the offset in force in zone ``tz`` at that instant.
+
+    The two hours that share a local time on an autumn clock change stay apart.
+    """
+    s = F.unix_seconds(F.col(ts))
+    local = F.unix_seconds(F.from_utc_timestamp(F.col(ts), tz))
+    return F.timestamp_seconds(s - F.pmod(local, F.lit(3600)))
 
 
 def hourly_histogram(df: DataFrame, since="24h", as_of=None, tz: str = DEFAULT_TZ,
                      approx_distinct: bool = False) -> DataFrame:
     """1-hour date histogram with empty buckets kept between the first and last.
 
-    Empty buckets have ``doc_count`` 0, NULL averages and 0 distinct stations.
-    One shuffle aggregates the readings per hour; the hourly rows (at most one per
-    hour of the requested range, whatever the data volume) are then gathered into
-    one map, and the full hour sequence between the first and last bucket is read
-    from it, so the gap fill needs no join and no second pass over the aggregate.
+    Empty buckets have ``doc_count`` 0, NULL averages and 0 distinct stations. The hour
+    sequence between the first and the last bucket is left-joined to the hourly aggregate.
     """
     now = resolve_as_of(df, as_of)
     distinct = (F.approx_count_distinct("station_id") if approx_distinct
                 else F.count_distinct("station_id"))
-    metrics = ("doc_count", "avg_bikes", "avg_electric", "avg_mechanical", "total_stations")
     agg = (df.filter(time_range(since, now))
            .groupBy(hour_bucket("ts", tz).alias("bucket"))
            .agg(F.count(F.lit(1)).alias("doc_count"),
@@ -80,17 +81,14 @@ def hourly_histogram(df: DataFrame, since="24h", as_of=None, tz: str = DEFAULT_T
                 _avg("electric_bikes", "avg_electric"),
                 _avg("mechanical_bikes", "avg_mechanical"),
                 distinct.alias("total_stations")))
-    packed = agg.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"),
-                     F.map_from_entries(F.collect_list(F.struct("bucket", F.struct(*metrics)))).alias("m"))
-    hours = packed.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("bucket"), "m")
-    cell = F.try_element_at("m", F.col("bucket"))
-    return (hours.select(
-        "bucket",
-        F.date_format(F.from_utc_timestamp("bucket", tz), "yyyy-MM-dd HH:mm:ss").alias("bucket_local"),
-        F.coalesce(cell["doc_count"], F.lit(0)).cast("bigint").alias("doc_count"),
-        cell["avg_bikes"].alias("avg_bikes"), cell["avg_electric"].alias("avg_electric"),
-        cell["avg_mechanical"].alias("avg_mechanical"),
-        F.coalesce(cell["total_stations"], F.lit(0)).cast("bigint").alias("total_stations"))
+    ends = agg.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+    hours = ends.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("bucket"))
+    local = utc_text(F.from_utc_timestamp("bucket", tz))
+    return (hours.join(agg, "bucket", "left").select(
+        "bucket", F.substring(local, 1, 19).alias("bucket_local"),
+        F.coalesce("doc_count", F.lit(0)).cast("bigint").alias("doc_count"),
+        "avg_bikes", "avg_electric", "avg_mechanical",
+        F.coalesce("total_stations", F.lit(0)).cast("bigint").alias("total_stations"))
         .orderBy("bucket"))
 
 
@@ -110,17 +108,23 @@ def by_period(df: DataFrame, since="7d", as_of=None, size: int = 10) -> DataFram
 def top_names_by_occupation(df: DataFrame, since="24h", as_of=None, size: int = 20) -> DataFrame:
     """Names with the highest average occupancy, with one sample reading each.
 
-    The sample is the latest reading of the name (``max_by``, a partial aggregate).
+    The sample is the latest reading of the name. The averages and the latest time are one
+    hash aggregate over the readings; only readings of the ``size`` top names at their latest
+    time are compared further.
     """
     now = resolve_as_of(df, as_of)
-    sample = F.max_by(F.struct("latitude", "longitude", "capacity"), F.struct("ts", "station_id"))
-    agg = (df.filter(time_range(since, now, until=False) & F.col("name").isNotNull())
-           .groupBy("name")
+    rows = df.filter(time_range(since, now, until=False) & F.col("name").isNotNull())
+    agg = (rows.groupBy("name")
            .agg(F.count(F.lit(1)).alias("doc_count"),
                 _avg("occupation_rate", "avg_occupation"),
                 _avg("num_bikes_available", "avg_bikes"),
-                sample.alias("s")))
-    return (terms_top(agg, "name", size, order="avg_occupation")
+                F.max("ts").alias("ts")))
+    top = terms_top(agg, "name", size, order="avg_occupation")  # ``size`` rows
+    sample = F.max_by(F.struct("latitude", "longitude", "capacity"), "station_id").alias("s")
+    latest = (rows.select("name", "ts", "station_id", "latitude", "longitude", "capacity")
+              .join(F.broadcast(top), ["name", "ts"])
+              .groupBy("name", "doc_count", "avg_occupation", "avg_bikes").agg(sample))
+    return (terms_top(latest, "name", size, order="avg_occupation")
             .select("name", "doc_count", "avg_occupation", "avg_bikes",
                     F.col("s.latitude").alias("sample_lat"), F.col("s.longitude").alias("sample_lon"),
                     F.col("s.capacity").alias("sample_capacity")))

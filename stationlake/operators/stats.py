@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import count_when, mean_2dp, rate_pct, round2
+from stationlake.functions.columns import count_when, hour_of_day, mean_2dp, rate_pct, round2
 
 
 def _is(status: str):
@@ -43,7 +43,7 @@ def station_count(stats: DataFrame) -> DataFrame:
 
 def hourly_patterns(df: DataFrame) -> DataFrame:
     """Per hour of event time, ordered by hour."""
-    return (df.groupBy(F.hour("ts").alias("hour"))
+    return (df.groupBy(hour_of_day("ts").alias("hour"))
             .agg(F.count(F.lit(1)).alias("nb_mesures"),
                  F.avg("num_bikes_available").alias("bikes_avg"),
                  F.avg("num_docks_available").alias("docks_avg"),

@@ -1,13 +1,13 @@
 """Text search on station names (D02-D08). Hits are readings, as in the reference.
 
-Plan shape: one scan of the readings with a cheap substring pre-filter (every query
-token is a substring of the lower-cased name), the name analyzer on the survivors,
-the exact match test, a per-row score, and a top-k. No join and no shuffle of the
-readings. Corpus statistics for BM25 come from one partially aggregated
-``groupBy(name)`` exposed as a single scalar subquery.
-
-The query string is analysed on the driver with the same rules as the name
-analyzer (:func:`stationlake.functions.text.analyze_text`); it is a literal.
+Every search works on the name dimension: the distinct names with their number of readings
+and analysed tokens. It is built by one partially aggregated ``groupBy(name)`` (only the
+name column is read), or passed in as ``names`` where it is kept as a table of its own
+(:func:`name_dimension`). Names are matched and scored there; the matching names are then
+joined back to the readings (a broadcast join while Spark finds them small) for a top-k.
+
+The query string is analysed with the same rules as the names
+(:func:`stationlake.functions.text.text_positions`); it is a literal.
 """
 
 from __future__ import annotations
@@ -18,90 +18,74 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.functions.distance import osa
-from stationlake.functions.text import (EDGE_MAX, EDGE_MIN, NGRAM_MAX, NGRAM_MIN, analyze, analyze_positions,
-                                        analyze_text, ngrams, ngrams_text)
+from stationlake.functions.text import (NGRAM_MAX, NGRAM_MIN, analyze, analyze_positions, analyze_text, ngrams,
+                                        ngrams_text, text_positions)
 
 # BM25 parameters (the search engine's defaults).
 K1, B = 1.2, 0.75
 HIT_COLUMNS = ("name", "station_id", "ts", "num_bikes_available", "station_status")
 
 
-def name_counts(df: DataFrame, field: str = "name") -> DataFrame:
+def name_dimension(df: DataFrame, field: str = "name") -> DataFrame:
     """Distinct names with their number of readings and analysed tokens."""
     return (df.filter(F.col(field).isNotNull()).groupBy(F.col(field).alias("name"))
             .agg(F.count(F.lit(1)).alias("n_docs"))
             .withColumn("toks", analyze("name")))
 
 
-def _rows(df: DataFrame, pre: Column) -> DataFrame:
-    """Hit columns of the readings passing the substring pre-filter, with their tokens."""
-    return df.select(*HIT_COLUMNS).filter(pre).withColumn("_toks", analyze("name"))
+def _hits(df: DataFrame, matched: DataFrame, order: list[Column], size: int, extra: tuple[str, ...] = (),
+          fields=HIT_COLUMNS) -> DataFrame:
+    """Top readings of the matched names; ``fields``: their columns, "*" for the whole reading."""
+    own = list(df.columns) if fields == "*" else list(fields)
+    rows = df.select(*dict.fromkeys([*own, "name", "ts", "station_id"]))
+    return rows.join(matched, "name").orderBy(*order, F.col("ts").desc(), "station_id").limit(size).select(*own, *extra)
 
 
-def _contains_all(terms) -> Column:
-    return reduce(lambda a, b: a & b, [F.lower("name").contains(t) for t in dict.fromkeys(terms)])
-
-
-def _contains_any(terms) -> Column:
-    return reduce(lambda a, b: a | b, [F.lower("name").contains(t) for t in dict.fromkeys(terms)])
-
-
-def _term_frequency(toks: Column, t: str) -> Column:
-    """Occurrences of the analysed term ``t`` (letters and digits only) in ``toks``."""
-    return F.size(F.filter(toks, lambda x: x == F.lit(t))).cast("double")
-
-
-def _term_frequency_sql(toks: str, t: str) -> Column:
-    return F.expr(f"CAST(size(filter(`{toks}`, x -> x = '{t}')) AS DOUBLE)")
+def _nothing(df: DataFrame, extra: dict[str, str], fields=HIT_COLUMNS) -> DataFrame:
+    own = list(df.columns) if fields == "*" else list(fields)
+    return df.select(*own, *[F.lit(None).cast(t).alias(c) for c, t in extra.items()]).limit(0)
 
 
 def _starts_with(t: str):
     return lambda x: x.startswith(t)
 
 
-def _top(hits: DataFrame, order: list[Column], size: int, extra: tuple[str, ...] = ()) -> DataFrame:
-    return hits.orderBy(*order).limit(size).select(*HIT_COLUMNS, *extra)
+def _is(t: str):
+    return lambda x: x == F.lit(t)
 
 
-def _nothing(df: DataFrame, extra: dict[str, str]) -> DataFrame:
-    return df.select(*HIT_COLUMNS, *[F.lit(None).cast(t).alias(c) for c, t in extra.items()]).limit(0)
+def _holds(t: str) -> Column:
+    return F.array_contains("toks", F.lit(t))
 
 
-def corpus_stats(df: DataFrame, terms: list[str]) -> Column:
+def corpus_stats(names: DataFrame, terms: list[str]) -> Column:
     """One scalar subquery: readings with a name (``n``), total tokens (``len``), and per
     distinct query term the readings whose name holds it (``df0``, ``df1``, ...)."""
-    names = name_counts(df)
     cols = [F.sum("n_docs").cast("double").alias("n"), F.sum(F.col("n_docs") * F.size("toks")).alias("len")]
     for i, t in enumerate(dict.fromkeys(terms)):
-        cols.append(F.sum(F.when(F.array_contains("toks", F.lit(t)), F.col("n_docs")).otherwise(0)).alias(f"df{i}"))
+        cols.append(F.sum(F.when(_holds(t), F.col("n_docs")).otherwise(0)).alias(f"df{i}"))
     return names.agg(F.struct(*cols).alias("s")).scalar()
 
 
-def bm25_score(toks, terms: list[str], stats: Column) -> Column:
+def bm25_score(terms: list[str], stats: Column) -> Column:
     """BM25 (k1 1.2, b 0.75, idf ln(1 + (N - df + 0.5) / (df + 0.5))), 6 decimals.
 
     Summed over the query terms in query order (a repeated term counts again).
     """
     distinct = list(dict.fromkeys(terms))
-    if isinstance(toks, str):
-        name = toks
-        tf_of = lambda t: _term_frequency_sql(name, t)
-        toks = F.col(name)
-    else:
-        col = toks
-        tf_of = lambda t: _term_frequency(col, t)
     avgdl = stats["len"] / stats["n"]
-    norm = F.lit(K1) * (1 - F.lit(B) + F.lit(B) * F.size(toks).cast("double") / avgdl)
+    norm = F.lit(K1) * (1 - F.lit(B) + F.lit(B) * F.size("toks").cast("double") / avgdl)
     score = F.lit(0.0)
     for t in terms:
         dfreq = stats[f"df{distinct.index(t)}"]
         idf = F.log(1 + (stats["n"] - dfreq + 0.5) / (dfreq + 0.5))
-        tf = tf_of(t)
+        tf = F.size(F.filter("toks", _is(t))).cast("double")
         score = score + idf * tf / (tf + norm)
     return F.round(score, 6)
 
 
-def match_terms(df: DataFrame, query: str, operator: str = "and", size: int = 10) -> DataFrame:
+def match_terms(df: DataFrame, query: str, operator: str = "and", size: int = 10, fields=HIT_COLUMNS,
+                names: DataFrame | None = None) -> DataFrame:
     """D02 (``operator='and'``: every query term in the name) / match with ``'or'``.
 
     Ordered by BM25 score, then newest reading, then station id. A query with no
@@ -109,65 +93,61 @@ def match_terms(df: DataFrame, query: str, operator: str = "and", size: int = 10
     """
     q = analyze_text(query)
     if not q:
-        return _nothing(df, {"score": "double"})
-    both = operator == "and"
-    rows = _rows(df, _contains_all(q) if both else _contains_any(q))
-    tests = [F.array_contains("_toks", F.lit(t)) for t in dict.fromkeys(q)]
-    hits = rows.filter(reduce(lambda a, b: (a & b) if both else (a | b), tests))
-    hits = hits.withColumn("score", bm25_score("_toks", q, corpus_stats(df, q)))
-    return _top(hits, [F.col("score").desc(), F.col("ts").desc(), "station_id"], size, ("score",))
+        return _nothing(df, {"score": "double"}, fields)
+    names = names if names is not None else name_dimension(df)
+    tests = [_holds(t) for t in dict.fromkeys(q)]
+    hit = names.filter(reduce(lambda a, b: (a & b) if operator == "and" else (a | b), tests))
+    scored = hit.select("name", bm25_score(q, corpus_stats(names, q)).alias("score"))
+    return _hits(df, scored, [F.col("score").desc()], size, ("score",), fields)
 
 
-def name_scores(df: DataFrame, query: str) -> DataFrame:
+def name_scores(df: DataFrame, query: str, names: DataFrame | None = None) -> DataFrame:
     """D08 table: BM25 score per name matching any query term."""
     q = analyze_text(query)
-    names = name_counts(df)
-    hit = reduce(lambda a, b: a | b, [F.array_contains("toks", F.lit(t)) for t in dict.fromkeys(q)])
-    return names.filter(hit).select("name", "n_docs", bm25_score("toks", q, corpus_stats(df, q)).alias("score"))
+    names = names if names is not None else name_dimension(df)
+    hit = reduce(lambda a, b: a | b, [_holds(t) for t in dict.fromkeys(q)])
+    return names.filter(hit).select("name", "n_docs", bm25_score(q, corpus_stats(names, q)).alias("score"))
 
 
-def phrase_prefix(df: DataFrame, query: str, size: int = 20) -> DataFrame:
+def phrase_prefix(df: DataFrame, query: str, size: int = 20, fields=HIT_COLUMNS,
+                  names: DataFrame | None = None) -> DataFrame:
     """The query's terms as a phrase whose last term is a prefix.
 
-    Earlier terms must match exactly, in order, at consecutive positions; the last
-    must start a token at the next position. Every expansion counts (no cap).
+    The terms must stand in the name at the distances they have in the query, stop words
+    counted on both sides; the last must start a token. Every expansion counts (no cap).
     Ordered by fewest name tokens, newest reading, station id.
     """
-    q = analyze_text(query)
+    q = text_positions(query)
     if not q:
-        return _nothing(df, {})
-    n = len(q)
-    rows = _rows(df, _contains_all(q)).withColumn("_tp", analyze_positions("name"))
-
-    def phrase_at(i: Column) -> Column:
-        first = F.element_at("_tp", i)
-        conds = []
-        for k, t in enumerate(q):
-            tok = F.element_at("_tp", i + k)
-            same = tok["term"].startswith(t) if k == n - 1 else (tok["term"] == F.lit(t))
-            conds.append(same & (tok["pos"] == first["pos"] + k))
+        return _nothing(df, {}, fields)
+    names = names if names is not None else name_dimension(df)
+
+    def at(first: Column, distance: int, t: str, last: bool):
+        return lambda x: ((x["term"].startswith(t) if last else (x["term"] == F.lit(t)))
+                          & (x["pos"] == first["pos"] + distance))
+
+    def phrase_at(first: Column) -> Column:
+        conds = [F.exists("tp", at(first, pos - q[0][0], t, k == len(q) - 1)) for k, (pos, t) in enumerate(q)]
         return reduce(lambda a, b: a & b, conds)
 
-    found = (F.size("_tp") >= n) & F.exists(F.sequence(F.lit(1), F.greatest(F.size("_tp") - n + 1, F.lit(1))),
-                                             phrase_at)
-    hits = rows.filter(found).withColumn("_n", F.size("_toks"))
-    return _top(hits, [F.col("_n").asc(), F.col("ts").desc(), "station_id"], size)
+    hit = names.withColumn("tp", analyze_positions("name")).filter(F.exists("tp", phrase_at))
+    return _hits(df, hit.select("name", F.size("toks").alias("_n")), [F.col("_n").asc()], size, (), fields)
 
 
-def ngram_match(df: DataFrame, query: str, size: int = 20, lo: int = NGRAM_MIN,
-                hi: int = NGRAM_MAX) -> DataFrame:
+def ngram_match(df: DataFrame, query: str, size: int = 20, lo: int = NGRAM_MIN, hi: int = NGRAM_MAX,
+                fields=HIT_COLUMNS, names: DataFrame | None = None) -> DataFrame:
     """Names sharing any character n-gram (lo..hi) with the query.
 
     Ordered by number of shared grams, then newest reading, then station id.
     """
     qg = ngrams_text(analyze_text(query), lo, hi)
     if not qg:
-        return _nothing(df, {"shared": "bigint"})
+        return _nothing(df, {"shared": "bigint"}, fields)
+    names = names if names is not None else name_dimension(df)
     grams = F.array(*[F.lit(g) for g in qg])
-    hits = (_rows(df, _contains_any(qg))
-            .withColumn("shared", F.size(F.array_intersect(ngrams(F.col("_toks"), lo, hi), grams)).cast("bigint"))
-            .filter(F.col("shared") > 0))
-    return _top(hits, [F.col("shared").desc(), F.col("ts").desc(), "station_id"], size, ("shared",))
+    shared = F.size(F.array_intersect(ngrams(F.col("toks"), lo, hi), grams)).cast("bigint")
+    hit = names.select("name", shared.alias("shared")).filter(F.col("shared") > 0)
+    return _hits(df, hit, [F.col("shared").desc()], size, ("shared",), fields)
 
 
 def auto_fuzziness(length: int) -> int:
@@ -175,63 +155,54 @@ def auto_fuzziness(length: int) -> int:
     return 0 if length <= 2 else (1 if length <= 5 else 2)
 
 
-def fuzzy_terms(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int = 1,
-                max_expansions: int = 50) -> DataFrame:
+def fuzzy_terms(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int = 0,
+                max_expansions: int | None = None, names: DataFrame | None = None) -> DataFrame:
     """D05 expansion: vocabulary terms within the allowed edits of ``value``.
 
-    Both sides are lower-cased. Candidates must share the first ``prefix_length``
-    characters and differ in length by at most the allowed edits before the
-    distance UDF runs; the ``max_expansions`` closest terms are kept (ties by term).
+    Both sides are lower-cased. A request may ask for the first ``prefix_length`` characters
+    to be the same, and for the ``max_expansions`` closest terms only (ties by term); by
+    default every term within the edits counts.
     """
     v = value.lower()
     k = auto_fuzziness(len(v)) if fuzziness == "AUTO" else int(fuzziness)
-    vocab = name_counts(df).select(F.explode("toks").alias("term")).distinct()
-    cand = vocab.filter((F.abs(F.length("term") - len(v)) <= k)
-                        & (F.left("term", F.lit(prefix_length)) == v[:prefix_length]))
-    scored = cand.withColumn("distance", osa(F.col("term"), F.lit(v))).filter(F.col("distance") <= k)
-    return scored.orderBy("distance", "term").limit(max_expansions)
+    names = names if names is not None else name_dimension(df)
+    vocab = names.select(F.explode("toks").alias("term")).distinct()
+    near = ((F.abs(F.length("term") - len(v)) <= k) & (F.left("term", F.lit(prefix_length)) == v[:prefix_length])
+            & (F.levenshtein(F.col("term"), F.lit(v)) <= 2 * k))
+    out = vocab.filter(near).withColumn("distance", osa(F.col("term"), F.lit(v))).filter(F.col("distance") <= k)
+    return out.orderBy("distance", "term").limit(max_expansions) if max_expansions else out
 
 
-def fuzzy_match(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int = 1,
-                max_expansions: int = 50, size: int = 10) -> DataFrame:
+def fuzzy_match(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int = 0,
+                max_expansions: int | None = None, size: int = 10, fields=HIT_COLUMNS,
+                names: DataFrame | None = None) -> DataFrame:
     """Readings whose name holds a term within the allowed edits.
 
-    The expansion list has at most ``max_expansions`` rows, so it is brought to the
-    driver and enters the row scan as a literal map term -> distance.
     Ordered by smallest distance, newest reading, station id.
     """
-    expansions = fuzzy_terms(df, value, fuzziness, prefix_length, max_expansions).collect()
-    if not expansions:
-        return _nothing(df, {"distance": "int"})
-    terms = [r.term for r in expansions]
-    dist = F.create_map(*[x for r in expansions for x in (F.lit(r.term), F.lit(r.distance))])
-    hits = (_rows(df, _contains_any(terms))
-            .withColumn("_m", F.array_intersect("_toks", F.array(*[F.lit(t) for t in terms])))
-            .filter(F.size("_m") > 0)
-            .withColumn("distance", F.array_min(F.transform("_m", lambda t: dist[t])).cast("int")))
-    return _top(hits, [F.col("distance").asc(), F.col("ts").desc(), "station_id"], size, ("distance",))
-
-
-def autocomplete(df: DataFrame, prefix: str, size: int = 10) -> DataFrame:
+    names = names if names is not None else name_dimension(df)
+    near = fuzzy_terms(df, value, fuzziness, prefix_length, max_expansions, names)
+    hit = (names.select("name", F.explode("toks").alias("term")).join(near, "term")
+           .groupBy("name").agg(F.min("distance").alias("distance")))
+    return _hits(df, hit, [F.col("distance").asc()], size, ("distance",), fields)
+
+
+def autocomplete(df: DataFrame, prefix: str, size: int = 10, names: DataFrame | None = None) -> DataFrame:
     """Distinct names starting with the prefix (case-insensitive), alphabetical."""
-    p = prefix.lower()
-    return (df.select("name").filter(F.lower("name").startswith(p)).distinct()
-            .orderBy("name").limit(size))
+    found = names if names is not None else df.groupBy("name").agg(F.count(F.lit(1)).alias("n_docs"))
+    return found.filter(F.lower("name").startswith(prefix.lower())).select("name").orderBy("name").limit(size)
 
 
-def edge_ngram_match(df: DataFrame, query: str, size: int = 10, lo: int = EDGE_MIN,
-                     hi: int = EDGE_MAX) -> DataFrame:
-    """Names with a token whose edge n-grams (lo..hi) hold a query term.
+def edge_ngram_match(df: DataFrame, query: str, size: int = 10, fields=HIT_COLUMNS,
+                     names: DataFrame | None = None) -> DataFrame:
+    """Names with a token that starts with a query term, of whatever length.
 
-    A term of length lo..hi is an edge n-gram of a token exactly when the token
-    starts with it, which is what is tested. Ordered by number of matched query
-    terms, newest reading, station id.
+    Ordered by number of matched query terms, newest reading, station id.
     """
-    q = [t for t in analyze_text(query) if lo <= len(t) <= hi]
+    q = analyze_text(query)
     if not q:
-        return _nothing(df, {"matched": "bigint"})
-    per_term = [F.exists("_toks", _starts_with(t)).cast("bigint") for t in q]
-    hits = (_rows(df, _contains_any(q))
-            .withColumn("matched", reduce(lambda a, b: a + b, per_term))
-            .filter(F.col("matched") > 0))
-    return _top(hits, [F.col("matched").desc(), F.col("ts").desc(), "station_id"], size, ("matched",))
+        return _nothing(df, {"matched": "bigint"}, fields)
+    names = names if names is not None else name_dimension(df)
+    per_term = [F.exists("toks", _starts_with(t)).cast("bigint") for t in q]
+    hit = names.select("name", reduce(lambda a, b: a + b, per_term).alias("matched")).filter(F.col("matched") > 0)
+    return _hits(df, hit, [F.col("matched").desc()], size, ("matched",), fields)

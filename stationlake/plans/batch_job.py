@@ -16,7 +16,7 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import rate_pct, round2, time_period
+from stationlake.functions.columns import hour_of_day, rate_pct, round2, time_period
 from stationlake.operators.stats import summary_from
 from stationlake.sources.sinks import write_csv, write_json
 from stationlake.sources.store import cache_base
@@ -31,7 +31,7 @@ def partials(readings: DataFrame) -> DataFrame:
     """The one pass: additive pieces per (name, station_id, hour)."""
     occ = F.round(F.col("occupation_rate") * 100).cast("long")
     both = F.col("mechanical_bikes").isNotNull() & F.col("electric_bikes").isNotNull()
-    return (readings.groupBy("name", "station_id", F.hour("ts").alias("hour"))
+    return (readings.groupBy("name", "station_id", hour_of_day("ts").alias("hour"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.count("num_bikes_available").alias("n_bikes"),
                  F.sum("num_bikes_available").alias("s_bikes"),

@@ -8,37 +8,31 @@ chain) and runs over the whole tables. Parameters that depend on the data, such
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.functions.text import analyze_text, ngrams_text, stop_words
+from stationlake.functions import columns as C
+from stationlake.functions.text import analyze_text, ngrams_text, stop_words, text_positions
 from stationlake.operators import panels, search, stats
 from stationlake.operators import predicates as P
 from stationlake.operators import text_search as TS
 from stationlake.operators.join import dedup_last
 from stationlake.oracle import avg2dp, cnt, r, r2, with_readings
 from stationlake.sources import store as ST
-from stationlake.sources.fixtures import readings, station_info
+from stationlake.session import checkpoint_path
+from stationlake.sources.fixtures import readings, station_info, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
-    """Register ``fn(spark, sf_dir)``; it runs with the session zone pinned to UTC.
-
-    Event time is UTC and hour-of-day, day partitions and hour buckets are taken in
-    the session zone, so a caller's session with another default zone would shift them.
-    """
+    """Register ``fn(spark, sf_dir)``; results don't depend on the session zone."""
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-                spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -512,23 +506,66 @@ def q_d08(spark, sf):
     return TS.name_scores(readings(spark, sf), "red gizmo")
 
 
-@register("d03_phrase_prefix_red_wid", with_readings(_TOKENS + f"""
-, m AS (SELECT name, len(toks) AS n_tokens FROM tk
-        WHERE len(list_filter(range(1, len(toks)), lambda i: toks[i] = 'red' AND starts_with(toks[i + 1], 'wid'))) > 0)
-SELECT {_HIT} FROM readings r JOIN m ON r.name = m.name
-ORDER BY m.n_tokens, r.ts DESC, r.station_id LIMIT 20"""))
+def _phrase_sql(query: str, size: int, tokens: str, hits: str = "readings") -> str:
+    """Words with their places (stop words keep theirs); the phrase starts at some place i."""
+    q = text_positions(query)
+    stop = _sql_list(stop_words())
+    conds = []
+    for k, (pos, t) in enumerate(q):
+        word = f"words[i + {pos - q[0][0]}]"
+        same = f"starts_with({word}, '{t}')" if k == len(q) - 1 else f"{word} = '{t}'"
+        conds.append(f"coalesce({same} AND NOT list_contains({stop}, {word}), false)")
+    return with_readings(tokens + rf"""
+, wd AS (SELECT name, toks, list_filter(string_split_regex(lower(name), '[^\p{{L}}\p{{N}}]+'), lambda t: t <> '') AS words
+         FROM tk),
+m AS (SELECT name, len(toks) AS n_tokens FROM wd
+      WHERE len(list_filter(range(1, len(words) + 1), lambda i: {' AND '.join(conds)})) > 0)
+SELECT {_HIT} FROM {hits} r JOIN m ON r.name = m.name
+ORDER BY m.n_tokens, r.ts DESC, r.station_id LIMIT {size}""")
+
+
+@register("d03_phrase_prefix_red_wid", _phrase_sql("red wid", 20, _TOKENS))
 def q_d03(spark, sf):
     return TS.phrase_prefix(readings(spark, sf), "red wid", 20)
 
 
-@register("d03_phrase_prefix_single", with_readings(_TOKENS + f"""
-, m AS (SELECT name, len(toks) AS n_tokens FROM tk WHERE len(list_filter(toks, lambda t: starts_with(t, 'bo'))) > 0)
-SELECT {_HIT} FROM readings r JOIN m ON r.name = m.name
-ORDER BY m.n_tokens, r.ts DESC, r.station_id LIMIT 20"""))
+@register("d03_phrase_prefix_single", _phrase_sql("Bo", 20, _TOKENS))
 def q_d03b(spark, sf):
     return TS.phrase_prefix(readings(spark, sf), "Bo", 20)
 
 
+# names with stop words: every reading's name put into a French street name
+_STREET_SQL = """CASE length(name) % 4 WHEN 0 THEN 'Place de la ' || name WHEN 1 THEN 'Gare du ' || name
+                 WHEN 2 THEN 'Rue d''' || name ELSE name || ' Place de la Paix' END"""
+_STREETS = f", streets AS (SELECT * REPLACE ({_STREET_SQL} AS name) FROM readings)" + _TOKENS.replace(
+    "FROM readings WHERE", "FROM streets WHERE")
+
+
+def streets(spark: SparkSession, sf: str) -> DataFrame:
+    n, k = F.col("name"), F.length("name") % 4
+    return readings(spark, sf).withColumn(
+        "name", F.when(k == 0, F.concat(F.lit("Place de la "), n)).when(k == 1, F.concat(F.lit("Gare du "), n))
+        .when(k == 2, F.concat(F.lit("Rue d'"), n)).otherwise(F.concat(n, F.lit(" Place de la Paix"))))
+
+
+@register("d03_phrase_prefix_stop_words", _phrase_sql("Place de la Re", 20, _STREETS, "streets"))
+def q_d03_stop(spark, sf):
+    return TS.phrase_prefix(streets(spark, sf), "Place de la Re", 20)
+
+
+@register("d03_phrase_prefix_gap", _phrase_sql("Gare Re", 20, _STREETS, "streets"))
+def q_d03_gap(spark, sf):
+    """The query has no stop word where the names have one: no hit across it."""
+    return TS.phrase_prefix(streets(spark, sf), "Gare Re", 20)
+
+
+@register("d01_name_tokens", with_readings(_STREETS + """
+SELECT name, n_docs, array_to_string(toks, ' ') AS tokens FROM tk"""))
+def q_d01(spark, sf):
+    return (TS.name_dimension(streets(spark, sf))
+            .select("name", "n_docs", F.array_join("toks", " ").alias("tokens")))
+
+
 _GRAMS_SQL = ("list_distinct(flatten(list_transform(toks, lambda t: flatten(["
               "CASE WHEN length(t) >= 3 THEN list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)) ELSE [] END, "
               "CASE WHEN length(t) >= 4 THEN list_transform(range(1, length(t) - 2), lambda i: substring(t, i, 4)) ELSE [] END"
@@ -543,29 +580,40 @@ def q_d04(spark, sf):
     return TS.ngram_match(readings(spark, sf), "gadget", 20)
 
 
-def _fuzzy_sql(value: str, size: int = 10, max_expansions: int = 50) -> str:
+def _fuzzy_sql(value: str, size: int = 10, max_expansions: int | None = 50, prefix: int = 1,
+               k: int | None = None, hit: str = _HIT) -> str:
     v = value.lower()
-    k = TS.auto_fuzziness(len(v))
+    k = TS.auto_fuzziness(len(v)) if k is None else k
+    top = f"ORDER BY distance, term LIMIT {max_expansions}" if max_expansions else ""
     return with_readings(_TOKENS + f"""
 , vocab AS (SELECT DISTINCT unnest(toks) AS term FROM tk),
 ex AS (SELECT term, CAST(damerau_levenshtein(term, '{v}') AS INTEGER) AS distance FROM vocab
-       WHERE abs(length(term) - {len(v)}) <= {k} AND left(term, 1) = '{v[:1]}'
+       WHERE abs(length(term) - {len(v)}) <= {k} AND left(term, {prefix}) = '{v[:prefix]}'
          AND damerau_levenshtein(term, '{v}') <= {k}
-       ORDER BY distance, term LIMIT {max_expansions}),
+       {top}),
 nt AS (SELECT name, unnest(list_distinct(toks)) AS term FROM tk),
 m AS (SELECT nt.name, min(ex.distance) AS distance FROM nt JOIN ex ON nt.term = ex.term GROUP BY nt.name)
-SELECT {_HIT}, m.distance FROM readings r JOIN m ON r.name = m.name
+SELECT {hit}, m.distance FROM readings r JOIN m ON r.name = m.name
 ORDER BY m.distance, r.ts DESC, r.station_id LIMIT {size}""")
 
 
 @register("d05_fuzzy_gizom", _fuzzy_sql("gizom"))
 def q_d05(spark, sf):
-    return TS.fuzzy_match(readings(spark, sf), "gizom")
+    """The request's own bounds: same first letter, the 50 closest terms."""
+    return TS.fuzzy_match(readings(spark, sf), "gizom", prefix_length=1, max_expansions=50)
 
 
 @register("d05_fuzzy_gizmmo", _fuzzy_sql("Gizmmo"))
 def q_d05b(spark, sf):
-    return TS.fuzzy_match(readings(spark, sf), "Gizmmo")
+    return TS.fuzzy_match(readings(spark, sf), "Gizmmo", prefix_length=1, max_expansions=50)
+
+
+@register("d05_fuzzy_all_expansions", _fuzzy_sql(
+    "gadgte", 10_000, None, 0, 5, "r.name, r.station_id, r.ts, r.latitude, r.longitude"))
+def q_d05_all(spark, sf):
+    """Every term within five edits, whatever its first letter, with the place of each hit."""
+    return TS.fuzzy_match(readings(spark, sf), "gadgte", fuzziness=5, size=10_000,
+                          fields=("name", "station_id", "ts", "latitude", "longitude"))
 
 
 @register("d06_autocomplete_sm", with_readings("""
@@ -576,7 +624,7 @@ def q_d06(spark, sf):
 
 @register("d07_edge_ngram_gi_wid", with_readings(_TOKENS + f"""
 , m AS (SELECT name, len(list_filter({_sql_list(analyze_text('gi wid'))},
-          lambda q: length(q) BETWEEN 2 AND 20 AND len(list_filter(toks, lambda t: starts_with(t, q))) > 0)) AS matched FROM tk)
+          lambda q: len(list_filter(toks, lambda t: starts_with(t, q))) > 0)) AS matched FROM tk)
 SELECT {_HIT}, m.matched FROM readings r JOIN m ON r.name = m.name WHERE m.matched > 0
 ORDER BY m.matched DESC, r.ts DESC, r.station_id LIMIT 10"""))
 def q_d07(spark, sf):
@@ -629,3 +677,99 @@ def q_b02(spark, sf):
     info = station_info(spark, sf).select("name", "station_id", "capacity",
                                           F.col("station_id").cast("bigint").alias("pos"))
     return dedup_last(info, "name", "pos").select("name", "station_id", "capacity")
+
+
+# ---- stored readings, columns beyond the core list, flags, document -------------------
+
+
+@register("a04_store_scan", with_readings(f"SELECT {_reading_cols_sql()} FROM readings"))
+def q_a04(spark, sf):
+    """A06 then A04: the readings written to a day store below the shared folder and read back."""
+    path = checkpoint_path(spark, f"store-{uuid.uuid4().hex}")
+    ST.write_store(readings(spark, sf), path)
+    return as_double(ST.read_store(spark, path).select(*[c.strip() for c in READING_COLS.split(",")]))
+
+
+@register("c04_c07_c09_columns", with_readings("""
+SELECT station_id, ts, 'station_feed' AS source, 'Paris' AS city, 'stationlake-ingest' AS pipeline,
+       'bike_sharing' AS data_type, last_reported AS last_reported_epoch,
+       latitude AS location_lat, longitude AS location_lon
+FROM readings"""))
+def q_c_columns(spark, sf):
+    """C04 labels, C07 last report as a time (shown as its epoch), C09 point (flattened)."""
+    return readings(spark, sf).select(
+        "station_id", "ts", "source", "city", "pipeline", "data_type",
+        F.unix_seconds("last_reported_date").alias("last_reported_epoch"),
+        F.col("location.lat").alias("location_lat"), F.col("location.lon").alias("location_lon"))
+
+
+_FLAG_FORMS = ["true", "false", "1", "0", "2", '"yes"', '" Y "', '"no"', '"2"', "null"]
+
+
+@register("c06_flag_forms", f"""
+SELECT event_id, CASE WHEN event_id % {len(_FLAG_FORMS)} = 9 THEN NULL
+                      ELSE event_id % {len(_FLAG_FORMS)} IN (0, 2, 4, 5, 6) END AS flag,
+       CASE event_id % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true ELSE NULL END AS flag_text
+FROM events""")
+def q_c06(spark, sf):
+    """C06 on every event: JSON booleans, numbers, text and null, and a plain text column."""
+    i = F.col("event_id")
+    forms = F.array(*[F.lit(f) for f in _FLAG_FORMS])
+    texts = F.array(F.lit(" True"), F.lit("off"), F.lit("1"), F.lit(None).cast("string"))
+    rows = table(spark, sf, "events").select(
+        "event_id", F.parse_json(F.get(forms, (i % len(_FLAG_FORMS)).cast("int"))).alias("flag"),
+        F.get(texts, (i % 4).cast("int")).alias("flag_text"))
+    return rows.select("event_id", *[C.truthy(c, rows.schema[c].dataType).alias(c) for c in ("flag", "flag_text")])
+
+
+@register("e09_document", with_readings("""
+SELECT count(*) AS total_observations, count(DISTINCT station_id) AS total_stations,
+       CAST(least(10, (SELECT count(*) FROM (SELECT DISTINCT name, station_id FROM readings) g)) AS BIGINT) AS n_top,
+       count(DISTINCT hour(ts)) AS n_hours FROM readings"""))
+def q_e09_document(spark, sf):
+    """E09's nested document, flattened."""
+    df = readings(spark, sf)
+    doc = stats.global_summary(df, stats.station_availability(df), stats.hourly_patterns(df))
+    return doc.select("analysis_period.total_observations", "analysis_period.total_stations",
+                      F.size("top_occupied_stations").cast("bigint").alias("n_top"),
+                      F.size("hourly_pattern").cast("bigint").alias("n_hours"))
+
+
+@register("e12_hourly_histogram_clock_change", with_readings(f"""
+, f AS (SELECT ts + INTERVAL 280 DAY AS ts, num_bikes_available, electric_bikes, mechanical_bikes, station_id
+        FROM readings WHERE station_status = 'full'),
+g AS (SELECT * FROM f WHERE ts >= (SELECT max(ts) FROM f) - INTERVAL 30 DAY),
+a AS (SELECT date_trunc('hour', ts) AS bucket, count(*) AS doc_count,
+             {r2('avg(num_bikes_available)')} AS avg_bikes, {r2('avg(electric_bikes)')} AS avg_electric,
+             {r2('avg(mechanical_bikes)')} AS avg_mechanical, count(DISTINCT station_id) AS total_stations
+      FROM g GROUP BY 1),
+s AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 HOUR)) AS bucket FROM a)
+SELECT s.bucket,
+       strftime(timezone('Europe/Paris', s.bucket AT TIME ZONE 'UTC'), '%Y-%m-%d %H:%M:%S') AS bucket_local,
+       COALESCE(a.doc_count, 0) AS doc_count, a.avg_bikes, a.avg_electric, a.avg_mechanical,
+       COALESCE(a.total_stations, 0) AS total_stations
+FROM s LEFT JOIN a ON s.bucket = a.bucket"""))
+def q_e12_change(spark, sf):
+    """E12 over full stations, moved on 280 days: empty hours and the autumn clock change."""
+    df = readings(spark, sf).filter(P.term("station_status", "full"))
+    moved = df.withColumn("ts", F.col("ts") + F.expr("INTERVAL '6720' HOUR")).withColumn("dt", C.utc_date("ts"))
+    return search.hourly_histogram(moved, since="30d", as_of="latest")
+
+
+@register("e15_approx_within_error", with_readings("""
+SELECT count(DISTINCT station_id) > 0 AS within_error FROM readings"""))
+def q_e15_approx(spark, sf):
+    """E15's approximate form stays within three standard errors of the exact count."""
+    df = readings(spark, sf)
+    exact = search.station_cardinality(df, approx=False).scalar()
+    approx = search.station_cardinality(df, rsd=0.05)
+    return approx.select((F.abs(F.col("total_stations") - exact) <= 0.15 * exact).alias("within_error"))
+
+
+@register("e23_cycle_totals_hourly", with_readings("""
+SELECT strftime(ts, '%Y-%m-%dT%H') AS collected_at, CAST(sum(num_bikes_available) AS BIGINT) AS total_bikes,
+       CAST(sum(num_docks_available) AS BIGINT) AS total_docks, count(*) AS stations
+FROM readings GROUP BY 1"""))
+def q_e23_hourly(spark, sf):
+    """E23 with cycles of an hour: groups of several stations."""
+    return panels.cycle_totals(readings(spark, sf).withColumn("collected_at", F.substring("collected_at", 1, 13)))

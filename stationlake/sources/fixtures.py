@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.plans.joins import maybe_broadcast
-from stationlake.plans.partitioning import spread
+from stationlake.functions.columns import iso_utc
 
 # ---- fixed values of the fixture derivation (FIXTURES.md §3) ----------------------
 NO_INFO_MOD, NO_INFO_REM = 17, 16          # p_partkey % 17 = 16 -> station without info
@@ -21,7 +20,6 @@ DISTRICT_MOD, DISTRICT_BASE, DISTRICT_SPAN = 3, 75001, 20
 ORIGIN_LAT, ORIGIN_LON, STEP_DEG = 48.8584, 2.2945, 0.0005
 NO_CAPACITY_MOD, NO_CAPACITY_REM = 19, 18  # p_partkey % 19 = 18 -> capacity 0
 LAG_MOD = 90                               # last_reported = epoch(ts) - event_id % 90
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 # ------------------------------------------------------------------------------------
 
 
@@ -50,15 +48,15 @@ def station_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status rows in the raw feed shape (flags as VARIANT), plus ``collected_at``.
 
-    ``events`` x ``part`` on ``user_id = p_partkey``; the part side is broadcast only
-    after a row-count check, otherwise it is a shuffle join that adaptive execution
-    can split when one station holds a large share of the events.
+    ``events`` x ``part`` on ``user_id = p_partkey``; Spark broadcasts the part side by its
+    size in bytes, otherwise it is a shuffle join that adaptive execution can split when
+    one station holds a large share of the events.
     """
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("user_id"), "p_size")
-    j = (ev.join(maybe_broadcast(parts), "user_id")
+    j = (ev.join(parts, "user_id")
          .select("user_id", "event_id", "event_type", "p_size",
-                 F.date_format("ts", ISO_FORMAT).alias("collected_at"),
+                 iso_utc(F.col("ts").cast("timestamp_ntz").cast("string")).alias("collected_at"),
                  (F.floor("value") % (F.col("p_size") + 1)).alias("b"),
                  F.get_json_object("props", "$.k").cast("bigint").alias("k")))
     err = F.col("event_type") == "error"
@@ -84,25 +82,9 @@ def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_PLANS: dict[tuple[str, str], DataFrame] = {}
-
-
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched readings: B01 over the two feeds, then the whole enrichment chain.
-
-    The logical plan is built once per application and data folder (building it
-    checks the broadcast sides and resolves a long expression chain); a DataFrame is
-    an immutable plan, so every query reuses it and still reads the files afresh.
-    """
+    """Enriched readings: B01 over the two feeds, then the whole enrichment chain."""
     from stationlake.operators.enrich import enrich, to_reading
     from stationlake.operators.join import join_status_info
 
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
-        app = str(id(spark))
-    key = (app, os.path.abspath(sf_dir))
-    if key not in _PLANS:
-        joined = join_status_info(station_status(spark, sf_dir), station_info(spark, sf_dir))
-        _PLANS[key] = enrich(to_reading(joined))
-    return _PLANS[key]
+    return enrich(to_reading(join_status_info(station_status(spark, sf_dir), station_info(spark, sf_dir))))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from stationlake.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["part", "events"]
@@ -38,20 +39,21 @@ SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string":
              "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
-    rel = con.sql(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    rel = con.sql(ORACLE[name])
     otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
     assert {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in df.schema.fields} == otypes
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, res.fetchall())
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -86,35 +88,95 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_scan_prunes_columns_and_broadcasts_checked_sides(spark):
+def test_scan_prunes_columns(spark):
     from stationlake.operators import stats
     from stationlake.sources.fixtures import readings
 
     plan = _plan(stats.station_availability(readings(spark, SF)))
-    assert "BroadcastHashJoin" in plan
+    assert "RoundRobinPartitioning" not in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in plan
     # the part scan reads only what the info and status feeds need
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in plan
 
 
-def test_large_side_is_not_broadcast(spark):
-    from stationlake.plans.joins import maybe_broadcast
+def test_appended_events_are_seen(spark, scratch):
+    """A folder that gains a file after a first query is read whole by the next one."""
+    import shutil
 
-    big = spark.range(50)
-    assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
-    hinted = maybe_broadcast(big, max_rows=10)
-    assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
-    small = maybe_broadcast(big, max_rows=100)
-    assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
+    os.makedirs(f"{scratch}/events.parquet")
+    shutil.copyfile(f"{SF}/events.parquet", f"{scratch}/events.parquet/a.parquet")
+    shutil.copyfile(f"{SF}/part.parquet", f"{scratch}/part.parquet")
+    first = QUERIES["a10_count"](spark, scratch).first()[0]
+    shutil.copyfile(f"{SF}/events.parquet", f"{scratch}/events.parquet/b.parquet")
+    assert QUERIES["a10_count"](spark, scratch).first()[0] == 2 * first
 
 
-def test_registered_queries_pin_utc(spark, con):
-    """A caller's session in another zone must not shift hours or days."""
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+def test_no_lookup_runs_while_a_query_is_built(spark):
+    """Reading the tables' schemas is all the work there is before an action."""
+    from stationlake.sources.fixtures import readings
+
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(build, group):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            build(spark, SF)
+            return len(tracker.getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    schemas = jobs(readings, "schemas")
+    for name in ("e12_hourly_histogram_24h", "t04_near_500m_24h", "d05_fuzzy_gizom", "a14_expired_7d"):
+        assert jobs(QUERIES[name], name) <= schemas
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_results_do_not_depend_on_the_session_zone(spark, zone):
+    """Instants are compared as such; text, hours and days must be the UTC ones."""
+    def result(name):
+        df = QUERIES[name](spark, SF)
+        cols = [F.unix_micros(c).alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes]
+        return _rows(df.columns, [tuple(r) for r in df.select(*cols).collect()])
+
+    some = [n for n in sorted(QUERIES)
+            if n[:3] in ("c_e", "e02", "e04", "e11", "e12", "e17", "e20", "e23", "t03", "p08", "a13", "a14")]
+    want = {n: result(n) for n in some}
+    spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        df = E.queries()["e02_hourly_patterns"](spark, SF)
-        res = con.execute(E.oracle_sql()["e02_hourly_patterns"])
-        ocols = [d[0] for d in res.description]
-        assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, res.fetchall())
+        for n in some:
+            assert result(n) == want[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("instants, as_of, counts, second", [
+    (["2026-10-25T00:30:00Z", "2026-10-25T01:30:00Z", "2026-10-25T02:30:00Z"], "2026-10-25T12:00:00Z", [1, 1, 1],
+     "2026-10-25 02:00:00"),   # local 02:30 twice, then 03:30
+    (["2026-03-29T00:30:00Z", "2026-03-29T01:30:00Z", "2026-03-29T03:30:00Z"], "2026-03-29 12:00:00", [1, 1, 0, 1],
+     "2026-03-29 03:00:00"),   # no local 02:xx
+])
+def test_histogram_on_clock_changes(spark, instants, as_of, counts, second):
+    from stationlake.operators import search
+
+    df = spark.createDataFrame([(t, "1", 1, 1, 1) for t in instants],
+                               "t string, station_id string, num_bikes_available int, electric_bikes int, mechanical_bikes int")
+    df = df.withColumn("ts", F.to_timestamp("t")).withColumn("dt", F.to_date("ts"))
+    rows = search.hourly_histogram(df, since="24h", as_of=as_of).collect()
+    assert [r.doc_count for r in rows] == counts
+    assert rows[1].bucket_local == second
+
+
+def test_geo_box_across_the_meridian(spark):
+    from stationlake.operators import predicates as P
+
+    df = spark.createDataFrame([("near", 0.0, -179.999), ("far", 0.0, -170.0), ("east", 0.0, 179.9995)],
+                               "id string, latitude double, longitude double")
+    got = {r.id for r in df.filter(P.geo_within("latitude", "longitude", 0.0, 179.999, 500.0)).collect()}
+    assert got == {"near", "east"}
+
+
+def test_latest_rows_hash_aggregate_the_readings(spark):
+    """Only readings at a station's latest time reach a sort-based aggregate."""
+    plan = _plan(QUERIES["g01_latest_per_station"](spark, SF))
+    first = plan[plan.rindex("HashAggregate"):]
+    assert "partial_max(ts" in plan and "SortAggregate" not in first

@@ -40,7 +40,7 @@ def test_latest_per_station_exact_and_partial(skewed, pdf):
     for k in want:
         assert got[k][1] == want[k][1] and abs((got[k][0] - want[k][0]).total_seconds()) < 1e-3
     plan = _plan(panels.latest_per_station(skewed))
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "partial_max(ts" in plan and "Window" not in plan
 
 
 def test_station_counts_exact(skewed, pdf):
@@ -60,8 +60,9 @@ def test_hourly_distinct_stations_exact(skewed, pdf):
     assert got == {k: v for k, v in want.items()}
 
 
-def test_info_join_beyond_the_broadcast_bound(spark):
-    """Above the row bound B01 is a shuffle join; it gives the same rows, hot key included."""
+def test_info_join_and_latest_rows_without_broadcast(spark):
+    """With broadcasts off, B01 is a shuffle join; G01 over it gives the same rows, hot key included."""
+    from stationlake.operators.enrich import enrich, to_reading
     from stationlake.operators.join import join_status_info
     from stationlake.sources.fixtures import station_info, station_status
 
@@ -69,22 +70,24 @@ def test_info_join_beyond_the_broadcast_bound(spark):
     status = station_status(spark, sf)
     hot = status.withColumn("station_id", F.when((F.abs(F.hash("collected_at")) % 3) == 0, F.lit("1"))
                             .otherwise(F.col("station_id")))
-    info = station_info(spark, sf)
-    small = join_status_info(hot, info)
+
+    def both():
+        joined = join_status_info(hot, station_info(spark, sf))
+        return joined, panels.latest_per_station(enrich(to_reading(joined)))
+
+    cols = ["station_id", "collected_at", "name", "capacity", "latitude"]
+    small, latest = ([tuple(r) for r in x.collect()] for x in (lambda j: (j[0].select(*cols), j[1]))(both()))
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        big = join_status_info(hot, info, max_broadcast_rows=10)
-        plan = _plan(big)
-        # B01 (on station_id) is a sort-merge join; the fixture's own events x part join
-        # keeps its checked broadcast
-        assert re.search(r"SortMergeJoin \[station_id", plan)
-        assert not re.search(r"BroadcastHashJoin \[station_id", plan)
-        cols = ["station_id", "collected_at", "name", "capacity", "latitude"]
-        assert big.select(*cols).exceptAll(small.select(*cols)).count() == 0
-        assert small.select(*cols).exceptAll(big.select(*cols)).count() == 0
+        joined, last = both()
+        assert re.search(r"SortMergeJoin \[station_id", _plan(joined))
+        assert "BroadcastHashJoin" not in _plan(last)
+        assert sorted(tuple(r) for r in joined.select(*cols).collect()) == sorted(small)
+        assert sorted(map(str, last.collect())) == sorted(map(str, both()[1].collect()))
+        assert sorted(map(repr, (tuple(r) for r in last.collect()))) == sorted(map(repr, latest))
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

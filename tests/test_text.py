@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationlake.functions.distance import osa_distance
-from stationlake.functions.text import analyze, analyze_positions, analyze_text, edge_ngrams, ngrams
+from stationlake.functions.text import analyze, analyze_positions, analyze_text, ngrams
 from stationlake.operators import search, text_search
 
 
@@ -55,8 +55,6 @@ def test_ngrams_no_junk_for_short_tokens(spark):
     df = spark.createDataFrame([(["ab", "tour"],), (["x"],)], "t array<string>")
     got = [sorted(r[0]) for r in df.select(ngrams(F.col("t"))).collect()]
     assert got == [sorted(["tou", "our", "tour"]), []]
-    edges = [sorted(r[0]) for r in df.select(edge_ngrams(F.col("t"))).collect()]
-    assert edges == [sorted(["ab", "to", "tou", "tour"]), []]
 
 
 def test_phrase_does_not_cross_stop_word(spark):
@@ -71,6 +69,40 @@ def test_phrase_does_not_cross_stop_word(spark):
     assert got == ["1", "2", "3"]
 
 
+def _named(spark, names):
+    rows = [(n, str(i), i) for i, n in enumerate(names, 1)]
+    return spark.createDataFrame(rows, "name string, station_id string, k int").select(
+        "name", "station_id", F.timestamp_seconds("k").alias("ts"),
+        F.lit(1).alias("num_bikes_available"), F.lit("available").alias("station_status"))
+
+
+def test_phrase_with_stop_words_in_the_query(spark):
+    df = _named(spark, ["Place de la Bastille", "Gare du Nord", "Place Bastille", "Place du Bas"])
+    found = lambda q: sorted(r.station_id for r in text_search.phrase_prefix(df, q).collect())
+    assert found("Place de la Bas") == ["1"]
+    assert found("Gare du No") == ["2"]
+    assert found("Place Bas") == ["3"]
+    assert found("place du bas") == ["4"]
+
+
+def test_fuzzy_and_edge_searches_have_no_caps(spark):
+    names = [f"term{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26)]
+    df = _named(spark, names)
+    assert text_search.fuzzy_match(df, "termzz", size=10_000).count() == len(names)
+    long = _named(spark, ["anticonstitutionnellement", "x"])
+    got = text_search.edge_ngram_match(long, "anticonstitutionnelle").collect()
+    assert [r.name for r in got] == ["anticonstitutionnellement"]
+    assert [r.name for r in text_search.edge_ngram_match(long, "x").collect()] == ["x"]
+
+
+def test_hit_fields_and_kept_name_dimension(spark, small_readings):
+    names = text_search.name_dimension(small_readings).cache()
+    a = text_search.match_terms(small_readings, "gizmo", fields="*", names=names)
+    assert a.columns == [*small_readings.columns, "score"]
+    b = text_search.match_terms(small_readings, "gizmo")
+    assert [r.station_id for r in a.collect()] == [r.station_id for r in b.collect()]
+
+
 def test_fuzzy_finds_transposition_where_levenshtein_does_not(spark, small_readings):
     terms = [r.term for r in text_search.fuzzy_terms(small_readings, "gizom").collect()]
     assert terms == ["gizmo"]
@@ -82,9 +114,12 @@ def test_fuzzy_terms_equal_brute_force(spark, small_readings):
     vocab = {t for r in small_readings.select("name").distinct().collect() for t in analyze_text(r.name)}
     for q in ["gizmmo", "blt", "anvl", "rde", "wigdet"]:
         k = text_search.auto_fuzziness(len(q))
-        want = sorted((osa_distance(t, q), t) for t in vocab if t[:1] == q[:1] and osa_distance(t, q) <= k)[:50]
-        got = [(r.distance, r.term) for r in text_search.fuzzy_terms(small_readings, q).collect()]
+        want = sorted((osa_distance(t, q), t) for t in vocab if osa_distance(t, q) <= k)
+        got = sorted((r.distance, r.term) for r in text_search.fuzzy_terms(small_readings, q).collect())
         assert got == want, q
+        first = [(d, t) for d, t in want if t[:1] == q[:1]][:50]
+        asked = text_search.fuzzy_terms(small_readings, q, prefix_length=1, max_expansions=50).collect()
+        assert [(r.distance, r.term) for r in asked] == first, q
 
 
 def test_approx_cardinality_within_error(spark, small_readings):
