@@ -8,16 +8,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stationlake.functions.columns import iso_utc, utc_text
 from stationlake.operators.join import dedup_last
 from stationlake.schema import INFO_FEED, STATUS_FEED
 
-ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+CORRUPT = "_corrupt_record"
 
 
-def _reader(spark: SparkSession, schema, streaming: bool):
-    r = spark.readStream if streaming else spark.read
-    return r.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+def _snapshots(spark: SparkSession, schema, path: str, streaming: bool) -> DataFrame:
+    """Snapshot files parsed whole, with ``_file`` and ``_corrupt_record`` (the text of a file that doesn't parse).
+
+    The text is parsed as a column: every field counts for "corrupt", whichever ones a query reads.
+    """
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    r = spark.readStream.option("maxFilesPerTrigger", 1000) if streaming else spark.read
+    parsed = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return (r.option("wholetext", True).text(path)
+            .select(parsed.alias("s"), F.col("_metadata.file_path").alias("_file")).select("s.*", "_file"))
+
+
+def corrupt_snapshots(feed: DataFrame) -> DataFrame:
+    """Side output: file and text of snapshots that are broken or hold a field of a wrong type."""
+    return feed.filter(F.col(CORRUPT).isNotNull()).select(F.col("_file").alias("file"), F.col(CORRUPT).alias("value"))
 
 
 def unnest_stations(feed: DataFrame, max_stations: int | None = None, with_position: bool = False) -> DataFrame:
@@ -35,22 +49,30 @@ def unnest_stations(feed: DataFrame, max_stations: int | None = None, with_posit
     return feed.select(*cols, F.explode(stations).alias("s")).select(*cols, "s.*")
 
 
-def read_status(spark: SparkSession, path: str, max_stations: int | None = None,
-                streaming: bool = False) -> DataFrame:
-    """Status snapshots -> one row per station per snapshot, with ``collected_at``.
+def status_rows(feed: DataFrame, max_stations: int | None = None) -> DataFrame:
+    """Whole status snapshots -> one row per station per snapshot, with ``collected_at``.
 
     ``collected_at`` is the snapshot's own ``last_updated`` when present, else the
     time the rows are read (one value per micro-batch in a stream).
     """
-    feed = _reader(spark, STATUS_FEED, streaming).json(path)
-    stamp = F.coalesce(F.date_format(F.timestamp_seconds("last_updated"), ISO_UTC),
-                       F.date_format(F.current_timestamp(), ISO_UTC))
-    return unnest_stations(feed.withColumn("collected_at", stamp), max_stations).drop("last_updated")
+    good = feed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
+    stamp = F.coalesce(iso_utc(utc_text(F.timestamp_seconds("last_updated"))), iso_utc(utc_text(F.current_timestamp())))
+    return unnest_stations(good.withColumn("collected_at", stamp), max_stations).drop("last_updated")
+
+
+def read_snapshots(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Status snapshot files, broken ones included (:func:`corrupt_snapshots`, :func:`status_rows`)."""
+    return _snapshots(spark, STATUS_FEED, path, streaming)
+
+
+def read_status(spark: SparkSession, path: str, max_stations: int | None = None,
+                streaming: bool = False) -> DataFrame:
+    """Rows of the whole status snapshots; broken ones are left to :func:`corrupt_snapshots`."""
+    return status_rows(read_snapshots(spark, path, streaming), max_stations)
 
 
 def read_info(spark: SparkSession, path: str) -> DataFrame:
     """Information snapshot(s) -> one row per station; a repeated id keeps its last entry."""
-    feed = _reader(spark, INFO_FEED, False).json(path)
+    feed = _snapshots(spark, INFO_FEED, path, False).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
     rows = unnest_stations(feed.withColumn("_snap", F.coalesce("last_updated", F.lit(0))), with_position=True)
-    ordered = rows.withColumn("_order", F.struct("_snap", "pos")).drop("last_updated", "_snap", "pos")
-    return dedup_last(ordered, "station_id", "_order").drop("_order")
+    return dedup_last(rows.drop("last_updated"), "station_id", "_snap", "pos").drop("_snap", "pos")

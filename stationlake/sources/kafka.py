@@ -28,10 +28,15 @@ PRODUCER_OPTIONS = {
 # ------------------------------------------------------------------------------------
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC,
-               starting_offsets: str = "earliest", streaming: bool = True) -> DataFrame:
-    """The topic as a (streaming) DataFrame; committed progress lives in the checkpoint."""
+def read_topic(spark: SparkSession, servers: str, topic: str = TOPIC, starting_offsets: str = "earliest",
+               streaming: bool = True, max_offsets: int | None = 5_000_000) -> DataFrame:
+    """The topic as a (streaming) DataFrame; committed progress lives in the checkpoint.
+
+    ``max_offsets`` splits a backlog into micro-batches of so many messages; none is left out.
+    """
     r = spark.readStream if streaming else spark.read
+    if streaming and max_offsets:
+        r = r.option("maxOffsetsPerTrigger", max_offsets)
     return (r.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
 

@@ -1,51 +1,72 @@
 """The day-partitioned reading store and its upkeep.
 
 The store is a Parquet dataset partitioned by ``dt`` (the UTC day of event time),
-the counterpart of one search index per day. Reading the root path is the
-wildcard over all days; a predicate on ``dt`` prunes whole days.
+the counterpart of one search index per day, and below it by ``batch``, the write that
+brought the rows. Reading the root path is the wildcard over all days; a predicate on
+``dt`` prunes whole days. Batch jobs and streams write in the same way: a write replaces
+only its own ``dt``/``batch`` folders, so different writes add up and a repeated one
+(a retried micro-batch) leaves its rows once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
+import pyarrow.fs
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stationlake.functions.columns import parse_utc, utc_date
+from stationlake.operators.predicates import store_days
 from stationlake.schema import ENRICHED
 
+BATCH = "batch"
 
-def write_store(enriched: DataFrame, path: str, mode: str = "overwrite",
-                max_records_per_file: int = 5_000_000) -> None:
-    """A06 (batch): write readings into their day partitions.
 
-    With dynamic partition overwrite only the days present in ``enriched`` are
-    replaced. There is no shuffle: each task sorts its own rows by (day, station)
-    and writes one file per day it holds (split beyond ``max_records_per_file``),
-    so a day holding most of the rows is still written by every task in parallel;
-    the station order gives tight min/max statistics for station filters.
+def write_store(enriched: DataFrame, path: str, batch: str | None = None,
+                max_records_per_file: int = 5_000_000, spread: bool = False) -> str:
+    """Append readings as write ``batch`` (default: a new name); returns the name.
+
+    Writing the same ``batch`` again replaces the days it holds, nothing else. By default
+    there is no shuffle: each task sorts its own rows by (day, station) and writes one file
+    per day it holds (split beyond ``max_records_per_file``). ``spread`` rebalances by day
+    first, for a backfill of many days by many tasks: fewer files, and adaptive execution
+    splits a day that holds most of the rows.
     """
-    (enriched.sortWithinPartitions("dt", "station_id").write.mode(mode)
+    name = batch or uuid.uuid4().hex
+    rows = enriched.hint("rebalance", F.col("dt")) if spread else enriched
+    (rows.withColumn(BATCH, F.lit(name)).sortWithinPartitions("dt", "station_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("dt").parquet(path))
+     .partitionBy("dt", BATCH).parquet(path))
+    return name
 
 
-def read_store(spark: SparkSession, path: str, columns=None, exclude=(), schema=ENRICHED) -> DataFrame:
+def read_store(spark: SparkSession, path: str, columns=None, exclude=(), schema=ENRICHED,
+               batches: bool = False) -> DataFrame:
     """Every day of the store; ``columns`` prunes, ``exclude`` drops fields.
 
     The schema is given, not inferred, so no file footer is opened to plan the scan
-    (``schema=None`` infers it). A store written by the streaming sink lists its
-    files in the sink's log, which still names the files of days removed by
-    retention (:func:`drop_expired`); files that no longer exist are skipped.
+    (``schema=None`` infers it). ``batches`` keeps the name of the write as a column.
+    A file that goes missing while it is read is an error, never a short result.
     """
-    reader = spark.read.option("basePath", path).option("ignoreMissingFiles", "true")
-    df = (reader.schema(schema) if schema is not None else reader).parquet(path)
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
+    df = reader.parquet(path)
+    df = df if batches else df.drop(BATCH)
     if columns:
         df = df.select(*columns)
     return df.drop(*exclude) if exclude else df
 
 
+def distinct_readings(df: DataFrame) -> DataFrame:
+    """One row per (station_id, collected_at), for stores that were fed the same snapshots twice."""
+    return df.dropDuplicates(["station_id", "collected_at"])
+
+
 def preview(df: DataFrame, n: int = 5,
             columns=("name", "num_bikes_available", "num_docks_available", "occupation_rate",
                      "station_status")) -> DataFrame:
@@ -65,9 +86,12 @@ def day_counts(df: DataFrame) -> DataFrame:
 
 def _cutoff(df: DataFrame, days: int, as_of) -> Column:
     if as_of is None:
-        today = F.current_date()
+        today = utc_date(F.current_timestamp())
     elif isinstance(as_of, str) and as_of == "latest":
-        today = F.lit(df.agg(F.max("dt")).first()[0])
+        known = store_days(df)
+        today = F.lit(known[-1]).cast("date") if known else df.agg(F.max("dt")).scalar()
+    elif isinstance(as_of, str):
+        today = utc_date(parse_utc(F.lit(as_of)))
     else:
         today = F.lit(as_of).cast("date")
     return F.date_sub(today, days)
@@ -86,16 +110,12 @@ def expired_days(df: DataFrame, days: int, as_of=None) -> DataFrame:
 def drop_expired(spark: SparkSession, path: str, days: int, as_of: _dt.date | None = None) -> list[str]:
     """Delete the expired day folders of the store; returns the deleted days.
 
-    The victims come from a Spark query over the partition column; the deletion is a
-    file-system call per day folder through the Hadoop file system of the path.
+    The days are those of the store's folders (no file is opened); "today" is the UTC day.
     """
-    as_of = as_of or _dt.date.today()
-    store = read_store(spark, path, columns=["dt"])
-    victims = [r.dt for r in expired_days(store, days, as_of).collect()]  # one row per day
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    today = as_of or _dt.datetime.now(_dt.timezone.utc).date()
+    cutoff = (today - _dt.timedelta(days=days)).isoformat()
+    victims = [d for d in store_days(read_store(spark, path)) if d < cutoff]
+    fs, root = pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
     for d in victims:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"dt={d.isoformat()}"), True)
-    return [d.isoformat() for d in victims]
+        fs.delete_dir(f"{root.rstrip('/')}/dt={d}")
+    return victims

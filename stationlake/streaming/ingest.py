@@ -4,14 +4,18 @@
   stream-static join, C01-C05), the poller's work;
 * ``enrich_stream``: reading messages -> enriched readings (C06-C15), the ingest
   pipeline's work; the same ``enrich`` runs on batch frames;
-* ``write_days``: enriched stream -> day-partitioned Parquet store, exactly once
-  through the checkpoint (A06, W03);
+* ``write_days``: enriched stream -> day-partitioned Parquet store, each micro-batch
+  under a name of its own that a retry replaces (A06, W03);
+* ``topic_to_store``, ``snapshots_to_store``: the whole way from raw input to the store,
+  with what doesn't parse in a corrupt store;
 * ``fan_out``: one stream to the store and to a second sink per micro-batch (W04);
 * ``live_hourly``: watermarked 1-hour windows for the live line panel (W05).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +25,8 @@ from stationlake.operators.enrich import enrich, to_reading
 from stationlake.operators.join import join_status_info
 from stationlake.session import checkpoint_path
 from stationlake.sources import kafka
-from stationlake.sources.feeds import read_status
+from stationlake.sources.feeds import corrupt_snapshots, read_snapshots, read_status, status_rows
+from stationlake.sources.store import BATCH, write_store
 
 DEFAULT_TRIGGER = "60 seconds"  # the poller's cycle
 
@@ -38,8 +43,7 @@ def poll_stream(spark: SparkSession, snapshot_dir: str, info: DataFrame,
                 max_stations: int | None = None) -> DataFrame:
     """W06 + A01: streaming status snapshots joined to static station info -> readings.
 
-    The info side is a static DataFrame (broadcast after a row-count check); each
-    micro-batch joins against it without state.
+    The info side is a static DataFrame; each micro-batch joins against it without state.
     """
     status = read_status(spark, snapshot_dir, max_stations, streaming=True)
     return to_reading(join_status_info(status, info))
@@ -67,19 +71,32 @@ def observe_cycle(readings: DataFrame) -> DataFrame:
                             F.sum("num_docks_available").alias("total_docks"))
 
 
+def _batch_name(name: str, checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch in the store: the same for every retry, different for every stream."""
+    stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    return f"{name}-{stream}-{batch_id:08d}"
+
+
+def _each_batch(df: DataFrame, write, name: str, checkpoint: str | None, trigger) -> StreamingQuery:
+    """Starts ``write(batch, batch name, batch id)`` for every micro-batch."""
+    cp = checkpoint or checkpoint_path(df.sparkSession, name)
+    w = (df.writeStream.foreachBatch(lambda batch, i: write(batch, _batch_name(name, cp, i), i))
+         .option("checkpointLocation", cp))
+    return _trigger(w, trigger).start()
+
+
 def write_days(enriched: DataFrame, path: str, checkpoint: str | None = None,
                trigger=DEFAULT_TRIGGER, name: str = "store") -> StreamingQuery:
-    """A06 + W03: append into day partitions; the checkpoint makes restarts exactly-once."""
-    spark = enriched.sparkSession
-    cp = checkpoint or checkpoint_path(spark, name)
-    w = (enriched.writeStream.format("parquet").partitionBy("dt").outputMode("append")
-         .option("path", path).option("checkpointLocation", cp))
-    return _trigger(w, trigger).start()
+    """A06 + W03: append into day partitions; checkpoint and batch names make restarts exactly-once."""
+    return _each_batch(enriched, lambda batch, own, _: write_store(batch, path, own), name, checkpoint, trigger)
 
 
-def console(enriched: DataFrame, trigger=DEFAULT_TRIGGER, rows: int = 20) -> StreamingQuery:
-    """Debug output of each micro-batch."""
-    w = enriched.writeStream.format("console").option("truncate", False).option("numRows", rows)
+def console(enriched: DataFrame, checkpoint: str | None = None, trigger=DEFAULT_TRIGGER,
+            rows: int = 2**31 - 1) -> StreamingQuery:
+    """Debug output of every row of each micro-batch (the rows pass through the driver)."""
+    cp = checkpoint or checkpoint_path(enriched.sparkSession, "console")
+    w = (enriched.writeStream.format("console").option("truncate", False).option("numRows", rows)
+         .option("checkpointLocation", cp))
     return _trigger(w, trigger).start()
 
 
@@ -87,22 +104,55 @@ def fan_out(enriched: DataFrame, path: str, second, checkpoint: str | None = Non
             trigger=DEFAULT_TRIGGER, name: str = "fanout") -> StreamingQuery:
     """Each micro-batch goes to the day store and to ``second(batch_df, batch_id)``.
 
-    The batch is persisted once so both sinks read it without recomputing it;
-    ``batch_id`` lets the second sink be idempotent on retries.
+    The batch is persisted once so both sinks read it without recomputing it. If the second
+    sink fails, the retry replaces the batch's own rows in the store; the second sink can
+    tell a retry by its ``batch_id``.
     """
-    spark = enriched.sparkSession
-    cp = checkpoint or checkpoint_path(spark, name)
-
-    def both(batch: DataFrame, batch_id: int) -> None:
+    def both(batch: DataFrame, own: str, batch_id: int) -> None:
         batch.persist()
         try:
-            (batch.write.mode("append").partitionBy("dt").parquet(path))
+            write_store(batch, path, own)
             second(batch, batch_id)
         finally:
             batch.unpersist()
 
-    w = enriched.writeStream.foreachBatch(both).option("checkpointLocation", cp)
-    return _trigger(w, trigger).start()
+    return _each_batch(enriched, both, name, checkpoint, trigger)
+
+
+def _append_corrupt(bad: DataFrame, path: str, own: str) -> None:
+    (bad.withColumn(BATCH, F.lit(own)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH).parquet(path))
+
+
+def topic_to_store(raw: DataFrame, path: str, corrupt_path: str, checkpoint: str | None = None,
+                   trigger=DEFAULT_TRIGGER, name: str = "topic") -> StreamingQuery:
+    """A02 + W01: raw messages -> parse -> enrich -> day store; unparsable ones to the corrupt store."""
+    def write(batch: DataFrame, own: str, _: int) -> None:
+        parsed = kafka.parse_messages(batch).persist()
+        try:
+            enriched, bad = enrich_stream(parsed)
+            write_store(enriched, path, own)
+            _append_corrupt(bad, corrupt_path, own)
+        finally:
+            parsed.unpersist()
+
+    return _each_batch(raw, write, name, checkpoint, trigger)
+
+
+def snapshots_to_store(spark: SparkSession, snapshot_dir: str, info: DataFrame, path: str, corrupt_path: str,
+                       checkpoint: str | None = None, trigger=DEFAULT_TRIGGER,
+                       max_stations: int | None = None, name: str = "snapshots") -> StreamingQuery:
+    """A01 + W06: status snapshot files -> readings -> day store; broken files to the corrupt store."""
+    def write(batch: DataFrame, own: str, _: int) -> None:
+        batch.persist()
+        try:
+            rows = status_rows(batch, max_stations)
+            write_store(enrich(to_reading(join_status_info(rows, info))), path, own)
+            _append_corrupt(corrupt_snapshots(batch), corrupt_path, own)
+        finally:
+            batch.unpersist()
+
+    return _each_batch(read_snapshots(spark, snapshot_dir, streaming=True), write, name, checkpoint, trigger)
 
 
 def live_hourly(enriched: DataFrame, watermark: str = "10 minutes") -> DataFrame:
@@ -119,15 +169,16 @@ def live_hourly(enriched: DataFrame, watermark: str = "10 minutes") -> DataFrame
             .select(F.col("w.start").alias("bucket"), "doc_count", "avg_bikes", "avg_occupation"))
 
 
-def live_latest(enriched: DataFrame, watermark: str = "1 day") -> DataFrame:
+def live_latest(enriched: DataFrame) -> DataFrame:
     """G01 on a stream: each station's latest reading, emitted in update mode.
 
-    The state is one row per station (``max_by`` keeps the newest reading); the
-    watermark lets readings older than it be dropped instead of reopening state.
+    The state is one row per station (``max_by`` keeps the newest reading), however old
+    a late reading is.
     """
-    from stationlake.operators.panels import latest_per_station
-
-    return latest_per_station(enriched.withWatermark("ts", watermark))
+    cols = ["name", "latitude", "longitude", "occupation_rate", "num_bikes_available", "num_docks_available",
+            "station_status", "is_installed", "is_renting", "ts"]
+    latest = F.max_by(F.struct(*cols), F.struct("ts", "last_reported", "num_bikes_available"))
+    return enriched.groupBy("station_id").agg(latest.alias("r")).select("station_id", "r.*")
 
 
 def write_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: str | None = None,

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from stationlake.operators.enrich import enrich, to_reading
 from stationlake.operators.join import join_status_info
 from stationlake.sources import kafka
-from stationlake.sources.feeds import read_info, read_status
+from stationlake.sources.feeds import corrupt_snapshots, read_info, read_snapshots, read_status, status_rows
 from stationlake.sources.sinks import write_csv
-from stationlake.sources.store import (day_counts, drop_expired, expired_days, preview, read_store, retain,
-                                       write_store)
+from stationlake.sources.store import (day_counts, distinct_readings, drop_expired, expired_days, preview,
+                                       read_store, retain, write_store)
 
 STATUS = {"last_updated": 1706365800, "data": {"stations": [
     {"station_id": "1", "last_reported": 1706365790, "num_bikes_available": 15,
@@ -83,6 +83,7 @@ def test_day_store_retention_and_counts(spark, scratch, small_readings):
     path = f"{scratch}/store"
     write_store(small_readings, path)
     assert types(read_store(spark, path, schema=None).schema) == types(ENRICHED)
+    assert read_store(spark, path, batches=True).select("batch").distinct().count() == 1
     days = sorted(os.path.basename(p) for p in glob.glob(f"{path}/dt=*"))
     assert len(days) == 30 and days[0] == "dt=2024-01-01"
     store = read_store(spark, path, exclude=("num_bikes_available_types",))
@@ -182,3 +183,43 @@ def test_summary_operator_matches_batch_job(spark, small_readings):
     p = J.partials(small_readings)
     b = J.summary_document(p, J.station_table(p), J.hourly_table(p)).drop("generated_at").first().asDict(recursive=True)
     assert a == b
+
+
+def test_store_writes_add_up_and_repeat_safely(spark, scratch, small_readings):
+    """Later writes of a day keep the earlier ones; the same batch written again stays once."""
+    path = f"{scratch}/store"
+    half = F.abs(F.hash("station_id", "ts")) % 2
+    first, second = small_readings.filter(half == 0), small_readings.filter(half == 1)
+    write_store(first, path)
+    write_store(second, path, "b")
+    write_store(second, path, "b", spread=True)
+    store = read_store(spark, path)
+    assert store.count() == small_readings.count()
+    assert store.select("station_id", "ts").exceptAll(small_readings.select("station_id", "ts")).count() == 0
+    assert distinct_readings(store.union(store)).count() == small_readings.dropDuplicates(["station_id", "collected_at"]).count()
+
+
+def test_broken_snapshots_go_to_the_corrupt_output(spark, scratch):
+    _dump(f"{scratch}/status", "good.json", STATUS)
+    os.makedirs(f"{scratch}/status", exist_ok=True)
+    with open(f"{scratch}/status/cut.json", "w") as f:
+        f.write(json.dumps(STATUS)[:60])
+    bad = json.loads(json.dumps(STATUS))
+    bad["data"]["stations"][0]["num_bikes_available"] = "x"
+    _dump(f"{scratch}/status", "type.json", bad)
+    feed = read_snapshots(spark, f"{scratch}/status")
+    assert status_rows(feed).count() == 3
+    assert sorted(os.path.basename(r.file) for r in corrupt_snapshots(feed).collect()) == ["cut.json", "type.json"]
+
+
+def test_text_without_a_zone_is_utc(spark):
+    from stationlake.functions.columns import parse_utc
+
+    texts = ["2026-01-27T14:30:00Z", "2026-01-27 14:30:00", "2026-01-27T15:30:00+01:00", "2026-01-27", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = [r[0] for r in df.select(F.unix_seconds(parse_utc("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [1769524200, 1769524200, 1769524200, 1769472000, None, None]

@@ -141,7 +141,7 @@ def test_console_sink_and_processing_time_trigger(spark, scratch):
     src = f"{scratch}/src"
     total = _messages_to_files(spark, src, n_files=2).count()
     enriched, _ = ingest.enrich_stream(_stream_of(spark, src))
-    q = ingest.console(enriched.select("station_id", "station_status"), trigger="availableNow", rows=2)
+    q = ingest.console(enriched.select("station_id", "station_status"), f"{scratch}/cp0", trigger="availableNow")
     q.awaitTermination()
     assert q.exception() is None
     # the poller's fixed cycle as a processing-time trigger; drained, then stopped
@@ -169,3 +169,65 @@ def test_retention_on_a_streamed_store(spark, scratch):
     kept = read_store(spark, out)
     assert kept.select("dt").distinct().count() == 8
     assert kept.count() == kept.filter("dt >= '2024-01-23'").count() > 0
+
+
+def test_fan_out_retry_writes_each_row_once(spark, scratch):
+    """The second sink fails once; after the restart every reading is in the store once."""
+    from stationlake.sources.store import read_store
+
+    src, out, cp = f"{scratch}/src", f"{scratch}/store", f"{scratch}/cp"
+    total = _messages_to_files(spark, src, n_files=2).count()
+    marker = f"{scratch}/failed"
+
+    def flaky(batch, batch_id):
+        if not os.path.exists(marker):
+            open(marker, "w").close()
+            raise RuntimeError("second sink is down")
+
+    def run():
+        return ingest.fan_out(ingest.enrich_stream(_stream_of(spark, src))[0], out, flaky, cp, trigger="availableNow")
+
+    try:
+        run().awaitTermination()
+    except Exception:  # noqa: BLE001 - the first run ends with the sink's failure
+        pass
+    assert os.path.exists(marker)
+    run().awaitTermination()
+    assert read_store(spark, out).count() == total
+
+
+def test_stream_and_batch_share_a_store(spark, scratch):
+    from stationlake.sources.store import read_store, write_store
+
+    src, out = f"{scratch}/src", f"{scratch}/store"
+    msgs = _messages_to_files(spark, src, n_files=2)
+    enriched, _ = ingest.enrich_stream(_stream_of(spark, src))
+    ingest.write_days(enriched, out, f"{scratch}/cp", trigger="availableNow").awaitTermination()
+    write_store(enrich(kafka.parse_messages(msgs).drop(kafka.CORRUPT)), out)
+    assert read_store(spark, out).count() == 2 * msgs.count()
+
+
+def test_topic_and_snapshots_to_store(spark, scratch):
+    """The whole way from raw messages, or snapshot files, to the store and the corrupt store."""
+    from stationlake.sources.store import read_store
+
+    src = f"{scratch}/src"
+    total = _messages_to_files(spark, src, n_files=2).count()
+    with open(f"{src}/bad.txt", "w") as f:
+        f.write("{broken\n")
+    raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(src)
+    ingest.topic_to_store(raw, f"{scratch}/store", f"{scratch}/bad", f"{scratch}/cp",
+                          trigger="availableNow").awaitTermination()
+    assert read_store(spark, f"{scratch}/store").count() == total
+    assert [r[0] for r in spark.read.parquet(f"{scratch}/bad").select(kafka.CORRUPT).collect()] == ["{broken"]
+
+    snap = f"{scratch}/snap"
+    os.makedirs(snap)
+    doc = json.dumps({"last_updated": 1704103200, "data": {"stations": [{"station_id": "1", "num_bikes_available": 2}]}})
+    for name, text in (("good.json", doc), ("cut.json", doc[:50])):
+        with open(f"{snap}/{name}", "w") as f:
+            f.write(text)
+    ingest.snapshots_to_store(spark, snap, station_info(spark, SF), f"{scratch}/store2", f"{scratch}/bad2",
+                              f"{scratch}/cp2", trigger="availableNow").awaitTermination()
+    assert read_store(spark, f"{scratch}/store2").count() == 1
+    assert spark.read.parquet(f"{scratch}/bad2").count() == 1
