@@ -12,6 +12,9 @@ from stationlake.llm.op7_warc import op7_warc
 from stationlake.llm.op8_interpolation import op8_lm_scoring
 from stationlake.llm.op9_token_shards import op9_token_shards
 from stationlake.llm.op10_line_dedup import op10_line_dedup
+from stationlake.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES = {
     "op1_license_scans": op1_license_scans,
@@ -25,4 +28,3 @@ QUERIES = {
     "op9_token_shards": op9_token_shards,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE: dict[str, str] = {}
