@@ -93,4 +93,8 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
        sha256(coalesce(string_agg(CASE WHEN NOT dropped THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM x GROUP BY doc_id"""
 
-ORACLE = {"op2_quality_rules": OP2, "op6_minhash": OP6, "op7_warc": OP7, "op10_line_dedup": OP10}
+SQL = {"op2_quality_rules": OP2, "op6_minhash": OP6, "op7_warc": OP7, "op10_line_dedup": OP10}
+
+#: A nullable BIGINT (op7's refers_to) reaches pandas as float64 from Spark but as Int64 from
+#: DuckDB, so equal values print apart; its SQL is compared row by row in tests/llm instead.
+ORACLE = {k: v for k, v in SQL.items() if k != "op7_warc"}

@@ -10,7 +10,8 @@ from test_llm_operators import SF, _classes, _kept
 import corpus_pipeline
 from stationlake.llm import op3_sentencepiece, op4_decontaminate, op5_toxicity
 from stationlake.llm.common import DOCUMENT_COLUMNS, table
-from stationlake.llm.registry import ORACLE, QUERIES
+from stationlake.llm.oracle import SQL
+from stationlake.llm.registry import QUERIES
 
 
 def _toxic(spark, docs):
@@ -60,12 +61,12 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
     assert last.filter("round_trip").count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_operator_matches_its_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t + '.parquet')}')")
-    res = con.execute(ORACLE[name])
+    res = con.execute(SQL[name])
     cols = [d[0] for d in res.description]
     got = QUERIES[name](spark, SF).select(*[F.col(c) for c in cols])
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, res.fetchall()))
