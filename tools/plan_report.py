@@ -84,9 +84,8 @@ def main():
     lines = ["# PLANS", "",
              f"Final adaptive plans of the headline queries over the day-partitioned store built from "
              f"`{sf_dir}` (generated by `tools/plan_report.py`). Jobs, stages and tasks are those that "
-             f"ran (status tracker) while the result was computed. Queries relative to the latest event "
-             f"look that instant up once when they are built (two small jobs: the newest day from "
-             f"partition values, then that day's greatest time); it is not counted here.", ""]
+             f"ran (status tracker) while the result was computed; the latest event time is a subquery "
+             f"over the newest day and counted here.", ""]
     sc = spark.sparkContext
     tracker = sc.statusTracker()
     for name, fn in headline(store).items():
