@@ -82,6 +82,15 @@ def q_e01(spark, sf):
     return stats.station_availability(readings(spark, sf))
 
 
+@register("e01_console_top20", f"""
+SELECT name, bikes_avg, docks_avg, occupation_avg, times_empty, times_full FROM (
+{E01_SQL} ORDER BY occupation_avg DESC, station_id, name LIMIT 20) x""")
+def q_e01_console(spark, sf):
+    """E01's console table: the 20 most occupied stations, six columns."""
+    top = stats.top_by(stats.station_availability(readings(spark, sf)), "occupation_avg", 20, "station_id", "name")
+    return top.select("name", "bikes_avg", "docks_avg", "occupation_avg", "times_empty", "times_full")
+
+
 # ---- batch analyses -------------------------------------------------------------------
 _E02 = f"""
 SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS nb_mesures,
