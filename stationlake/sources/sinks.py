@@ -6,13 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def write_csv(result: DataFrame, path: str, single_file: bool = True) -> None:
+def write_csv(result: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header, replacing the folder; nested columns as JSON text.
 
-    ``single_file`` writes one file from one task, which suits results whose size
-    is bounded by construction (24 hours, 5 periods). Tables with one row per
-    station or name grow with the network; for those pass ``single_file=False`` and
-    every task writes its own part file.
+    Every task writes its own part file. ``single_file`` writes one file from one task,
+    which suits results whose size is bounded by construction (24 hours, 5 periods).
     """
     from pyspark.sql import functions as F
 

@@ -100,6 +100,9 @@ def test_day_store_retention_and_counts(spark, scratch, small_readings):
     p = preview(store).collect()
     assert len(p) == 5 and p[0].__fields__ == ["name", "num_bikes_available", "num_docks_available",
                                                "occupation_rate", "station_status"]
+    by_time = [tuple(r) for r in small_readings.orderBy("ts", "station_id").select(*p[0].__fields__).limit(150).collect()]
+    assert [tuple(r) for r in p] == by_time[:5]
+    assert [tuple(r) for r in preview(store, 150).collect()] == by_time  # more than the first day holds
     victims = drop_expired(spark, path, 7, dt.date(2024, 1, 30))
     assert len(victims) == 22
     assert read_store(spark, path).select("dt").distinct().count() == 8
