@@ -10,7 +10,7 @@ up in cells of (bucket, quantised ratios), whose number is bounded by the quanti
 by the corpus; the driver gets the cells, never counts of n-grams.
 
 1. Texts become blocks of token hashes (about ``BLOCK_TOKENS``), written to the shared folder.
-2. Each block sends its distinct n-grams (64-bit hashes) with training counts, split by
+2. Each block sends its distinct n-grams (52-bit hashes; words 64) with training counts, split by
    hash range, as packed columns; a range's task adds the counts up and answers each block
    in the order of its request. An n-gram reaches a task once per block at most, so frequent
    words and n-grams are pre-aggregated; ranges grow in number with the blocks.
@@ -39,6 +39,7 @@ ORDER, BLOCK_TOKENS, BATCH_BYTES = 2, 2_000_000, 8 << 20
 STEPS, BUCKETS, ITERATIONS = 4, 48, 60       # cells per doubling of a ratio, context buckets, EM steps
 END, BEGIN = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC3A5C85C97CB3127)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+KEY_BITS = 52  # of an n-gram's hash; words keep 64
 
 BLOCK_TYPE = "block bigint, ids array<bigint>, held array<boolean>, sizes array<int>, words binary, tokens binary, n_train bigint"
 REQUEST_TYPE = "block bigint, level int, part bigint, keys binary, counts binary"
@@ -100,7 +101,7 @@ class Block:
         for _ in range(order - 1):
             before = np.concatenate((key[:1], key[:-1]))
             before[self.first] = BEGIN
-            key = mix64(before * FACTOR + self.words[self.at])
+            key = mix64(before * FACTOR + self.words[self.at]) >> np.uint64(64 - KEY_BITS)
             yield np.unique(key, return_inverse=True)
 
 
@@ -112,7 +113,7 @@ def _requests(order: int, bits: int):
                 block, out = Block(row), []
                 for level, (keys, at) in enumerate(block.levels(order), 1):
                     counts = np.bincount(at[block.train], minlength=len(keys)).astype(np.uint32)
-                    part = (keys >> np.uint64(64 - bits)).astype(np.int64)
+                    part = (keys >> np.uint64((64 if level == 1 else KEY_BITS) - bits)).astype(np.int64)
                     cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
                     for a, z in zip(cut, [*cut[1:], len(keys)]):
                         out.append((row["block"], level, int(part[a]), pack(np.diff(keys[a:z], prepend=np.uint64(0))),
