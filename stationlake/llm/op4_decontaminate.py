@@ -4,8 +4,9 @@ The index holds the benchmark items, with impacts divided by the item's score ag
 itself, so one threshold (``MIN_SCORE``) fits items of any length. Passages are windows of
 twice the longest item, half overlapping, so every item lies whole in some passage. All
 passages of a batch are bounded at once by the sum of their terms' largest impacts, the
-first test of WAND: where it stays below the threshold no item can reach it. The others
-run through block-max WAND, which returns every item at or above the threshold. A hit is a
+first test of WAND, then by the same sum per block of neighbouring items: where a bound
+stays below the threshold no item can reach it. Block-max WAND runs over the blocks that
+are left and returns every item at or above the threshold. A hit is a
 leak when the passage holds enough of the item's question and of its answer (share of the
 distinct 5-word shingles; parts under five words as a whole).
 
@@ -36,7 +37,8 @@ from stationlake.llm.common import DOCUMENT_COLUMNS, column_bytes, slices, table
 
 K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
-BLOCK, SHARD_BYTES, BATCH_BYTES = 32, 16 << 20, 4 << 20
+BLOCK, RANGES, SHARD_BYTES, BATCH_BYTES = 32, 64, 16 << 20, 4 << 20
+STEP = 512  # passages that are bounded per block at once
 ANSWER_SHARE = 1 / 3  # of the words, where the item has no question mark before its end
 
 #: A-Z to lower case; every other ASCII character that is no letter or digit to a space.
@@ -90,11 +92,34 @@ class Index:
                 self.impacts[self.terms[t]].append(v / whole)
         self.blocks = [[max(v[k:k + BLOCK]) for k in range(0, len(v), BLOCK)] for v in self.impacts]
         self.largest = np.asarray([max(v) for v in self.impacts], np.float64)
+        # the largest impact per term and range of ``width`` neighbouring items, term after term
+        self.width = max(1, -(-len(self.ids) // RANGES))
+        self.ranges = -(-len(self.ids) // self.width)
+        term = np.repeat(np.arange(len(df)), [len(v) for v in self.items])
+        at = term * self.ranges + np.concatenate([*self.items, []]).astype(np.int64) // self.width
+        keys, place = np.unique(at, return_inverse=True)
+        self.range_max = np.zeros(len(keys))
+        np.maximum.at(self.range_max, place, np.concatenate([*self.impacts, []]))
+        self.range_of = keys % max(1, self.ranges)
+        self.range_start = np.searchsorted(keys, np.arange(len(df) + 1) * self.ranges)
 
-    def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
-        """All (item, score) at or above ``least``: document-at-a-time block-max WAND."""
-        cursors = [[self.items[t][0], 0, t] for t in terms]  # current item, place, term
-        out = []
+    def bounds(self, passage: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """Upper bound of the scores per passage (0 .. n-1) and range of items."""
+        size = self.range_start[term + 1] - self.range_start[term]
+        flat = np.repeat(self.range_start[term] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        cell = np.repeat(passage, size) * self.ranges + self.range_of[flat]
+        return np.bincount(cell, self.range_max[flat], n * self.ranges).reshape(n, self.ranges)
+
+    def search(self, terms: list[int], least: float, begin: int = 0, end: int | None = None) -> list[tuple[int, float]]:
+        """All (item, score) at or above ``least`` among the items ``begin`` to ``end``: document-at-a-time
+        block-max WAND."""
+        cursors, out = [], []  # cursor: current item, place, term
+        for t in terms:
+            k = bisect_left(self.items[t], begin)
+            if k < len(self.items[t]):
+                cursors.append([self.items[t][k], k, t])
+        end = len(self.ids) if end is None else end
+        cursors = [c for c in cursors if c[0] < end]
         while cursors:
             cursors.sort()
             bound, pivot = 0.0, -1
@@ -129,7 +154,7 @@ class Index:
                 if c[0] < target:
                     c[1] = len(self.items[c[2]]) if target == math.inf else bisect_left(self.items[c[2]], target, c[1])
                     c[0] = self.items[c[2]][c[1]] if c[1] < len(self.items[c[2]]) else -1
-            cursors = [c for c in cursors if c[0] >= 0]
+            cursors = [c for c in cursors if 0 <= c[0] < end]
         return out
 
     def leaks(self, texts: list[bytes], least: float = MIN_SCORE, overlap: float = MIN_OVERLAP) -> list[list[dict]]:
@@ -160,8 +185,9 @@ class Index:
         passage, term = key // len(self.terms), key % len(self.terms)
         hot = np.flatnonzero(np.bincount(passage, self.largest[term], chunks) >= least - 1e-9)
         lo, hi = np.searchsorted(passage, hot, "left"), np.searchsorted(passage, hot, "right")
-        for p, a, b in zip(hot.tolist(), lo.tolist(), hi.tolist()):
-            found = self.search(term[a:b].tolist(), least - 1e-9)
+        for p, a, b, ranges in self._reachable(hot, lo, hi, term, least - 1e-9):
+            found = [x for r in ranges for x in self.search(term[a:b].tolist(), least - 1e-9, r * self.width,
+                                                            (r + 1) * self.width)]
             if not found:
                 continue
             i = int(np.searchsorted(base, p, "right") - 1)
@@ -176,6 +202,16 @@ class Index:
                                    "answer_overlap": share[1], "first_word": begin - first_token[i]})
         return [_best(x) for x in out]
 
+    def _reachable(self, hot, lo, hi, term, least: float) -> Iterator[tuple[int, int, int, list[int]]]:
+        """(passage, its first and last term, ranges whose bound reaches ``least``), passages without any left out."""
+        for k in range(0, len(hot), STEP):
+            a, b = lo[k:k + STEP], hi[k:k + STEP]
+            size = b - a
+            own = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            reach = self.bounds(np.repeat(np.arange(len(a)), size), term[own], len(a)) >= least
+            for i in np.flatnonzero(reach.any(axis=1)).tolist():
+                yield int(hot[k + i]), int(a[i]), int(b[i]), np.flatnonzero(reach[i]).tolist()
+
     @staticmethod
     def _held(part: list[bytes], grams: set, joined: bytes) -> float:
         if len(part) < SHINGLE:
