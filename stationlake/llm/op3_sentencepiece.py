@@ -38,7 +38,7 @@ from stationlake.llm.common import column_bytes, slices, table
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER, UNKNOWN = "▁", 10.0  # fixed values: white-space marker, penalty below the worst score
-LONG, CACHE_SEGMENTS, CHUNK_BYTES, BATCH_BYTES = 48, 400_000, 1 << 20, 4 << 20
+LONG, CACHE_SEGMENTS, CHUNK_BYTES, BATCH_BYTES = 48, 1_000_000, 1 << 20, 4 << 20
 SEGMENT = re.compile(rb" *[^ ]+| +")
 #: Bytes of a UTF-8 character by its first byte.
 CHAR_BYTES = np.asarray([1 if c < 0xC0 else 2 if c < 0xE0 else 3 if c < 0xF0 else 4 for c in range(256)])
@@ -167,25 +167,24 @@ class Encoder:
             for s in new:
                 by_size.setdefault(len(s) if len(s) <= LONG else 0, []).append(s)
             for s in by_size.pop(0, ()):
-                self._remember([s], [self._one(s)])
+                tokens = self._one(s)
+                self._remember([s], tokens, np.asarray([len(tokens)]))
             for group in _neighbours(by_size):
-                self._remember(group, self._together(group))
+                self._remember(group, *self._together(group))
             for i in missing:
                 at[i] = self.place[segments[i]]
         return at
 
-    def _remember(self, segments: list[bytes], tokens: list[np.ndarray]) -> None:
+    def _remember(self, segments: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
         n = len(self.place)
-        flat = np.concatenate(tokens)
         if self.used + len(flat) > len(self.tokens):
             self.tokens = np.concatenate([self.tokens, np.zeros(self.used + len(flat), np.int32)])
         if n + len(segments) > len(self.starts):
             self.starts, self.sizes = (np.concatenate([x, np.zeros(n + len(segments), np.int64)])
                                        for x in (self.starts, self.sizes))
-        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         self.tokens[self.used:self.used + len(flat)] = flat
-        self.starts[n:n + len(tokens)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n:n + len(tokens)] = sizes
+        self.starts[n:n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n:n + len(sizes)] = sizes
         self.used += len(flat)
         self.place.update(zip(segments, range(n, n + len(segments))))
 
@@ -217,8 +216,8 @@ class Encoder:
             i = back[i]
         return np.asarray(out[::-1], np.int32)
 
-    def _together(self, segments: list[bytes]) -> list[np.ndarray]:
-        """Viterbi over segments of similar sizes at once."""
+    def _together(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Viterbi over segments of similar sizes at once: their tokens in a row, and how many each has."""
         n, width = len(segments), max(map(len, segments))
         size = np.fromiter(map(len, segments), np.int64, n)
         code = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in segments), np.uint8).reshape(n, width).astype(np.int64)
@@ -253,16 +252,19 @@ class Encoder:
                 better = s > best[lost, end]
                 r, end = lost[better], end[better]
                 best[r, end], back[r, end], piece[r, end] = s[better], i, -1
-        out = []
-        back_, piece_, ids, byte_ids = back.tolist(), piece.tolist(), self.ids, self.byte_ids
-        for k, s in enumerate(segments):
-            got, i = [], len(s)
-            b, p = back_[k], piece_[k]
-            while i:
-                got += [ids[p[i]]] if p[i] >= 0 else [byte_ids[c] for c in s[b[i]:i][::-1]]
-                i = b[i]
-            out.append(np.asarray(got[::-1], np.int32))
-        return out
+        steps, rows, end = [], np.arange(n), size.copy()
+        while len(rows):  # from the ends of all segments back to their starts
+            begin = back[rows, end].astype(np.int64)
+            steps.append((rows, begin, end, piece[rows, end]))
+            rows, end = rows[begin > 0], begin[begin > 0]
+        row, begin, end, own = (np.concatenate(x[::-1]) for x in zip(*steps))
+        order = np.argsort(row, kind="stable")
+        row, begin, end, own = row[order], begin[order], end[order], own[order]
+        count = np.where(own >= 0, 1, end - begin)
+        place = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        row_, own_ = np.repeat(row, count), np.repeat(own, count)
+        flat = np.where(own_ >= 0, self.ids[own_], self.byte_ids[code[row_, np.minimum(place, width - 1)]])
+        return flat.astype(np.int32), np.bincount(row, count, n).astype(np.int64)
 
     def decode(self, tokens) -> bytes:
         """Pieces joined, markers as spaces, byte pieces as bytes, without the leading space."""
@@ -309,6 +311,13 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
         yield own, part
 
 
+def encoder_of(model: dict) -> Encoder:
+    """The encoder of a broadcast model: kept with it, so a worker's later tasks know its segments."""
+    if "encoder" not in model:
+        model["encoder"] = Encoder(model)
+    return model["encoder"]
+
+
 def encode(docs: DataFrame, model: dict | None = None, verify: bool = True) -> DataFrame:
     """``docs`` plus ``ids`` and ``n_pieces``; with ``verify`` also ``round_trip`` (decodes to the text)."""
     sent = docs.sparkSession.sparkContext.broadcast(model or load_model())
@@ -318,7 +327,7 @@ def encode(docs: DataFrame, model: dict | None = None, verify: bool = True) -> D
                            T.StructField("n_pieces", T.LongType()), *[T.StructField("round_trip", T.BooleanType())] * verify])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = Encoder(sent.value)
+        e = encoder_of(sent.value)
         for b in slices(batches, "text", BATCH_BYTES):
             texts = column_bytes(b.column(b.schema.get_field_index("text")))
             ids = e.encode(texts)
