@@ -6,8 +6,10 @@ padded. Sequences are numbered through (partition, place); number g goes to slot
 ``permute(g)``, a keyed Feistel network over the next even number of bits, walked on until
 it lands below the number of sequences, so the slots are exactly 0 .. n-1 and any slot is
 known from key and n alone. Slots are dealt by range: shard s holds the slots from
-``s * shard_slots`` on, one task writes it in slot order, every record ``LENGTH`` tokens of
-fixed size, so a reader resumes at any slot with one seek.
+``s * shard_slots`` on; the sequences that a task has for one shard travel together,
+compressed. One task fills a shard in memory (``shard_slots`` records) and writes it in slot
+order, every record ``LENGTH`` tokens of fixed size, so a reader resumes at any slot with one
+seek.
 
 Shards are written below the shared folder under a name of their own per attempt; the
 manifest (written by Spark) names the ones that count, so repeated attempts do no harm.
@@ -25,14 +27,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import column_bytes, mix64, pack, slices, stored, table, unpack, work_path
-from stationlake.llm.op3_sentencepiece import BATCH_BYTES, Encoder, load_model
+from stationlake.llm.common import column_bytes, mix64, slices, stored, table, work_path
+from stationlake.llm.op3_sentencepiece import BATCH_BYTES, encoder_of, load_model
 
 LENGTH, SHARD_SLOTS, KEY, ROUNDS = 1024, 1 << 14, 20240229, 6
+HELD_BYTES = 64 << 20  # of sequences that a task gathers per shard before it sends them
 END_TOKEN, PAD_TOKEN = 2, 0  # fixed values of the piece model: </s>, <unk> (never read: see n_tokens)
 
 PACKED_TYPE = "part bigint, seq bigint, payload binary, doc_id bigint, start int, n_tokens bigint"
@@ -65,7 +69,7 @@ def packed(docs: DataFrame, model: dict | None = None, length: int = LENGTH) ->
     sent = docs.sparkSession.sparkContext.broadcast(model or load_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, part = Encoder(sent.value), TaskContext.get().partitionId()
+        e, part = encoder_of(sent.value), TaskContext.get().partitionId()
         rest, seq = np.zeros(0, np.uint16), 0
 
         def rows(payloads: list[bytes]) -> pa.RecordBatch:
@@ -87,13 +91,15 @@ def packed(docs: DataFrame, model: dict | None = None, length: int = LENGTH) ->
             rest = np.concatenate([rest, *(x for t in ids for x in (t.astype(np.uint16), end))])
             whole = len(rest) // length
             if whole:
-                yield rows([pack(rest[i * length:(i + 1) * length]) for i in range(whole)])
+                yield rows([rest[i * length:(i + 1) * length].tobytes() for i in range(whole)])
                 rest, seq = rest[whole * length:], seq + whole
         if len(rest):
-            yield rows([pack(np.concatenate([rest, np.full(length - len(rest), PAD_TOKEN, np.uint16)]))])
+            yield rows([np.concatenate([rest, np.full(length - len(rest), PAD_TOKEN, np.uint16)]).tobytes()])
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PACKED_TYPE)
-    return stored(own, "packed")
+    path = work_path(docs.sparkSession, "packed")
+    own.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(own.schema).parquet(path)
 
 
 def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -113,36 +119,55 @@ def write_shards(sequences: DataFrame, n: int, folder: str, key: int = KEY, leng
     stride = 2 * length
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = zstandard.ZstdCompressor(level=3)
+        kept: dict[int, tuple[list[int], list[bytes]]] = {}
+        size = 0
+
+        def send() -> pa.RecordBatch:
+            cols = [pa.array(list(kept), pa.int32()), pa.array([k for k, _ in kept.values()], pa.list_(pa.int64())),
+                    pa.array([zstd.compress(b"".join(v)) for _, v in kept.values()], pa.binary())]
+            kept.clear()
+            return pa.RecordBatch.from_arrays(cols, ["shard", "slots", "tokens"])
+
         for b in batches:
-            slot = permute(b.column(0).to_numpy(), n, key)
-            yield pa.RecordBatch.from_arrays([pa.array((slot // shard_slots).astype(np.int32)), pa.array(slot), b.column(1)],
-                                             ["shard", "slot", "payload"])
+            slots = permute(b.column(0).to_numpy(), n, key)
+            for slot, payload in zip(slots.tolist(), b.column(1).to_pylist()):
+                own = kept.setdefault(slot // shard_slots, ([], []))
+                own[0].append(slot)
+                own[1].append(payload)
+                size += stride
+                if size >= HELD_BYTES:
+                    yield send()
+                    size = 0
+        if kept:
+            yield send()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pyarrow.fs.FileSystem.from_uri(folder) if "://" in folder else (pyarrow.fs.LocalFileSystem(), folder)
-        out, shard, first, at, done = None, -1, 0, 0, []
+        done, shard, seen = [], -1, None
 
         def close() -> None:
-            if out is not None:
-                out.close()
-                if at != min(n, first + shard_slots):
-                    raise ValueError(f"shard {shard} ends at slot {at}")
-                done.append((shard, name, first, at - first, stride))
+            if seen is None:
+                return
+            if not seen.all():
+                raise ValueError(f"shard {shard} has {int(seen.sum())} of {len(seen)} slots")
+            file = f"tokens-{shard:08d}-{uuid.uuid4().hex}.bin"
+            fs.create_dir(root, recursive=True)
+            with fs.open_output_stream(f"{root}/{file}", compression=None) as out:
+                out.write(records.astype("<u2", copy=False).tobytes())
+            done.append((shard, f"{folder}/{file}", shard * shard_slots, len(seen), stride))
 
-        name = ""
         for b in batches:
-            for s, slot, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            for s, slots, tokens in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if s != shard:
                     close()
-                    shard, first = s, s * shard_slots
-                    at, file = first, f"tokens-{s:08d}-{uuid.uuid4().hex}.bin"
-                    name = f"{folder}/{file}"
-                    fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(f"{root}/{file}", compression=None)
-                if slot != at:
-                    raise ValueError(f"slot {slot} where {at} is due")
-                out.write(unpack(payload.as_py(), np.uint16).astype("<u2").tobytes())
-                at += 1
+                    shard, count = s, min(n, (s + 1) * shard_slots) - s * shard_slots
+                    seen, records = np.zeros(count, bool), np.zeros((count, length), np.uint16)
+                at = np.asarray(slots) - s * shard_slots
+                if seen[at].any() or len(np.unique(at)) < len(at):
+                    raise ValueError(f"a slot of shard {s} came twice")
+                seen[at] = True
+                records[at] = np.frombuffer(zstandard.ZstdDecompressor().decompress(tokens.as_py()), np.uint16).reshape(-1, length)
         close()
         if done:
             cols = [pa.array(c, t) for c, t in zip(zip(*done), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()))]
@@ -150,9 +175,8 @@ def write_shards(sequences: DataFrame, n: int, folder: str, key: int = KEY, leng
 
     shards = max(1, -(-n // shard_slots))
     placed = (sequences.select((F.col("_before") + F.col("seq")).alias("g"), "payload")
-              .mapInArrow(place, "shard int, slot bigint, payload binary"))
-    return stored(placed.repartitionById(shards, "shard").sortWithinPartitions("slot").mapInArrow(write, MANIFEST_TYPE),
-                  "shard-manifest")
+              .mapInArrow(place, "shard int, slots array<bigint>, tokens binary"))
+    return stored(placed.repartitionById(shards, "shard").mapInArrow(write, MANIFEST_TYPE), "shard-manifest")
 
 
 def document_slots(rows: DataFrame, n: int, key: int = KEY, length: int = LENGTH) -> DataFrame:
