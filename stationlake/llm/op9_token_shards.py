@@ -36,6 +36,7 @@ from stationlake.llm.common import column_bytes, mix64, slices, stored, table, w
 from stationlake.llm.op3_sentencepiece import BATCH_BYTES, encoder_of, load_model
 
 LENGTH, SHARD_SLOTS, KEY, ROUNDS = 1024, 1 << 14, 20240229, 6
+LEVEL = 9              # of Zstandard, for tokens on their way to the shards
 HELD_BYTES = 64 << 20  # of sequences that a task gathers per shard before it sends them
 END_TOKEN, PAD_TOKEN = 2, 0  # fixed values of the piece model: </s>, <unk> (never read: see n_tokens)
 
@@ -98,7 +99,7 @@ def packed(docs: DataFrame, model: dict | None = None, length: int = LENGTH) ->
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PACKED_TYPE)
     path = work_path(docs.sparkSession, "packed")
-    own.write.option("compression", "zstd").parquet(path)
+    own.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", LEVEL).parquet(path)
     return docs.sparkSession.read.schema(own.schema).parquet(path)
 
 
@@ -119,7 +120,7 @@ def write_shards(sequences: DataFrame, n: int, folder: str, key: int = KEY, leng
     stride = 2 * length
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zstd = zstandard.ZstdCompressor(level=3)
+        zstd = zstandard.ZstdCompressor(level=LEVEL)
         kept: dict[int, tuple[list[int], list[bytes]]] = {}
         size = 0
 
