@@ -58,27 +58,34 @@ def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, len(keys))
 
 
+def fold(hashes: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """Once- and twice-seen arrays of one task's 64-bit hashes, as rows (slice, once, twice)."""
+    once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
+    for own in hashes:
+        h, n = np.unique(own, return_counts=True)
+        at = bit_places(h, bits)
+        again = once[at].all(axis=1) | (n > 1)
+        once[at.ravel()] = True
+        twice[at[again].ravel()] = True
+    step = min(bits, SLICE_BITS)
+    for i in range(0, bits, step):
+        if once[i:i + step].any():
+            yield _slice_row(i // step, once[i:i + step], twice[i:i + step])
+
+
 def _build(bits: int, min_chars: int):
-    """Tasks' part of step 1: rows (slice, once, twice)."""
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
+    """Tasks' part of step 1."""
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for b in slices(batches, "text", BATCH_BYTES):
             keys: list[bytes] = []
             for t in column_bytes(b.column(0)):
                 keys.extend(line_keys(t, min_chars))
-            h, n = np.unique(_hashes(keys), return_counts=True)
-            at = bit_places(h, bits)
-            again = once[at].all(axis=1) | (n > 1)
-            once[at.ravel()] = True
-            twice[at[again].ravel()] = True
-        step = min(bits, SLICE_BITS)
-        for i in range(0, bits, step):
-            if once[i:i + step].any():
-                yield _slice_row(i // step, once[i:i + step], twice[i:i + step])
-    return build
+            yield _hashes(keys)
 
+    return lambda batches: fold(hashes(batches), bits)
 
-_SLICE_SCHEMA = "slice int, once binary, twice binary"
+
+SLICE_SCHEMA = "slice int, once binary, twice binary"
 
 
 def _slice_row(i: int, once: np.ndarray, twice: np.ndarray) -> pa.RecordBatch:
@@ -102,17 +109,27 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _slice_row(i, np.unpackbits(once), np.unpackbits(twice))
 
 
-def twice_filter(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS) -> bytes:
-    """The packed twice-seen filter over all documents (``bits`` / 8 bytes)."""
+def merged(parts: DataFrame, bits: int) -> bytes:
+    """The packed twice-seen filter (``bits`` / 8 bytes) of all tasks' slices."""
     step = min(bits, SLICE_BITS)
-    parts = (docs.select("text").mapInArrow(_build(bits, min_chars), _SLICE_SCHEMA)
-             .repartition(max(1, min(32, bits // step)), "slice").mapInArrow(_merge, _SLICE_SCHEMA).select("slice", "twice"))
+    whole = parts.repartition(max(1, min(32, bits // step)), "slice").mapInArrow(_merge, SLICE_SCHEMA)
     out = np.zeros(bits // 8, np.uint8)
-    for r in parts.toLocalIterator():
+    for r in whole.select("slice", "twice").toLocalIterator():
         out[r.slice * step // 8:(r.slice + 1) * step // 8] = np.frombuffer(zlib.decompress(bytes(r.twice)), np.uint8)
     return out.tobytes()
 
 
+def held(packed: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes the packed filter holds."""
+    p = bit_places(hashes, bits)
+    return ((packed[p >> np.uint64(3)] >> (np.uint8(7) - (p & np.uint64(7)).astype(np.uint8))) & 1).all(axis=1)
+
+
+def twice_filter(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS) -> bytes:
+    """The twice-seen filter of the line keys of all documents."""
+    return merged(docs.select("text").mapInArrow(_build(bits, min_chars), SLICE_SCHEMA), bits)
+
+
 def suspects(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Rows (doc_id, _row, key, lines) for the keys that the twice filter holds."""
     packed = docs.sparkSession.sparkContext.broadcast(twice_filter(docs, bits, min_chars))
@@ -129,8 +146,7 @@ def suspects(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHAR
                     at.append(i), keys.append(k), lines.append(n)
             if not keys:
                 continue
-            p = bit_places(_hashes(keys), bits)
-            hit = np.flatnonzero(((seen[p >> np.uint64(3)] >> (np.uint8(7) - (p & np.uint64(7)).astype(np.uint8))) & 1).all(axis=1))
+            hit = np.flatnonzero(held(seen, _hashes(keys), bits))
             rows = pa.array([at[i] for i in hit], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index("doc_id")).take(rows), b.column(b.schema.get_field_index("_row")).take(rows),

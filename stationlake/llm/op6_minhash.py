@@ -7,13 +7,19 @@ shifted by k (round the end), so 120 coordinates cost two keyed bijections. 24 b
 
 1. One pass over the texts gives set size, a 128-bit fingerprint of the set and the bands.
    Rows with equal sets are one class from the start; only its smallest doc_id (node) goes on.
-2. Nodes that share a bucket are compared with the bucket's hubs: the smallest node, then
-   the next two, four, ... in later rounds. A bucket rests as soon as all its nodes are in
-   one component, so a group of g mutual copies costs about g comparisons, while no pair of
-   nodes of different components in a bucket is left out in the end.
-3. Candidates are confirmed on the full sets (64-bit shingle hashes), links are joined into
-   components by smallest label with pointer jumping. Tables between rounds are written to
-   the shared folder. No step gathers a bucket, a class or the links in one task.
+2. Nodes that share a bucket go on with their full sets (64-bit shingle hashes). In an order
+   of all shingles that puts those of one node only first, two sets with a similarity of t
+   share one of their first (1 - t) n + 1 shingles; every node is filed under those it has
+   in common with others. Mere variants of one text have enough shingles of their own to be
+   filed nowhere, so they cost nothing. "Of one node only" is read from a twice-seen filter
+   of fixed size (:mod:`op10_line_dedup`); its errors only file a node more often.
+3. In each file, nodes are compared with its hubs: the node with fewest shingles of its own
+   (the centre of a group of variants), then the next 4, 16, ... in later rounds. A file
+   rests as soon as its nodes are in one component, so a group of g copies costs about g
+   comparisons, and in the end no pair of different components in a file is left out.
+4. Candidates are confirmed on the full sets, links are joined into components by smallest
+   label with pointer jumping. Tables between rounds are written to the shared folder. No
+   step gathers a bucket, a file, a class or the links in one task.
 
 Defined results: words are lower-cased (A-Z). Null and empty texts have an empty set and are
 linked with nothing; a text of 1 to 4 words has one shingle. Rows that share a doc_id are
@@ -27,16 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.llm.common import DOCUMENT_COLUMNS, WordHashes, column_bytes, mix64, slices, stored, table
+from stationlake.llm.op10_line_dedup import SLICE_SCHEMA, fold, held, merged
 
 SHINGLE, BANDS, ROWS = 5, 24, 5
 MIN_PERCENT = 85                      # of the union, in the intersection
 SALTS, BATCH_BYTES, BLOCK = 16, 4 << 20, 4096
+FILTER_BITS = 1 << 27                 # 16 MB, whatever the input
 PLACE = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                     0xA0761D6478BD642F], np.uint64)  # odd factors of a word's place in its shingle
 
@@ -121,12 +130,47 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n) of the buckets that hold two nodes or more."""
-    rows = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    """Nodes that share a bucket with another one."""
+    rows = nodes.select("node", F.explode("bands").alias("bucket"))
     several = (rows.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                .filter("lo < hi").select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
     return (rows.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-            .join(several, ["bucket", "_salt"]).select("bucket", "node", "n"))
+            .join(several, ["bucket", "_salt"], "left_semi").select("node").distinct())
+
+
+def files(sets: DataFrame, percent: int, bits: int = FILTER_BITS) -> DataFrame:
+    """(key, node, n, own, rest): each node under the shared ones of its first shingles.
+
+    ``own``: shingles of this node only, ``rest``: shingles from this one on, which bounds
+    what the node can have in common with another node of the file that has none before.
+    """
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for b in batches:
+            yield pc.list_flatten(b.column(0)).to_numpy().view(np.uint64)
+
+    twice = merged(sets.select("hashes").mapInArrow(lambda batches: fold(hashes(batches), bits), SLICE_SCHEMA), bits)
+    sent = sets.sparkSession.sparkContext.broadcast(twice)
+    names = ["key", "node", "n", "own", "rest"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = np.frombuffer(sent.value, np.uint8)
+        for b in batches:
+            out: list[list[np.ndarray]] = [[] for _ in names]
+            for node, hs in zip(b.column(0).to_pylist(), b.column(1)):
+                h = hs.values.to_numpy().view(np.uint64)
+                shared = h[held(packed, h, bits)]
+                n, own = len(h), len(h) - len(shared)
+                first = shared[:max(0, n - (percent * n + 99) // 100 + 1 - own)].view(np.int64)
+                for col, v in zip(out, (first, node, n, own, n - own - np.arange(len(first)))):
+                    col.append(v if isinstance(v, np.ndarray) else np.full(len(first), v, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], names)
+
+    rows = sets.select("node", "hashes").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    rows = stored(rows, "files")
+    several = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+               .filter("lo < hi").select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
+    return (rows.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
+            .join(several, ["key", "_salt"], "left_semi").select(*names))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
@@ -165,35 +209,38 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     several = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id")
     same_id = (members.join(several, "doc_id", "left_semi").join(classes.select("fingerprint", "node"), "fingerprint")
                .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    buckets = stored(shared_buckets(classes.filter("node IS NOT NULL")), "buckets")
-    sets = stored(full_sets(docs, buckets.select("node").distinct()), "sets")
+    nodes = shared_buckets(classes.filter("node IS NOT NULL"))
+    sets = stored(full_sets(docs, nodes), "sets")
+    filed = stored(files(sets, percent), "filed")
     links = stored(same_id, "links")
     labels = components(links)
     hubs = 1
     while True:
-        named = (buckets.join(labels.withColumnRenamed("id", "node"), "node", "left")
-                 .select("bucket", "node", "n", F.coalesce("label", "node").alias("label")))
-        open_ = named.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo < _hi")
-        open_ = open_.select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        named = (filed.join(labels.withColumnRenamed("id", "node"), "node", "left")
+                 .select(*filed.columns, F.coalesce("label", "node").alias("label")))
+        open_ = named.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo < _hi")
+        open_ = open_.select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
         named = stored(named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-                       .join(open_, ["bucket", "_salt"]).select("bucket", "node", "n", "label"), "open")
+                       .join(open_, ["key", "_salt"], "left_semi").drop("_salt"), "open")
         if not named.limit(1).count():
             break
-        first = (named.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
+        first = (named.withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("own", "node")))
                  .filter(F.col("_r") <= hubs)
-                 .select("bucket", F.col("node").alias("a"), F.col("n").alias("_na"), F.col("label").alias("_la")))
+                 .select("key", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("rest").alias("_rest"),
+                         F.col("label").alias("_label")))
         spread = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        pairs = (named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(spread, ["bucket", "_salt"])
-                 .filter((F.col("_la") != F.col("label")) & (F.col("a") != F.col("node"))
-                         & (100 * F.least("n", "_na") >= percent * F.greatest("n", "_na")))
+        most = F.least("rest", "_rest")
+        pairs = (named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(spread, ["key", "_salt"])
+                 .filter((F.col("_label") != F.col("label")) & (F.col("a") != F.col("node"))
+                         & (100 * most >= percent * (F.col("n") + F.col("_n") - most)))
                  .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
         new = stored(confirm(pairs, sets, percent), "links")
         if new.limit(1).count():
             links = links.union(new)
             labels = components(links)
-        buckets = stored(named.join(first.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
-                         .select("bucket", "node", "n"), "buckets")
-        hubs = min(hubs * 2, 1 << 20)
+        filed = stored(named.join(first.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
+                       .select(*filed.columns), "filed")
+        hubs *= 4
     return _assigned(sigs, classes, labels)
 
 
