@@ -3,7 +3,8 @@
 Circulant MinHash needs two permutations of the 32-bit numbers: the first scatters the
 shingles, the second gives coordinate k as its smallest value over the scattered numbers
 shifted by k (round the end), so 120 coordinates cost two keyed bijections. 24 bands of
-5 coordinates miss a link at 0.85 with a chance of about 1e-6.
+5 coordinates miss a link at 0.85 (the query) with a chance of about 1e-6, one at 0.8 (the
+pipeline's stage) with about 7e-5.
 
 1. One pass over the texts gives set size, a 128-bit fingerprint of the set and the bands.
    Rows with equal sets are one class from the start; only its smallest doc_id (node) goes on.
@@ -43,7 +44,8 @@ from stationlake.llm.common import DOCUMENT_COLUMNS, WordHashes, column_bytes, m
 from stationlake.llm.op10_line_dedup import SLICE_SCHEMA, fold, held, merged
 
 SHINGLE, BANDS, ROWS = 5, 24, 5
-MIN_PERCENT = 85                      # of the union, in the intersection
+MIN_PERCENT = 85                      # of the union, in the intersection: the op6 query
+STAGE_PERCENT = 80                    # the same in the pipeline, which the query's contract doesn't bind
 SALTS, BATCH_BYTES, BLOCK = 16, 4 << 20, 4096
 FILTER_BITS = 1 << 27                 # 16 MB, whatever the input
 PLACE = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -263,5 +265,6 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class of linked documents the smallest doc_id stays."""
-    gone = near_duplicates(docs.select("doc_id", "text")).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    classes = near_duplicates(docs.select("doc_id", "text"), percent=STAGE_PERCENT)
+    gone = classes.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
