@@ -12,6 +12,9 @@ from stationlake.llm.op7_warc import op7_warc
 from stationlake.llm.op8_interpolation import op8_lm_scoring
 from stationlake.llm.op9_token_shards import op9_token_shards
 from stationlake.llm.op10_line_dedup import op10_line_dedup
+from stationlake.llm.op11_packing import op11_packing
+from stationlake.llm.op12_centroids import op12_centroids
+from stationlake.llm.op13_resampling import op13_resampling
 from stationlake.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -27,4 +30,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_shards": op9_token_shards,
     "op10_line_dedup": op10_line_dedup,
+    "op11_packing": op11_packing,
+    "op12_centroids": op12_centroids,
+    "op13_resampling": op13_resampling,
 }
