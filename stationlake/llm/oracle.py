@@ -93,7 +93,42 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
        sha256(coalesce(string_agg(CASE WHEN NOT dropped THEN line END, chr(10) ORDER BY i), '')) AS kept_sha256
 FROM x GROUP BY doc_id"""
 
-SQL = {"op2_quality_rules": OP2, "op6_minhash": OP6, "op7_warc": OP7, "op10_line_dedup": OP10}
+def _assigned(number: int) -> str:
+    """CTEs a<number>: each kept vector's nearest centroid of c<number>."""
+    return f"""
+d{number} AS (SELECT v.n, v.vec_id, c.j, sum((v.x - c.x) * (v.x - c.x)) AS d
+              FROM parts v JOIN c{number} c ON v.i = c.i GROUP BY v.n, v.vec_id, c.j),
+a{number} AS (SELECT n, vec_id, min(j) AS j, min(d) AS d FROM (SELECT *, min(d) OVER (PARTITION BY n) AS least FROM d{number}) x
+              WHERE d = least GROUP BY n, vec_id)"""
+
+
+def _round(number: int) -> str:
+    """CTEs of round <number>: c<number>, floors of the means of a<number - 1>; a cluster without vectors stays."""
+    return f"""{_assigned(number - 1)},
+s{number} AS (SELECT a.j, v.i, sum(v.x) AS s, count(*) AS m FROM parts v JOIN a{number - 1} a ON v.n = a.n GROUP BY a.j, v.i),
+c{number} AS (SELECT c.j, c.i, coalesce((s - ((s % m) + m) % m) // m, c.x) AS x
+              FROM c{number - 1} c LEFT JOIN s{number} s ON c.j = s.j AND c.i = s.i)"""
+
+
+OP12 = f"""
+WITH kept AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS q,
+                row_number() OVER () AS n
+              FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+parts AS (SELECT n, vec_id, unnest(range(1, 65)) AS i, unnest(q) AS x FROM kept),
+top AS (SELECT n, row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS j FROM kept
+        QUALIFY j < 16),
+c0 AS (SELECT top.j, parts.i, parts.x FROM parts JOIN top ON parts.n = top.n),
+{_round(1)},
+{_round(2)},
+{_round(3)},
+{_assigned(3)},
+h AS (SELECT j, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS digest FROM c3 GROUP BY j)
+SELECT a3.vec_id, CAST(a3.j AS INT) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY a3.j) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       digest AS centroid_sha256
+FROM a3 JOIN h ON a3.j = h.j"""
+
+SQL = {"op2_quality_rules": OP2, "op6_minhash": OP6, "op7_warc": OP7, "op10_line_dedup": OP10, "op12_centroids": OP12}
 
 #: A nullable BIGINT (op7's refers_to) reaches pandas as float64 from Spark but as Int64 from
 #: DuckDB, so equal values print apart; its SQL is compared row by row in tests/llm instead.

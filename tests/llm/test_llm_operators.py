@@ -246,7 +246,7 @@ def test_maxima_do_not_depend_on_chunks(monkeypatch):
 
 
 # ---- 6 MinHash ----------------------------------------------------------------------------------
-def _classes(rows):
+def _classes(rows, percent=85):
     """rows: (doc_id, text). Class of every doc_id by all pairs."""
     sets = []
     for d, t in rows:
@@ -267,7 +267,7 @@ def _classes(rows):
         both = collections.Counter(j for g in s for j in by[g] if j > k)
         for j, n in both.items():
             e, o = sets[j]
-            if 100 * n >= 85 * (len(s) + len(o) - n):
+            if 100 * n >= percent * (len(s) + len(o) - n):
                 a, b = find(d), find(e)
                 root[max(a, b)] = min(a, b)
     return {d: find(d) for d in root}, {d: len(s) for d, s in sets}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_llm_operators import SF, _classes, _kept
 
 import corpus_pipeline
-from stationlake.llm import op3_sentencepiece, op4_decontaminate, op5_toxicity
+from stationlake.llm import op3_sentencepiece, op4_decontaminate, op5_toxicity, op6_minhash
 from stationlake.llm.common import DOCUMENT_COLUMNS, table
 from stationlake.llm.oracle import SQL
 from stationlake.llm.registry import QUERIES
@@ -37,7 +37,7 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     docs = table(spark, SF, "documents").collect()
     gone = _toxic(spark, docs)
     rows = [(i, t) for i, _, _, t in _kept([(r.doc_id, r.text) for r in docs if r.doc_id not in gone])]
-    classes, _ = _classes(rows)
+    classes, _ = _classes(rows, op6_minhash.STAGE_PERCENT)
     rows = [(i, t) for i, t in rows if classes[i] == i]
     leaky = _leaky(spark, rows)
     want = {i: t for i, t in rows if i not in leaky}
@@ -64,7 +64,7 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_operator_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF, t + '.parquet')}')")
     res = con.execute(SQL[name])
     cols = [d[0] for d in res.description]
