@@ -65,8 +65,12 @@ def span_seconds(span) -> float:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
-def _interval(seconds: float) -> Column:
-    return F.expr(f"INTERVAL '{int(seconds)}' SECOND")
+def shifted(instant: Column, span, sign: int = 1) -> Column:
+    """``instant`` moved by ``span`` (see :func:`span_seconds`), exactly, whatever the session zone.
+
+    An interval would be added in the session zone, where a day can have 23 or 25 hours.
+    """
+    return F.timestamp_micros(F.unix_micros(instant) + F.lit(sign * round(span_seconds(span) * 1_000_000)))
 
 
 def store_days(df: DataFrame) -> list[str]:
@@ -105,7 +109,7 @@ def resolve_as_of(df: DataFrame, as_of=None, ts: str = "ts") -> Column:
 def time_range(since, as_of: Column, ts: str = "ts", until: bool = True,
                day_col: str | None = "dt") -> Column:
     """``as_of - since <= ts [<= as_of]`` plus the implied bounds on the day partition."""
-    lo = as_of - _interval(span_seconds(since))
+    lo = shifted(as_of, since, -1)
     pred = _c(ts) >= lo
     if until:
         pred = pred & (_c(ts) <= as_of)

@@ -761,7 +761,7 @@ FROM s LEFT JOIN a ON s.bucket = a.bucket"""))
 def q_e12_change(spark, sf):
     """E12 over full stations, moved on 280 days: empty hours and the autumn clock change."""
     df = readings(spark, sf).filter(P.term("station_status", "full"))
-    moved = df.withColumn("ts", F.col("ts") + F.expr("INTERVAL '6720' HOUR")).withColumn("dt", C.utc_date("ts"))
+    moved = df.withColumn("ts", P.shifted(F.col("ts"), "6720h")).withColumn("dt", C.utc_date("ts"))
     return search.hourly_histogram(moved, since="30d", as_of="latest")
 
 

@@ -180,3 +180,21 @@ def test_latest_rows_hash_aggregate_the_readings(spark):
     plan = _plan(QUERIES["g01_latest_per_station"](spark, SF))
     first = plan[plan.rindex("HashAggregate"):]
     assert "partial_max(ts" in plan and "SortAggregate" not in first
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Europe/Paris"])
+@pytest.mark.parametrize("as_of", ["2024-11-06T00:00:00Z", "2024-03-13T00:00:00Z", "2024-04-02T12:30:00Z", "2024-10-29T00:00:00Z"])
+def test_relative_ranges_hold_across_clock_changes(spark, zone, as_of):
+    """Seven days are 168 hours also where the session's zone changes its clocks within them."""
+    from stationlake.operators import predicates as P
+
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        now = F.lit(as_of).cast("timestamp")
+        hourly = spark.range(1_704_067_200, 1_735_689_600, 1800).select(F.timestamp_seconds("id").alias("ts"))
+        for span, rows in (("7d", 337), ("24h", 49), ("30m", 2), ("500ms", 1), (0.25, 1)):
+            assert hourly.filter(P.time_range(span, now, day_col=None)).count() == rows
+        days = hourly.withColumn("dt", F.to_date(F.to_utc_timestamp("ts", F.current_timezone())))
+        assert days.filter(P.time_range("7d", now)).count() == 337
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
