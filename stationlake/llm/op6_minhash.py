@@ -15,9 +15,11 @@ pipeline's stage) with about 7e-5.
    filed nowhere, so they cost nothing. "Of one node only" is read from a twice-seen filter
    of fixed size (:mod:`op10_line_dedup`); its errors only file a node more often.
 3. In each file, nodes are compared with its hubs: the node with fewest shingles of its own
-   (the centre of a group of variants), then the next 4, 16, ... in later rounds. A file
-   rests as soon as its nodes are in one component, so a group of g copies costs about g
-   comparisons, and in the end no pair of different components in a file is left out.
+   (the centre of a group of variants), then the next 4, 16, ... in later rounds, always
+   outside the file's largest component. A file rests as soon as its nodes are in one
+   component, so a group of g copies costs about g comparisons, and in the end no pair of
+   different components in a file is left out. A pair is compared only if the number of their
+   shared shingles, and the numbers by ranges of the hashes, allow a link.
 4. Candidates are confirmed on the full sets, links are joined into components by smallest
    label with pointer jumping. Tables between rounds are written to the shared folder. No
    step gathers a bucket, a file, a class or the links in one task.
@@ -48,6 +50,7 @@ MIN_PERCENT = 85                      # of the union, in the intersection: the o
 STAGE_PERCENT = 80                    # the same in the pipeline, which the query's contract doesn't bind
 SALTS, BATCH_BYTES, BLOCK = 16, 4 << 20, 4096
 FILTER_BITS = 1 << 27                 # 16 MB, whatever the input
+RANGES = 32                           # of the shared shingles' hashes, counted per node
 PLACE = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                     0xA0761D6478BD642F], np.uint64)  # odd factors of a word's place in its shingle
 
@@ -141,10 +144,13 @@ def shared_buckets(nodes: DataFrame) -> DataFrame:
 
 
 def files(sets: DataFrame, percent: int, bits: int = FILTER_BITS) -> DataFrame:
-    """(key, node, n, own, rest): each node under the shared ones of its first shingles.
+    """(key, node, n, own, rest, spread): each node under the shared ones of its first shingles.
 
     ``own``: shingles of this node only, ``rest``: shingles from this one on, which bounds
     what the node can have in common with another node of the file that has none before.
+    ``spread``: its shared shingles per ``RANGES``-th of the hashes; two nodes have at most the
+    sum of the smaller counts in common, which tells variants of one text apart that lack
+    different shingles of it.
     """
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for b in batches:
@@ -153,11 +159,13 @@ def files(sets: DataFrame, percent: int, bits: int = FILTER_BITS) -> DataFrame:
     twice = merged(sets.select("hashes").mapInArrow(lambda batches: fold(hashes(batches), bits), SLICE_SCHEMA), bits)
     sent = sets.sparkSession.sparkContext.broadcast(twice)
     names = ["key", "node", "n", "own", "rest"]
+    kind = ", ".join(f"{c} bigint" for c in names) + ", spread array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.frombuffer(sent.value, np.uint8)
         for b in batches:
             out: list[list[np.ndarray]] = [[] for _ in names]
+            spread: list[np.ndarray] = []
             for node, hs in zip(b.column(0).to_pylist(), b.column(1)):
                 h = hs.values.to_numpy().view(np.uint64)
                 shared = h[held(packed, h, bits)]
@@ -165,14 +173,19 @@ def files(sets: DataFrame, percent: int, bits: int = FILTER_BITS) -> DataFrame:
                 first = shared[:max(0, n - (percent * n + 99) // 100 + 1 - own)].view(np.int64)
                 for col, v in zip(out, (first, node, n, own, n - own - np.arange(len(first)))):
                     col.append(v if isinstance(v, np.ndarray) else np.full(len(first), v, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], names)
-
-    rows = sets.select("node", "hashes").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+                by = np.bincount((shared // np.uint64((1 << 64) // RANGES)).astype(np.int64), minlength=RANGES)
+                spread.append(np.tile(by.astype(np.int32), len(first)))
+            flat = np.concatenate(spread)
+            cut = pa.array(np.arange(0, len(flat) + 1, RANGES, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c), pa.int64()) for c in out),
+                                              pa.ListArray.from_arrays(cut, pa.array(flat))], [*names, "spread"])
+
+    rows = sets.select("node", "hashes").mapInArrow(run, kind)
     rows = stored(rows, "files")
     several = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                .filter("lo < hi").select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
     return (rows.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-            .join(several, ["key", "_salt"], "left_semi").select(*names))
+            .join(several, ["key", "_salt"], "left_semi").select(*names, "spread"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
@@ -220,21 +233,27 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     while True:
         named = (filed.join(labels.withColumnRenamed("id", "node"), "node", "left")
                  .select(*filed.columns, F.coalesce("label", "node").alias("label")))
-        open_ = named.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo < _hi")
-        open_ = open_.select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        # the largest component of a file needs no hubs: those of all others meet it
+        open_ = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"), F.max("own").alias("_own"))
+                 .groupBy("key").agg(F.max(F.struct("_n", "_own", "label")).alias("_most"), F.count(F.lit(1)).alias("_labels"))
+                 .filter("_labels > 1")
+                 .select("key", F.col("_most.label").alias("_main"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
         named = stored(named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-                       .join(open_, ["key", "_salt"], "left_semi").drop("_salt"), "open")
+                       .join(open_, ["key", "_salt"]).drop("_salt"), "open")
         if not named.limit(1).count():
             break
-        first = (named.withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("own", "node")))
+        first = (named.filter("label <> _main")
+                 .withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("own", "node")))
                  .filter(F.col("_r") <= hubs)
                  .select("key", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("rest").alias("_rest"),
-                         F.col("label").alias("_label")))
+                         F.col("spread").alias("_spread"), F.col("label").alias("_label")))
         spread = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         most = F.least("rest", "_rest")
+        common = F.aggregate(F.zip_with("spread", "_spread", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
         pairs = (named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(spread, ["key", "_salt"])
                  .filter((F.col("_label") != F.col("label")) & (F.col("a") != F.col("node"))
-                         & (100 * most >= percent * (F.col("n") + F.col("_n") - most)))
+                         & (100 * most >= percent * (F.col("n") + F.col("_n") - most))
+                         & (100 * common >= percent * (F.col("n") + F.col("_n") - common)))
                  .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
         new = stored(confirm(pairs, sets, percent), "links")
         if new.limit(1).count():
