@@ -16,7 +16,7 @@ manifest (written by Spark) names the ones that count, so repeated attempts do n
 
 Defined results: null and empty texts are one end token. Every row is a document (repeated
 rows repeat). An empty table gives no shards and an empty index. Very long texts span
-several sequences. Extra columns aren't written.
+several sequences. Extra columns aren't written. A model with ids beyond 16 bits is refused.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from stationlake.llm.common import column_bytes, mix64, slices, stored, table, w
 from stationlake.llm.op3_sentencepiece import BATCH_BYTES, encoder_of, load_model
 
 LENGTH, SHARD_SLOTS, KEY, ROUNDS = 1024, 1 << 14, 20240229, 6
-LEVEL = 9              # of Zstandard, for tokens on their way to the shards
+LEVEL = 5              # of Zstandard, for tokens on their way to the shards
 HELD_BYTES = 64 << 20  # of sequences that a task gathers per shard before it sends them
 END_TOKEN, PAD_TOKEN = 2, 0  # fixed values of the piece model: </s>, <unk> (never read: see n_tokens)
 
@@ -67,7 +67,10 @@ def packed(docs: DataFrame, model: dict | None = None, length: int = LENGTH) ->
 
     A document starts at token ``start`` of sequence ``seq`` of its part.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model or load_model())
+    model = model or load_model()
+    if max(int(model["ids"].max()), int(model["byte_ids"].max())) > np.iinfo(np.uint16).max:
+        raise ValueError("shards hold token ids of 16 bits; the model has larger ones")
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, part = encoder_of(sent.value), TaskContext.get().partitionId()
@@ -111,7 +114,7 @@ def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
         before.append((r.part, total))
         total += r["count"]
     offsets = rows.sparkSession.createDataFrame(before, "part bigint, _before bigint")
-    return rows.join(F.broadcast(offsets), "part"), total
+    return rows.join(offsets, "part"), total  # broadcast by its size, if at all
 
 
 def write_shards(sequences: DataFrame, n: int, folder: str, key: int = KEY, length: int = LENGTH,
