@@ -11,7 +11,9 @@ leak when the passage holds enough of the item's question and of its answer (sha
 distinct 5-word shingles; parts under five words as a whole).
 
 The index is built per shard of the benchmark (``SHARD_BYTES`` of text, broadcast one by
-one; statistics are those of the shard), so no broadcast grows with the benchmark.
+one), so no broadcast grows with the benchmark. Number of items, mean and greatest length
+and the items per term are counted by Spark over the whole benchmark; a shard gets the
+counts of its own terms. Scores, passages and leaks don't depend on the number of shards.
 
 Defined results: words are compared lower-cased (A-Z) without ASCII punctuation. Null and
 empty texts have no leaks; null or wordless items are never found. Rows are judged one by
@@ -26,6 +28,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationlake.llm.common import DOCUMENT_COLUMNS, column_bytes, slices, table
+from stationlake.llm.common import DOCUMENT_COLUMNS, column_bytes, slices, stored, table
 
 K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, SHINGLE = 0.6, 0.8, 5
@@ -66,30 +69,41 @@ def shingles(w: list[bytes]) -> set:
     return {tuple(w[i:i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
 
 
+class Whole(NamedTuple):
+    """Counts over the whole benchmark; ``holders``: items per term, for the terms of a shard at least."""
+
+    items: int
+    words: int
+    longest: int
+    holders: dict[bytes, int]
+
+
 class Index:
     """BM25 postings per term, with the largest impact per list and per block of postings."""
 
-    def __init__(self, items: list[tuple[int, bytes]]) -> None:
+    def __init__(self, items: list[tuple[int, bytes]], whole: Whole | None = None) -> None:
         bags = [Counter(words(t)) for _, t in items]
         keep = [i for i, bag in enumerate(bags) if bag]
         self.ids = [items[i][0] for i in keep]
         self.parts = [question_and_answer(items[i][1]) for i in keep]
         bags = [bags[i] for i in keep]
         sizes = [sum(bag.values()) for bag in bags]
-        mean = sum(sizes) / max(1, len(sizes))
-        self.longest = max(sizes, default=0)
-        df = Counter(t for bag in bags for t in bag)
-        idf = {t: math.log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        if whole is None:
+            whole = Whole(len(bags), sum(sizes), max(sizes, default=0), Counter(t for bag in bags for t in bag))
+        mean = whole.words / max(1, whole.items)
+        self.longest = whole.longest
+        df = {t: whole.holders[t] for t in sorted({t for bag in bags for t in bag})}
+        idf = {t: math.log(1 + (whole.items - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         self.terms = {t: i for i, t in enumerate(df)}
         self.items: list[list[int]] = [[] for _ in df]
         self.impacts: list[list[float]] = [[] for _ in df]
         for i, (bag, size) in enumerate(zip(bags, sizes)):
             norm = K1 * (1 - B + B * size / mean)
             own = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in bag.items()}
-            whole = sum(own.values())
+            most = sum(own.values())
             for t, v in own.items():
                 self.items[self.terms[t]].append(i)
-                self.impacts[self.terms[t]].append(v / whole)
+                self.impacts[self.terms[t]].append(v / most)
         self.blocks = [[max(v[k:k + BLOCK]) for k in range(0, len(v), BLOCK)] for v in self.impacts]
         self.largest = np.asarray([max(v) for v in self.impacts], np.float64)
         # the largest impact per term and range of ``width`` neighbouring items, term after term
@@ -142,7 +156,7 @@ class Index:
                     jump = min(jump, self.items[c[2]][min(len(self.items[c[2]]), (k + 1) * BLOCK) - 1] + 1)
             if bound >= least:
                 if cursors[0][0] == item:
-                    score = sum(self.impacts[c[2]][c[1]] for c in cursors[:pivot + 1])
+                    score = sum(self.impacts[t][k] for t, k in sorted((c[2], c[1]) for c in cursors[:pivot + 1]))
                     if score >= least:
                         out.append((item, score))
                     target = item + 1
@@ -224,35 +238,62 @@ def _best(found: list[dict]) -> list[dict]:
     """One entry per item: the passage of the highest score, the first of equal ones."""
     best: dict = {}
     for x in found:
-        if x["item_id"] not in best or x["score"] > best[x["item_id"]]["score"]:
+        old = best.get(x["item_id"])
+        if old is None or (x["score"], -x["first_word"]) > (old["score"], -old["first_word"]):
             best[x["item_id"]] = x
     return [best[k] for k in sorted(best, key=lambda v: (v is None, v))]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE,
-                  overlap: float = MIN_OVERLAP) -> DataFrame:
-    """``docs`` plus ``leaks``: the benchmark items that each text holds."""
-    spark = docs.sparkSession
+def _bags(items: DataFrame) -> DataFrame:
+    """shard, n_words and distinct terms per item that has words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [words(t) for t in column_bytes(b.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(w) for w in own], pa.int64()), pa.array([sorted(set(w)) for w in own], pa.list_(pa.binary()))],
+                ["shard", "n_words", "terms"])
+
+    return items.select("shard", "text").mapInArrow(run, "shard bigint, n_words bigint, terms array<binary>").filter("n_words > 0")
+
+
+def _shards(benchmark: DataFrame) -> Iterator[tuple[list[tuple[int, bytes]], Whole]]:
+    """Items and counts of one shard after the other; a shard is about SHARD_BYTES of text."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("binary").alias("text"))
     items = items.filter(F.col("text").isNotNull())
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // SHARD_BYTES))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(n)))
+    bags = stored(_bags(items), "benchmark-terms")
+    whole = bags.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"),
+                     F.coalesce(F.max("n_words"), F.lit(0)).alias("longest")).first()
+    terms = bags.select("shard", F.explode("terms").alias("term"))
+    holders = stored(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "benchmark-holders")
+    for shard in range(n):
+        own = items.filter(F.col("shard") == shard).select("item_id", "text").collect()
+        held = holders.join(terms.filter(F.col("shard") == shard), "term", "left_semi").collect()  # terms of this shard's text
+        yield (sorted(((r.item_id, bytes(r.text)) for r in own), key=lambda x: (x[0] is None, x)),
+               Whole(*whole, {bytes(r.term): r.n for r in held}))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = MIN_SCORE,
+                  overlap: float = MIN_OVERLAP) -> DataFrame:
+    """``docs`` plus ``leaks``: the benchmark items that each text holds."""
+    spark = docs.sparkSession
     keep = [c for c in docs.columns if c != "leaks"]
     out = docs.select(*keep, F.array().cast(LEAK_TYPE).alias("leaks"))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("leaks", T._parse_datatype_string(LEAK_TYPE))])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()),
                                ("answer_overlap", pa.float64()), ("first_word", pa.int64())]))
-    for shard in range(n):
-        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == shard).collect()  # about SHARD_BYTES
-        sent = spark.sparkContext.broadcast(sorted(((r.item_id, bytes(r.text)) for r in own),
-                                                   key=lambda x: (x[0] is None, x)))
+    for own, whole in _shards(benchmark):
+        sent = spark.sparkContext.broadcast((own, tuple(whole)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value)
+            items, counts = sent.value
+            index = Index(items, Whole(*counts))
             for b in slices(batches, "text", BATCH_BYTES):
                 found = index.leaks(column_bytes(b.column(b.schema.get_field_index("text"))), least, overlap)
                 k = b.schema.get_field_index("leaks")
-                both = [old + new for old, new in zip(b.column(k).to_pylist(), found)]
+                both = [_best(old + new) if old else new for old, new in zip(b.column(k).to_pylist(), found)]
                 yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(both, kind)], b.schema.names)
 
         out = out.mapInArrow(run, schema)

@@ -210,6 +210,28 @@ def test_leaks_on_odd_rows_and_shards(spark, edge, empty, monkeypatch):
     assert not any(r.leaks for r in op4_decontaminate.decontaminate(edge, bench.limit(0)).collect())
 
 
+def test_leaks_do_not_depend_on_the_number_of_shards(spark, monkeypatch):
+    """All columns are alike for 1, 2 and 8 shards, also where items are altered and thresholds low."""
+    rng = random.Random(9)
+    items = [(i, " ".join(f"w{min(rng.randrange(900), rng.randrange(900))}" for _ in range(rng.randrange(8, 60))) + "?"
+              + " ".join(f"v{rng.randrange(300)}" for _ in range(rng.randrange(1, 12)))) for i in range(60)]
+    rows = []
+    for k in range(120):
+        words = items[rng.randrange(60)][1].replace("?", " ").split()
+        for _ in range(rng.randrange(6)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(900)}"
+        rows.append((k, " ".join([*(f"w{rng.randrange(900)}" for _ in range(rng.randrange(90))), *words])))
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    total = sum(len(t) for _, t in items)
+    for least, overlap in ((0.6, 0.8), (0.3, 0.2)):
+        found = []
+        for n in (1, 2, 8):
+            monkeypatch.setattr(op4_decontaminate, "SHARD_BYTES", -(-total // n))
+            out = op4_decontaminate.decontaminate(docs, bench, least, overlap).select("doc_id", F.explode("leaks").alias("l"))
+            found.append(sorted(tuple(r) for r in out.select("doc_id", "l.*").collect()))
+        assert found[0] == found[1] == found[2] and len(found[0]) > 30
+
+
 # ---- 5 toxicity --------------------------------------------------------------------------------
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
@@ -428,6 +450,8 @@ def test_shards_hold_every_document(spark, scratch, docs, edge, empty, pieces):
     first = shards[0]
     block = op9_token_shards.read_slots(first.path, 0, first.stride, 3, 5)
     assert np.array_equal(block[2], op9_token_shards.read_slots(first.path, 0, first.stride, 5)[0])
+    with pytest.raises(ValueError, match="16 bits"):
+        op9_token_shards.packed(frame, {**pieces, "ids": pieces["ids"] + 65_536})
     m, ix = op9_token_shards.token_shards(empty, f"{scratch}/none", pieces)
     assert m.count() == 0 and ix.count() == 0
 
