@@ -37,6 +37,7 @@ from stationlake.llm.op3_sentencepiece import BATCH_BYTES, encoder_of, load_mode
 
 LENGTH, SHARD_SLOTS, KEY, ROUNDS = 1024, 1 << 14, 20240229, 6
 LEVEL = 5              # of Zstandard, for tokens on their way to the shards
+MOST_PARTS = 1 << 20   # input partitions whose offsets are broadcast (16 MB)
 HELD_BYTES = 64 << 20  # of sequences that a task gathers per shard before it sends them
 END_TOKEN, PAD_TOKEN = 2, 0  # fixed values of the piece model: </s>, <unk> (never read: see n_tokens)
 
@@ -114,7 +115,8 @@ def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
         before.append((r.part, total))
         total += r["count"]
     offsets = rows.sparkSession.createDataFrame(before, "part bigint, _before bigint")
-    return rows.join(offsets, "part"), total  # broadcast by its size, if at all
+    # 16 bytes a part; a join by shuffle beyond the bound
+    return rows.join(F.broadcast(offsets) if len(before) <= MOST_PARTS else offsets, "part"), total
 
 
 def write_shards(sequences: DataFrame, n: int, folder: str, key: int = KEY, length: int = LENGTH,
