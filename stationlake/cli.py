@@ -19,6 +19,7 @@ import json
 from stationlake.operators.enrich import enrich, to_reading
 from stationlake.operators.join import join_status_info
 from stationlake.session import checkpoint_path, get_spark
+from stationlake.sources.compaction import compact_store
 from stationlake.sources.feeds import corrupt_snapshots, read_info, read_snapshots, status_rows
 from stationlake.sources.store import drop_expired, read_store, write_store
 
@@ -63,6 +64,11 @@ def retain(args) -> None:
     print(json.dumps({"deleted_days": drop_expired(spark, args.store, args.days, as_of)}))
 
 
+def compact(args) -> None:
+    spark = get_spark()
+    print(json.dumps({"compacted_days": compact_store(spark, args.store, args.before)}))
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="stationlake")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -97,6 +103,10 @@ def main(argv=None) -> None:
     r.add_argument("--days", type=int, required=True)
     r.add_argument("--as-of", default=None)
     r.set_defaults(fn=retain)
+    c = sub.add_parser("compact", help="rewrite the many writes of a day as a few files sorted by place")
+    c.add_argument("--store", required=True)
+    c.add_argument("--before", default=None, help="only days earlier than this one")
+    c.set_defaults(fn=compact)
     args = p.parse_args(argv)
     args.fn(args)
 

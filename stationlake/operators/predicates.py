@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.functions.cells import key_ranges
 from stationlake.functions.columns import parse_utc, utc_date
 
 # ---- fixed values ------------------------------------------------------------------
@@ -73,9 +74,26 @@ def shifted(instant: Column, span, sign: int = 1) -> Column:
     return F.timestamp_micros(F.unix_micros(instant) + F.lit(sign * round(span_seconds(span) * 1_000_000)))
 
 
+_DAY = re.compile(r"dt=(\d{4}-\d{2}-\d{2})(?:/|$)")
+
+
 def store_days(df: DataFrame) -> list[str]:
-    """The days ('yyyy-MM-dd') of the store folders that ``df`` reads, sorted; from file names, no job."""
-    return sorted({m for f in df.inputFiles() for m in re.findall(r"/dt=(\d{4}-\d{2}-\d{2})/", f)})
+    """The days ('yyyy-MM-dd') of the store folders that ``df`` reads, sorted; no job and no file names.
+
+    Only the folders right below the roots of the relations are listed: a name per day,
+    however many writes and files a day has.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    hadoop = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    days = set()
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or not hasattr(leaf.relation(), "location"):
+            continue
+        roots = leaf.relation().location().rootPaths()
+        for root in (roots.apply(i) for i in range(roots.size())):
+            own = _DAY.findall(root.toString())
+            days.update(own or (m for f in root.getFileSystem(hadoop).listStatus(root) for m in _DAY.findall(f.getPath().getName())))
+    return sorted(days)
 
 
 def latest_event(df: DataFrame, ts: str = "ts") -> Column:
@@ -148,9 +166,39 @@ def bounding_box(lat, lon, lat0: float, lon0: float, radius_m: float) -> Column:
     return pred
 
 
-def geo_within(lat, lon, lat0: float, lon0: float, radius_m: float) -> Column:
-    """Within ``radius_m`` metres of (lat0, lon0); the box test runs first."""
-    return bounding_box(lat, lon, lat0, lon0, radius_m) & (haversine_m(lat, lon, lat0, lon0) <= radius_m)
+def boxes(lat0: float, lon0: float, radius_m: float) -> list[tuple[float, float, float, float]]:
+    """(south, west, north, east) of one or two boxes that hold the whole circle, within -180 .. 180."""
+    d = radius_m / EARTH_RADIUS_M
+    dlat = d / DEG + 1e-9
+    south, north, c = lat0 - dlat, lat0 + dlat, math.cos(lat0 * DEG)
+    if math.sin(d) >= c or d >= math.pi / 2:  # a pole lies within
+        return [(south, -180.0, north, 180.0)]
+    dlon = math.asin(math.sin(d) / c) / DEG + 1e-9
+    west, east = lon0 - dlon, lon0 + dlon
+    out = [(south, max(west, -180.0), north, min(east, 180.0))]
+    if west < -180:
+        out.append((south, west + 360, north, 180.0))
+    if east > 180:
+        out.append((south, -180.0, north, east - 360))
+    return out
+
+
+def in_cells(cell, lat0: float, lon0: float, radius_m: float) -> Column:
+    """The point's cell is in one of the few key ranges that hold the circle, or isn't known."""
+    c = _c(cell)
+    ranges = [c.between(F.lit(lo), F.lit(hi)) for lo, hi in key_ranges(boxes(lat0, lon0, radius_m))]
+    return reduce(lambda a, b: a | b, ranges, c.isNull())
+
+
+def geo_within(lat, lon, lat0: float, lon0: float, radius_m: float, cell=None) -> Column:
+    """Within ``radius_m`` metres of (lat0, lon0); the box test runs first.
+
+    ``cell``: the column of quad-keys of a store sorted by them
+    (:func:`stationlake.functions.cells.cell_key`); its ranges are pushed to the scan, where
+    files, row groups and pages outside them are skipped.
+    """
+    near = bounding_box(lat, lon, lat0, lon0, radius_m) & (haversine_m(lat, lon, lat0, lon0) <= radius_m)
+    return near if cell is None else in_cells(cell, lat0, lon0, radius_m) & near
 
 
 def filter_readings(df: DataFrame, since=None, as_of=None, status=None, period=None,

@@ -148,10 +148,14 @@ def recent_with_status(df: DataFrame, status: str = "empty", since="5m", as_of=N
 
 def near(df: DataFrame, lat: float, lon: float, radius_m: float = 500.0, since="10m",
          as_of=None, size: int = 20) -> DataFrame:
-    """Readings within ``radius_m`` of a point in the range, nearest first (metres)."""
+    """Readings within ``radius_m`` of a point in the range, nearest first (metres).
+
+    Where ``df`` has a ``cell`` column (a store written by cells), its key ranges prune the scan.
+    """
+    cell = "cell" if "cell" in df.columns else None
     now = resolve_as_of(df, as_of)
     hits = (df.filter(time_range(since, now, until=False)
-                      & geo_within("latitude", "longitude", lat, lon, radius_m))
+                      & geo_within("latitude", "longitude", lat, lon, radius_m, cell))
             .withColumn("distance", haversine_m("latitude", "longitude", lat, lon)))
     return (hits.orderBy("distance", F.col("ts").desc(), "station_id").limit(size)
             .select("name", "station_id", "latitude", "longitude", "num_bikes_available",

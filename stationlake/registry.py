@@ -21,6 +21,7 @@ from stationlake.operators import predicates as P
 from stationlake.operators import text_search as TS
 from stationlake.operators.join import dedup_last
 from stationlake.oracle import avg2dp, cnt, r, r2, with_readings
+from stationlake.sources import compaction as CO
 from stationlake.sources import store as ST
 from stationlake.session import checkpoint_path
 from stationlake.sources.fixtures import readings, station_info, table
@@ -315,11 +316,31 @@ def haversine_sql(lat: str, lon: str, lat0: float, lon0: float) -> str:
 _DIST = haversine_sql("latitude", "longitude", GEO_LAT, GEO_LON)
 
 
-@register("t04_near_500m_24h", with_readings(f"""
+_T04 = with_readings(f"""
 , f AS (SELECT *, {_DIST} AS distance FROM readings WHERE {since(24)})
 SELECT name, station_id, latitude, longitude, num_bikes_available, CAST(electric_bikes AS DOUBLE) AS electric_bikes,
        CAST(mechanical_bikes AS DOUBLE) AS mechanical_bikes, {r2('distance')} AS distance_m, ts
-FROM f WHERE distance <= {GEO_R} ORDER BY distance, ts DESC, station_id LIMIT 20"""))
+FROM f WHERE distance <= {GEO_R} ORDER BY distance, ts DESC, station_id LIMIT 20""")
+
+
+def _store(spark, sf, batches: int = 1, **options) -> str:
+    """The readings written to a new day store below the shared folder, in some batches; its path."""
+    path = checkpoint_path(spark, f"store-{uuid.uuid4().hex}")
+    df = readings(spark, sf)
+    for k in range(batches):
+        own = df if batches == 1 else df.filter(F.pmod(F.xxhash64("station_id", "ts"), F.lit(batches)) == k)
+        ST.write_store(own, path, f"b{k}", **options)
+    return path
+
+
+@register("t04_near_by_cells", _T04)
+def q_t04_cells(spark, sf):
+    """T04 over a store written with quad-keys: the circle's key ranges prune the scan."""
+    store = ST.read_store(spark, _store(spark, sf, cells=True), cells=True)
+    return as_double(search.near(store, GEO_LAT, GEO_LON, GEO_R, since="24h", as_of="latest"))
+
+
+@register("t04_near_500m_24h", _T04)
 def q_t04(spark, sf):
     return as_double(search.near(readings(spark, sf), GEO_LAT, GEO_LON, GEO_R, since="24h", as_of="latest"))
 
@@ -699,6 +720,15 @@ def q_a04(spark, sf):
     return as_double(ST.read_store(spark, path).select(*[c.strip() for c in READING_COLS.split(",")]))
 
 
+@register("a06_compacted_scan", with_readings(f"SELECT {_reading_cols_sql()} FROM readings"))
+def q_a06(spark, sf):
+    """All readings in three writes, compacted day by day, and a write that is repeated afterwards."""
+    path = _store(spark, sf, batches=3)
+    CO.compact_store(spark, path)
+    ST.write_store(readings(spark, sf).filter(F.pmod(F.xxhash64("station_id", "ts"), F.lit(3)) == 1), path, "b1")
+    return as_double(ST.read_store(spark, path).select(*[c.strip() for c in READING_COLS.split(",")]))
+
+
 @register("c04_c07_c09_columns", with_readings("""
 SELECT station_id, ts, 'station_feed' AS source, 'Paris' AS city, 'stationlake-ingest' AS pipeline,
        'bike_sharing' AS data_type, last_reported AS last_reported_epoch,

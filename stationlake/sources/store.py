@@ -19,44 +19,58 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationlake.functions.cells import cell_key
 from stationlake.functions.columns import parse_utc, utc_date
 from stationlake.operators.predicates import store_days
 from stationlake.schema import ENRICHED
-
-BATCH = "batch"
+from stationlake.sources import compaction
+from stationlake.sources.compaction import BATCH, CELL
 
 
 def write_store(enriched: DataFrame, path: str, batch: str | None = None,
-                max_records_per_file: int = 5_000_000, spread: bool = False) -> str:
+                max_records_per_file: int = 5_000_000, spread: bool = False, cells: bool = False) -> str:
     """Append readings as write ``batch`` (default: a new name); returns the name.
 
-    Writing the same ``batch`` again replaces the days it holds, nothing else. By default
+    Writing the same ``batch`` again replaces the days it holds, nothing else; days whose
+    rows of this batch a compaction has taken in are left out. By default
     there is no shuffle: each task sorts its own rows by (day, station) and writes one file
     per day it holds (split beyond ``max_records_per_file``). ``spread`` rebalances by day
     first, for a backfill of many days by many tasks: fewer files, and adaptive execution
-    splits a day that holds most of the rows.
+    splits a day that holds most of the rows. ``cells`` adds the quad-key of each reading's
+    place and sorts by it instead, for searches by place.
     """
     name = batch or uuid.uuid4().hex
     rows = enriched.hint("rebalance", F.col("dt")) if spread else enriched
-    (rows.withColumn(BATCH, F.lit(name)).sortWithinPartitions("dt", "station_id").write.mode("overwrite")
+    taken = compaction.days_taken(path, name) if batch else []
+    if taken:
+        rows = rows.filter(F.coalesce(~F.col("dt").isin([F.lit(d).cast("date") for d in taken]), F.lit(True)))
+    if cells:
+        rows = rows.withColumn(CELL, cell_key("latitude", "longitude"))
+    order = ["dt", BATCH, *([CELL, "ts"] if cells else ["station_id"])]  # the writer would sort by its folders itself, and lose the rest
+    (rows.withColumn(BATCH, F.lit(name)).sortWithinPartitions(*order).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("dt", BATCH).parquet(path))
     return name
 
 
 def read_store(spark: SparkSession, path: str, columns=None, exclude=(), schema=ENRICHED,
-               batches: bool = False) -> DataFrame:
+               batches: bool = False, cells: bool = False) -> DataFrame:
     """Every day of the store; ``columns`` prunes, ``exclude`` drops fields.
 
     The schema is given, not inferred, so no file footer is opened to plan the scan
-    (``schema=None`` infers it). ``batches`` keeps the name of the write as a column.
+    (``schema=None`` infers it). ``batches`` keeps the name of the write as a column, ``cells``
+    reads the quad-keys (null where a file has none). What a compaction has replaced, or one
+    that died has left, isn't read (:mod:`stationlake.sources.compaction`).
     A file that goes missing while it is read is an error, never a short result.
     """
     reader = spark.read.option("basePath", path)
     if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())]))
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(CELL, T.LongType()), T.StructField(BATCH, T.StringType())]))
     df = reader.parquet(path)
+    visible = compaction.visible(path)
+    df = df if visible is None else df.filter(visible)
     df = df if batches else df.drop(BATCH)
+    df = df if cells else df.drop(CELL)
     if columns:
         df = df.select(*columns)
     return df.drop(*exclude) if exclude else df
@@ -126,4 +140,5 @@ def drop_expired(spark: SparkSession, path: str, days: int, as_of: _dt.date | No
     fs, root = pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path)
     for d in victims:
         fs.delete_dir(f"{root.rstrip('/')}/dt={d}")
+        compaction.forget_day(path, d)
     return victims
