@@ -9,6 +9,10 @@ from stationlake.functions.columns import PERIOD_NAMES, count_when, mean_2dp, ro
 from stationlake.operators.join import last_rows
 from stationlake.operators.predicates import terms
 
+LATEST_COLUMNS = ["name", "latitude", "longitude", "occupation_rate", "num_bikes_available",
+                  "num_docks_available", "station_status", "is_installed", "is_renting", "ts"]
+LATEST_ORDER = ["ts", "last_reported", "num_bikes_available"]
+
 
 def hourly_line(df: DataFrame, metric: str = "num_bikes_available", alias: str = "avg_bikes") -> DataFrame:
     """Average of one metric per UTC hour bucket (buckets with data only)."""
@@ -56,11 +60,14 @@ def latest_per_station(df: DataFrame, cols: list[str] | None = None) -> DataFram
     A hash aggregate finds each station's latest time; only readings at that time are
     compared further, so a station with a huge history is combined map-side.
     """
-    cols = cols or ["name", "latitude", "longitude", "occupation_rate", "num_bikes_available",
-                    "num_docks_available", "station_status", "is_installed", "is_renting", "ts"]
-    order = ["ts", "last_reported", "num_bikes_available"]
-    rows = df.select("station_id", *dict.fromkeys([*cols, *order]))
-    return last_rows(rows, "station_id", order).select("station_id", *cols)
+    cols = cols or LATEST_COLUMNS
+    return latest_rows(df, cols).select("station_id", *cols)
+
+
+def latest_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """G01 with the columns that decide which reading is the latest, so results can be merged again."""
+    rows = df.select("station_id", *dict.fromkeys([*(cols or LATEST_COLUMNS), *LATEST_ORDER]))
+    return last_rows(rows, "station_id", LATEST_ORDER).select(*rows.columns)
 
 
 def key_figures(latest: DataFrame) -> DataFrame:

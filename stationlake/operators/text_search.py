@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.distance import osa
+from stationlake.functions.distance import deletions, deletions_text, osa
 from stationlake.functions.text import (NGRAM_MAX, NGRAM_MIN, analyze, analyze_positions, analyze_text, ngrams,
                                         ngrams_text, text_positions)
 
@@ -155,33 +155,54 @@ def auto_fuzziness(length: int) -> int:
     return 0 if length <= 2 else (1 if length <= 5 else 2)
 
 
+#: Edits up to which terms are found by their deletion neighbourhood; beyond it (no request's
+#: 'AUTO' goes there) a term has too many shorter forms and all terms of a fitting length are compared.
+INDEX_EDITS = 2
+
+
+def deletion_index(names: DataFrame, k: int = INDEX_EDITS) -> DataFrame:
+    """(variant, term): each vocabulary term under all it becomes by up to ``k`` deletions.
+
+    May be kept as a table, sorted by variant; a search reads the variants of its word only.
+    """
+    vocab = names.select(F.explode("toks").alias("term")).distinct()
+    return vocab.select(F.explode(deletions(F.col("term"), k)).alias("variant"), "term")
+
+
 def fuzzy_terms(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int = 0,
-                max_expansions: int | None = None, names: DataFrame | None = None) -> DataFrame:
+                max_expansions: int | None = None, names: DataFrame | None = None,
+                index: DataFrame | None = None) -> DataFrame:
     """D05 expansion: vocabulary terms within the allowed edits of ``value``.
 
-    Both sides are lower-cased. A request may ask for the first ``prefix_length`` characters
+    Both sides are lower-cased. Terms that share a deletion variant with the word are
+    candidates (``index``: a kept :func:`deletion_index`), the distance is worked out for
+    those only. A request may ask for the first ``prefix_length`` characters
     to be the same, and for the ``max_expansions`` closest terms only (ties by term); by
     default every term within the edits counts.
     """
     v = value.lower()
     k = auto_fuzziness(len(v)) if fuzziness == "AUTO" else int(fuzziness)
-    names = names if names is not None else name_dimension(df)
-    vocab = names.select(F.explode("toks").alias("term")).distinct()
-    near = ((F.abs(F.length("term") - len(v)) <= k) & (F.left("term", F.lit(prefix_length)) == v[:prefix_length])
-            & (F.levenshtein(F.col("term"), F.lit(v)) <= 2 * k))
+    if index is None:
+        names = names if names is not None else name_dimension(df)
+    if k <= INDEX_EDITS:
+        found = index if index is not None else deletion_index(names, k)
+        vocab = found.filter(F.col("variant").isin(deletions_text(v, k))).select("term").distinct()
+    else:
+        vocab = (index.select("term") if index is not None else names.select(F.explode("toks").alias("term"))).distinct()
+    near = (F.abs(F.length("term") - len(v)) <= k) & (F.left("term", F.lit(prefix_length)) == v[:prefix_length])
     out = vocab.filter(near).withColumn("distance", osa(F.col("term"), F.lit(v))).filter(F.col("distance") <= k)
     return out.orderBy("distance", "term").limit(max_expansions) if max_expansions else out
 
 
 def fuzzy_match(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int = 0,
                 max_expansions: int | None = None, size: int = 10, fields=HIT_COLUMNS,
-                names: DataFrame | None = None) -> DataFrame:
+                names: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
     """Readings whose name holds a term within the allowed edits.
 
     Ordered by smallest distance, newest reading, station id.
     """
     names = names if names is not None else name_dimension(df)
-    near = fuzzy_terms(df, value, fuzziness, prefix_length, max_expansions, names)
+    near = fuzzy_terms(df, value, fuzziness, prefix_length, max_expansions, names, index)
     hit = (names.select("name", F.explode("toks").alias("term")).join(near, "term")
            .groupBy("name").agg(F.min("distance").alias("distance")))
     return _hits(df, hit, [F.col("distance").asc()], size, ("distance",), fields)

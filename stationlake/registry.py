@@ -21,10 +21,12 @@ from stationlake.operators import predicates as P
 from stationlake.operators import text_search as TS
 from stationlake.operators.join import dedup_last
 from stationlake.oracle import avg2dp, cnt, r, r2, with_readings
+from stationlake.plans import sketches as SK
 from stationlake.sources import compaction as CO
 from stationlake.sources import store as ST
 from stationlake.session import checkpoint_path
 from stationlake.sources.fixtures import readings, station_info, table
+from stationlake.streaming import state as STATE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -805,6 +807,53 @@ def q_e15_approx(spark, sf):
     return approx.select((F.abs(F.col("total_stations") - exact) <= 0.15 * exact).alias("within_error"))
 
 
+@register("e15_sketches_7d", with_readings("""
+, e AS (SELECT count(DISTINCT station_id) AS n FROM readings
+        WHERE ts >= (SELECT max(ts) FROM readings) - INTERVAL 7 DAY)
+SELECT n AS exact_stations, true AS within_error FROM e"""))
+def q_e15_sketches(spark, sf):
+    """E15 over seven days from hourly sketches kept per write, and the readings of the cut hours; against the exact count."""
+    df = readings(spark, sf)
+    path = checkpoint_path(spark, f"sketches-{uuid.uuid4().hex}")
+    for k, own in enumerate([df.filter("num_bikes_available % 2 = 0"), df.filter("NOT num_bikes_available % 2 <=> 0"), df]):
+        SK.write_sketches(own, path, f"b{k % 2}" if k < 2 else "all")
+    now = P.latest_event(df)
+    exact = df.filter(P.time_range("7d", now)).agg(F.count_distinct("station_id")).scalar()
+    found = SK.cardinality(SK.read_sketches(spark, path), "7d", now, df)
+    error = 3 * 1.04 / math.sqrt(1 << SK.LG_K)
+    return found.select(exact.alias("exact_stations"), (F.abs(F.col("total_stations") - exact) <= F.ceil(error * exact)).alias("within_error"))
+
+
+def _latest_table(spark, sf) -> DataFrame:
+    """The kept table of latest readings after batches in odd order, one of them repeated."""
+    df = readings(spark, sf)
+    path = checkpoint_path(spark, f"latest-{uuid.uuid4().hex}")
+    for k in (2, 0, 1, 2):
+        STATE.upsert_latest(df.filter(F.pmod(F.xxhash64("station_id", "ts"), F.lit(3)) == k), path, 8)
+    return STATE.read_latest(spark, path)
+
+
+@register("g01_latest_table", ORACLE["g01_latest_per_station"])
+def q_g01_table(spark, sf):
+    """G01 from the kept table: three micro-batches out of order and one repeated."""
+    return _latest_table(spark, sf)
+
+
+@register("e22_key_figures_table", ORACLE["e22_key_figures"])
+def q_e22_table(spark, sf):
+    """E22 from the kept table."""
+    return panels.key_figures(_latest_table(spark, sf))
+
+
+@register("d05_fuzzy_kept_index", ORACLE["d05_fuzzy_gizom"])
+def q_d05_index(spark, sf):
+    """D05 with the deletion neighbourhood written as a table, sorted by variant."""
+    df = readings(spark, sf)
+    path = checkpoint_path(spark, f"deletions-{uuid.uuid4().hex}")
+    TS.deletion_index(TS.name_dimension(df)).repartitionByRange("variant").sortWithinPartitions("variant").write.parquet(path)
+    return TS.fuzzy_match(df, "gizom", prefix_length=1, max_expansions=50, index=spark.read.parquet(path))
+
+
 @register("e23_cycle_totals_hourly", with_readings("""
 SELECT strftime(ts, '%Y-%m-%dT%H') AS collected_at, CAST(sum(num_bikes_available) AS BIGINT) AS total_bikes,
        CAST(sum(num_docks_available) AS BIGINT) AS total_docks, count(*) AS stations
