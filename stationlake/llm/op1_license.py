@@ -167,6 +167,7 @@ class Scanner:
 
     def __init__(self, phrases=PHRASES, templates=TEMPLATES, min_match=MIN_MATCH, max_gap=MAX_GAP) -> None:
         self.n_phrases, self.min_match, self.max_gap = len(phrases), min_match, max_gap
+        self.shortest = min([min_match, *(len(words(p.encode())) for _, p in phrases)])
         self.labels = [label for label, _ in [*phrases, *templates]]
         seqs = [words(text.encode()) for _, text in [*phrases, *templates]]
         self.vocab = {w: i for i, w in enumerate(dict.fromkeys(w for s in seqs for w in s))}
@@ -226,7 +227,7 @@ class Scanner:
         known = np.concatenate(([False], ids >= 0, [False]))
         edge = np.flatnonzero(known[1:] != known[:-1])
         starts, ends = edge[::2], edge[1::2]
-        long = ends - starts >= 2
+        long = ends - starts >= self.shortest  # shorter runs hold no phrase and no match
         starts, ends = starts[long], ends[long]
         of = np.searchsorted(np.asarray(firsts), starts, "right") - 1
         runs: dict[int, list[tuple[int, int]]] = {}
