@@ -12,10 +12,12 @@
    Confirmed keys are replicated over ``SALTS`` sub-keys, so one line of a third of all
    documents spreads over as many tasks.
 
-Defined results: a null text is one empty line. Every row counts as a document of its own,
-also where a doc_id repeats; all rows with the keeping doc_id keep their lines. A null
-doc_id is smaller than any other; where all holders are null, all keep the line. An empty
-table gives an empty result; extra columns pass through.
+Defined results: a null text is one empty line. Rows that share a doc_id are one document;
+all rows with the keeping doc_id keep their lines. A row with a null doc_id is a document of
+its own, smaller than any other; where all holders are null, all keep the line. An empty
+table gives an empty result; extra columns pass through, those named ``n_lines``,
+``n_dropped`` and ``kept_text`` are replaced. Very long texts are split like any other; a
+batch holds some megabytes of text or one text.
 """
 
 from __future__ import annotations
@@ -163,7 +165,9 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     documents or more stay only in the largest doc_id that holds them."""
     docs = docs.drop("n_lines", "n_dropped", "kept_text")
     sus = stored(suspects(docs, bits, min_chars), "line-suspects")
-    repeated = (sus.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
+    holders = sus.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    repeated = (holders.groupBy("key").agg(F.sum(F.when(F.col("doc_id").isNull(), F.col("_rows")).otherwise(1)).alias("n"),
+                                           F.max("doc_id").alias("keeper"))
                 .filter(F.col("n") >= min_docs)
                 .select("key", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
     lost = (sus.withColumn("_salt", F.pmod("_row", F.lit(SALTS)).cast("int"))

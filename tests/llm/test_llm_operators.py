@@ -83,6 +83,12 @@ def test_license_spans_chain_over_gaps():
     assert n == 1200 and len(places) == 400
 
 
+def test_one_word_phrases_are_found(spark):
+    docs = spark.createDataFrame([(1, "x copyleft y copyleft"), (2, "copyleft"), (3, "copy left"), (4, None)], "doc_id long, text string")
+    got = op1_license.license_scan(docs, phrases=[("c", "copyleft"), ("mit", "mit license")]).collect()
+    assert {r.doc_id: [(p.word, p.label) for p in r.places] for r in got} == {1: [(1, "c"), (3, "c")], 2: [(0, "c")], 3: [], 4: []}
+
+
 # ---- 2 quality rules ----------------------------------------------------------------------
 def _measures(text):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
@@ -467,7 +473,7 @@ def _kept(rows, min_docs=5):
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
-        keep = [x for x in lines if len(key(x)) < 40 or len(held[key(x)]) < min_docs
+        keep = [x for x in lines if len(key(x)) < 40 or len(set(held[key(x)]) - {None}) + held[key(x)].count(None) < min_docs
                 or i == max((h for h in held[key(x)] if h is not None), default=None)]
         out.append((i, len(lines), len(lines) - len(keep), "\n".join(keep)))
     return out
@@ -481,6 +487,8 @@ def test_line_dedup_equals_brute_force(spark, docs, bits):
     rows = list(docs.items()) + [(10_000 + i, "\n".join(["short", *(f" {x}\t" if i % 2 else x.upper().replace("É", "é") if i % 3 == 0 else x
                                                                     for x in rng.sample(common, 2)), rng.choice(common)])) for i in range(40)]
     rows += [(i, t) for i, t in EDGE] + [(None, f"{LONG_LINE} null only")] * 5 + [(20_000 + i % 3, f"{LONG_LINE} twice\n\n") for i in range(6)]
+    rows += [(30_000 + i % 5, f"{LONG_LINE} five documents, ten rows") for i in range(10)] + [(1, f"{LONG_LINE} two ids")] * 4 + [(2, f"{LONG_LINE} two ids")]
+    rows += [(40_000 + i if i < 3 else None, f"{LONG_LINE} three ids and two nulls\n{LONG_LINE} long" + " word" * 90_000) for i in range(5)]
     df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n_lines string").repartition(4)
     got = op10_line_dedup.line_dedup(df, bits=bits)
     assert got.columns == ["doc_id", "text", "n_lines", "n_dropped", "kept_text"]
