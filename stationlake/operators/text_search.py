@@ -208,21 +208,63 @@ def fuzzy_match(df: DataFrame, value: str, fuzziness="AUTO", prefix_length: int
     return _hits(df, hit, [F.col("distance").asc()], size, ("distance",), fields)
 
 
-def autocomplete(df: DataFrame, prefix: str, size: int = 10, names: DataFrame | None = None) -> DataFrame:
-    """Distinct names starting with the prefix (case-insensitive), alphabetical."""
+#: What a completion table's row completes: a whole name, or a token of it.
+WHOLE, TOKEN = "name", "token"
+
+
+def completion_table(names: DataFrame) -> DataFrame:
+    """(kind, key, name, n_docs): every name under its lower-cased text and under each of its tokens."""
+    whole = names.select(F.lit(WHOLE).alias("kind"), F.lower("name").alias("key"), "name", "n_docs")
+    tokens = names.select(F.lit(TOKEN).alias("kind"), F.explode(F.array_distinct("toks")).alias("key"), "name", "n_docs")
+    return whole.union(tokens)
+
+
+def write_completions(names: DataFrame, path: str, page_rows: int = 2000) -> None:
+    """Keeps the completion table sorted by kind and key: a prefix is one short stretch of it."""
+    (completion_table(names).repartitionByRange("kind", "key", "name").sortWithinPartitions("kind", "key", "name")
+     .write.option("parquet.page.row.count.limit", page_rows).parquet(path))
+
+
+def starts_in_range(key: str, prefix: str) -> Column:
+    """``key`` starts with ``prefix`` as a range of keys, which is pushed to the scan and prunes a sorted table."""
+    least = F.col(key) >= prefix
+    stem = prefix.rstrip(chr(0x10FFFF))
+    if not stem:
+        return least
+    code = ord(stem[-1]) + 1
+    code = 0xE000 if 0xD800 <= code <= 0xDFFF else code  # no characters there
+    return least & (F.col(key) < stem[:-1] + chr(code))
+
+
+def autocomplete(df: DataFrame, prefix: str, size: int = 10, names: DataFrame | None = None,
+                 completions: DataFrame | None = None) -> DataFrame:
+    """Distinct names starting with the prefix (case-insensitive), alphabetical.
+
+    ``completions``: a kept :func:`completion_table`; then readings aren't read at all.
+    """
+    if completions is not None:
+        hit = completions.filter((F.col("kind") == WHOLE) & starts_in_range("key", prefix.lower()))
+        return hit.select("name").orderBy("name").limit(size)
     found = names if names is not None else df.groupBy("name").agg(F.count(F.lit(1)).alias("n_docs"))
     return found.filter(F.lower("name").startswith(prefix.lower())).select("name").orderBy("name").limit(size)
 
 
 def edge_ngram_match(df: DataFrame, query: str, size: int = 10, fields=HIT_COLUMNS,
-                     names: DataFrame | None = None) -> DataFrame:
+                     names: DataFrame | None = None, completions: DataFrame | None = None) -> DataFrame:
     """Names with a token that starts with a query term, of whatever length.
 
-    Ordered by number of matched query terms, newest reading, station id.
+    Ordered by number of matched query terms, newest reading, station id. With a kept
+    :func:`completion_table` the names come from one stretch of it per term.
     """
     q = analyze_text(query)
     if not q:
         return _nothing(df, {"matched": "bigint"}, fields)
+    if completions is not None:
+        ranges = [starts_in_range("key", t) for t in q]
+        tokens = completions.filter((F.col("kind") == TOKEN) & reduce(lambda a, b: a | b, ranges))
+        found = [F.max(r.cast("bigint")) for r in ranges]
+        hit = tokens.groupBy("name").agg(reduce(lambda a, b: a + b, found).alias("matched"))
+        return _hits(df, hit, [F.col("matched").desc()], size, ("matched",), fields)
     names = names if names is not None else name_dimension(df)
     per_term = [F.exists("toks", _starts_with(t)).cast("bigint") for t in q]
     hit = names.select("name", reduce(lambda a, b: a + b, per_term).alias("matched")).filter(F.col("matched") > 0)

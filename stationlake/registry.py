@@ -16,16 +16,23 @@ from pyspark.sql import functions as F
 
 from stationlake.functions import columns as C
 from stationlake.functions.text import analyze_text, ngrams_text, stop_words, text_positions
+from stationlake.operators import asof as AS
+from stationlake.operators import enrich as EN
+from stationlake.operators import join as JO
 from stationlake.operators import panels, search, stats
 from stationlake.operators import predicates as P
 from stationlake.operators import text_search as TS
 from stationlake.operators.join import dedup_last
 from stationlake.oracle import avg2dp, cnt, r, r2, with_readings
+from stationlake.plans import rollup as RU
 from stationlake.plans import sketches as SK
 from stationlake.sources import compaction as CO
+from stationlake.sources import kafka as KA
 from stationlake.sources import store as ST
 from stationlake.session import checkpoint_path
-from stationlake.sources.fixtures import readings, station_info, table
+from stationlake.sources.fixtures import readings, station_info, station_status, table
+from stationlake.streaming import ingest as IN
+from stationlake.streaming import monitor as MO
 from stationlake.streaming import state as STATE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -854,6 +861,154 @@ def q_d05_index(spark, sf):
     return TS.fuzzy_match(df, "gizom", prefix_length=1, max_expansions=50, index=spark.read.parquet(path))
 
 
+def _rollup(spark, sf) -> DataFrame:
+    """The hourly rollup of all readings, written in three batches, one of them twice."""
+    df = readings(spark, sf)
+    path = checkpoint_path(spark, f"rollup-{uuid.uuid4().hex}")
+    for k in (0, 1, 2, 1):
+        RU.write_rollup(df.filter(F.pmod(F.xxhash64("station_id", "ts"), F.lit(3)) == k), path, f"b{k}")
+    return RU.read_rollup(spark, path)
+
+
+@register("e17_hourly_line_rollup", ORACLE["e17_hourly_line"])
+def q_e17_rollup(spark, sf):
+    """E17 from the kept rollup."""
+    return RU.hourly_line(_rollup(spark, sf))
+
+
+@register("e20_heatmap_rollup", ORACLE["e20_occupancy_heatmap"])
+def q_e20_rollup(spark, sf):
+    """E20 from the kept rollup."""
+    return RU.occupancy_heatmap(_rollup(spark, sf))
+
+
+@register("e12_hours_rollup", with_readings(f"""
+SELECT date_trunc('hour', ts) AS bucket, count(*) AS doc_count,
+       {r2('avg(num_bikes_available)')} AS avg_bikes, {r2('avg(electric_bikes)')} AS avg_electric,
+       {r2('avg(mechanical_bikes)')} AS avg_mechanical, count(DISTINCT station_id) AS total_stations
+FROM readings GROUP BY 1"""))
+def q_e12_rollup(spark, sf):
+    """E12's measures of every hour from the kept rollup."""
+    return RU.hourly_histogram(_rollup(spark, sf))
+
+
+def _completions(spark, sf) -> DataFrame:
+    path = checkpoint_path(spark, f"completions-{uuid.uuid4().hex}")
+    TS.write_completions(TS.name_dimension(readings(spark, sf)), path)
+    return spark.read.parquet(path)
+
+
+@register("d06_autocomplete_table", ORACLE["d06_autocomplete_sm"])
+def q_d06_table(spark, sf):
+    """D06 as a range of the kept completion table."""
+    return TS.autocomplete(readings(spark, sf), "Sm", 10, completions=_completions(spark, sf))
+
+
+@register("d07_edge_ngram_table", ORACLE["d07_edge_ngram_gi_wid"])
+def q_d07_table(spark, sf):
+    """D07 as ranges of the kept completion table."""
+    return TS.edge_ngram_match(readings(spark, sf), "gi wid", 10, completions=_completions(spark, sf))
+
+
+@register("b01_asof_info", with_readings("""
+SELECT station_id, ts, CASE WHEN name <> 'Unknown' AND ts >= TIMESTAMP '2024-01-15 06:00:00' THEN capacity + 5 ELSE capacity END
+  AS capacity, name FROM raw"""))
+def q_b01_asof(spark, sf):
+    """B01 with versioned info: the capacity grows in the middle of the month, a snapshot between changes nothing."""
+    info = station_info(spark, sf).select("station_id", "name", "lat", "lon", "capacity")
+    seen = [info.withColumn("seen", F.lit(t).cast("timestamp")) for t in ("2024-01-03T00:00:00Z", "2024-01-09T00:00:00Z")]
+    grown = info.withColumns({"capacity": F.col("capacity") + 5, "seen": F.lit("2024-01-15T06:00:00Z").cast("timestamp")})
+    status = station_status(spark, sf).withColumn("ts", C.parse_utc("collected_at"))
+    joined = AS.join_status_info_asof(status, AS.versions(seen[0].union(seen[1]).union(grown), "station_id", "seen"), "ts")
+    return joined.select("station_id", "ts", "capacity", "name")
+
+
+# ---- streams over the readings, read back -----------------------------------------------
+
+
+def _topic(spark, sf, work: str) -> DataFrame:
+    """The readings as a stream of JSON messages from files; messages of disturbed stations are cut off."""
+    messages = KA.encode_messages(EN.to_reading(JO.join_status_info(station_status(spark, sf), station_info(spark, sf))))
+    cut = F.get_json_object("value", "$.is_renting") == "0"
+    (messages.select(F.when(cut, F.left("value", F.lit(25))).otherwise(F.col("value")).alias("value"))
+     .repartition(3).write.text(f"{work}/messages"))
+    return spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(f"{work}/messages")
+
+
+@register("w01_topic_store_scan", with_readings(f"SELECT {_reading_cols_sql()} FROM readings WHERE is_renting"))
+def q_w01(spark, sf):
+    """W01, W03, A02's parse, A06: messages in micro-batches to the day store; a restart adds nothing."""
+    work = checkpoint_path(spark, f"topic-{uuid.uuid4().hex}")
+    raw = _topic(spark, sf, work)
+    for _ in range(2):
+        IN.topic_to_store(raw, f"{work}/store", f"{work}/corrupt", f"{work}/cp", "availableNow").awaitTermination()
+    return as_double(ST.read_store(spark, f"{work}/store").select(*[c.strip() for c in READING_COLS.split(",")]))
+
+
+@register("w01_corrupt_messages", with_readings("SELECT count(*) AS messages FROM readings WHERE NOT is_renting"))
+def q_w01_corrupt(spark, sf):
+    """Messages that don't parse reach the corrupt store, all of them."""
+    work = checkpoint_path(spark, f"topic-{uuid.uuid4().hex}")
+    IN.topic_to_store(_topic(spark, sf, work), f"{work}/store", f"{work}/corrupt", f"{work}/cp", "availableNow").awaitTermination()
+    return spark.read.parquet(f"{work}/corrupt").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("e24_delivery_counters", with_readings(f"""
+SELECT {cnt('is_renting')} AS ok, {cnt('NOT is_renting')} AS bad,
+       {r2("100 * CAST(sum(CASE WHEN is_renting THEN 0 ELSE 1 END) AS DOUBLE) / count(*)")} AS bad_percent FROM readings"""))
+def q_e24(spark, sf):
+    """The counters that the stream observed, from the table that the progress log keeps."""
+    work = checkpoint_path(spark, f"delivery-{uuid.uuid4().hex}")
+    log = MO.ProgressLog(spark, f"{work}/log").start()
+    try:
+        enriched, _ = IN.enrich_stream(IN.observe_quality(KA.parse_messages(_topic(spark, sf, work))))
+        IN.write_days(enriched, f"{work}/store", f"{work}/cp", "availableNow").awaitTermination()
+    finally:
+        log.stop()
+    return MO.delivery_counters(MO.delivery_log(spark, f"{work}/log")).select("ok", "bad", "bad_percent")
+
+
+def _reading_stream(spark, sf, work: str) -> DataFrame:
+    readings(spark, sf).drop("num_bikes_available_types").write.parquet(f"{work}/readings")
+    return spark.readStream.schema(spark.read.parquet(f"{work}/readings").schema).parquet(f"{work}/readings")
+
+
+@register("w04_fan_out", with_readings("""
+SELECT sink, count(*) AS doc_count, CAST(sum(num_bikes_available) AS BIGINT) AS total_bikes
+FROM readings, (VALUES ('second'), ('store')) s(sink) GROUP BY sink"""))
+def q_w04(spark, sf):
+    """Every reading reaches the day store and the second sink once."""
+    work = checkpoint_path(spark, f"fanout-{uuid.uuid4().hex}")
+    IN.fan_out(_reading_stream(spark, sf, work), f"{work}/store",
+               lambda batch, i: batch.write.mode("overwrite").parquet(f"{work}/second/batch={i}"), f"{work}/cp", "availableNow").awaitTermination()
+    sinks = {"store": ST.read_store(spark, f"{work}/store"), "second": spark.read.parquet(f"{work}/second")}
+    counted = [df.agg(F.lit(k).alias("sink"), F.count(F.lit(1)).alias("doc_count"), F.sum("num_bikes_available").alias("total_bikes"))
+               for k, df in sinks.items()]
+    return counted[0].union(counted[1])
+
+
+@register("w05_live_hourly", with_readings(f"""
+SELECT date_trunc('hour', ts) AS bucket, count(*) AS doc_count, {r2('avg(num_bikes_available)')} AS avg_bikes,
+       {r2(avg2dp())} AS avg_occupation
+FROM readings GROUP BY 1
+HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM readings) - INTERVAL 10 MINUTE"""))
+def q_w05(spark, sf):
+    """The hours that the watermark has closed, written by the stream and read back."""
+    work = checkpoint_path(spark, f"live-{uuid.uuid4().hex}")
+    live = IN.live_hourly(_reading_stream(spark, sf, work))
+    (live.writeStream.format("parquet").option("path", f"{work}/hours").option("checkpointLocation", f"{work}/cp")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{work}/hours")
+
+
+@register("a05_excluded_fields", with_readings("SELECT station_id, ts, name, station_status FROM readings"))
+def q_a05(spark, sf):
+    """The store without the fields that are left out."""
+    keep = ("station_id", "ts", "name", "station_status")
+    df = readings(spark, sf)
+    return ST.read_store(spark, _store(spark, sf), exclude=[c for c in df.columns if c not in keep])
+
+
 @register("e23_cycle_totals_hourly", with_readings("""
 SELECT strftime(ts, '%Y-%m-%dT%H') AS collected_at, CAST(sum(num_bikes_available) AS BIGINT) AS total_bikes,
        CAST(sum(num_docks_available) AS BIGINT) AS total_docks, count(*) AS stations

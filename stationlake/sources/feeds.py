@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.functions.columns import iso_utc, utc_text
+from stationlake.operators.asof import versions
 from stationlake.operators.join import dedup_last
 from stationlake.schema import INFO_FEED, STATUS_FEED
 
@@ -71,6 +72,17 @@ def read_status(spark: SparkSession, path: str, max_stations: int | None = None,
     return status_rows(read_snapshots(spark, path, streaming), max_stations)
 
 
+def read_info_versions(spark: SparkSession, path: str) -> DataFrame:
+    """Information snapshots -> a row per station and interval in which its entry stayed the same.
+
+    For :func:`stationlake.operators.asof.join_status_info_asof`. A snapshot without
+    ``last_updated`` counts as the oldest.
+    """
+    feed = _snapshots(spark, INFO_FEED, path, False).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")
+    rows = unnest_stations(feed.withColumn("_seen", F.timestamp_seconds(F.coalesce("last_updated", F.lit(0)))))
+    return versions(rows.select("station_id", "_seen", "name", "lat", "lon", "capacity"), "station_id", "_seen")
+
+
 def read_info(spark: SparkSession, path: str) -> DataFrame:
     """Information snapshot(s) -> one row per station; a repeated id keeps its last entry."""
     feed = _snapshots(spark, INFO_FEED, path, False).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file")

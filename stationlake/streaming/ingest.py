@@ -15,12 +15,14 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stationlake.functions.columns import count_when, mean_2dp, round2
+from stationlake.functions.columns import count_when, mean_2dp, parse_utc, round2
+from stationlake.operators.asof import join_status_info_asof
 from stationlake.operators.enrich import enrich, to_reading
 from stationlake.operators.join import join_status_info
 from stationlake.session import checkpoint_path
@@ -139,15 +141,26 @@ def topic_to_store(raw: DataFrame, path: str, corrupt_path: str, checkpoint: str
     return _each_batch(raw, write, name, checkpoint, trigger)
 
 
-def snapshots_to_store(spark: SparkSession, snapshot_dir: str, info: DataFrame, path: str, corrupt_path: str,
+def snapshots_to_store(spark: SparkSession, snapshot_dir: str, info: DataFrame | Callable[[], DataFrame], path: str, corrupt_path: str,
                        checkpoint: str | None = None, trigger=DEFAULT_TRIGGER,
                        max_stations: int | None = None, name: str = "snapshots") -> StreamingQuery:
-    """A01 + W06: status snapshot files -> readings -> day store; broken files to the corrupt store."""
+    """A01 + W06: status snapshot files -> readings -> day store; broken files to the corrupt store.
+
+    ``info``: one frame for the stream's whole life, or a function without arguments that gives
+    the versions known now (:func:`stationlake.sources.feeds.read_info_versions`). The function
+    is asked for every micro-batch, and each reading meets the version valid at its time.
+    """
+    def joined(rows: DataFrame) -> DataFrame:
+        if isinstance(info, DataFrame):
+            return join_status_info(rows, info)
+        timed = rows.withColumn("_at", parse_utc("collected_at"))
+        return join_status_info_asof(timed, info(), "_at").drop("_at")
+
     def write(batch: DataFrame, own: str, _: int) -> None:
         batch.persist()
         try:
             rows = status_rows(batch, max_stations)
-            write_store(enrich(to_reading(join_status_info(rows, info))), path, own)
+            write_store(enrich(to_reading(joined(rows))), path, own)
             _append_corrupt(corrupt_snapshots(batch), corrupt_path, own)
         finally:
             batch.unpersist()
