@@ -870,13 +870,13 @@ def _rollup(spark, sf) -> DataFrame:
     return RU.read_rollup(spark, path)
 
 
-@register("e17_hourly_line_rollup", ORACLE["e17_hourly_line"])
+@register("e17_hourly_line_rollup", ORACLE["e17_line_bikes_hourly"])
 def q_e17_rollup(spark, sf):
     """E17 from the kept rollup."""
     return RU.hourly_line(_rollup(spark, sf))
 
 
-@register("e20_heatmap_rollup", ORACLE["e20_occupancy_heatmap"])
+@register("e20_heatmap_rollup", ORACLE["e20_heatmap_hour_period"])
 def q_e20_rollup(spark, sf):
     """E20 from the kept rollup."""
     return RU.occupancy_heatmap(_rollup(spark, sf))
