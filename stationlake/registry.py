@@ -1001,6 +1001,18 @@ def q_w05(spark, sf):
     return spark.read.parquet(f"{work}/hours")
 
 
+@register("w05_corrected_hours", with_readings(f"""
+SELECT date_trunc('hour', ts) AS bucket, count(*) AS doc_count, {r2('avg(num_bikes_available)')} AS avg_bikes,
+       {r2(avg2dp())} AS avg_occupation FROM readings GROUP BY 1"""))
+def q_w05_corrected(spark, sf):
+    """W05 with corrections: the readings in an order that has nothing to do with time, one file per micro-batch."""
+    work = checkpoint_path(spark, f"hours-{uuid.uuid4().hex}")
+    readings(spark, sf).select("ts", "num_bikes_available", "occupation_rate", "station_id").repartition(4, "station_id").write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{work}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    IN.hours_to_table(stream, f"{work}/hours", "60 days", f"{work}/cp", "availableNow").awaitTermination()
+    return IN.read_hours(spark, f"{work}/hours")
+
+
 @register("a05_excluded_fields", with_readings("SELECT station_id, ts, name, station_status FROM readings"))
 def q_a05(spark, sf):
     """The store without the fields that are left out."""

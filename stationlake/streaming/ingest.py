@@ -9,7 +9,8 @@
 * ``topic_to_store``, ``snapshots_to_store``: the whole way from raw input to the store,
   with what doesn't parse in a corrupt store;
 * ``fan_out``: one stream to the store and to a second sink per micro-batch (W04);
-* ``live_hourly``: watermarked 1-hour windows for the live line panel (W05).
+* ``live_hourly``: watermarked 1-hour windows for the live line panel (W05);
+  ``hours_to_table``: the same with corrections by late readings, kept as a table.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from stationlake.sources.feeds import corrupt_snapshots, read_snapshots, read_st
 from stationlake.sources.store import BATCH, write_store
 
 DEFAULT_TRIGGER = "60 seconds"  # the poller's cycle
+HOURS_BATCH = "batch"           # number of the micro-batch in the table of corrected hours
 
 
 def _trigger(writer, trigger):
@@ -182,6 +184,34 @@ def live_hourly(enriched: DataFrame, watermark: str = "10 minutes") -> DataFrame
             .select(F.col("w.start").alias("bucket"), "doc_count", "avg_bikes", "avg_occupation"))
 
 
+def corrected_hourly(enriched: DataFrame, horizon: str = "30 days") -> DataFrame:
+    """W05 with corrections, for update mode: a late reading brings its hour out again, corrected.
+
+    The state is one row per hour of the horizon (720 for 30 days), which is the watermark;
+    only readings that are later than that are left out here.
+    """
+    return live_hourly(enriched, horizon)
+
+
+def hours_to_table(enriched: DataFrame, path: str, horizon: str = "30 days", checkpoint: str | None = None,
+                   trigger=DEFAULT_TRIGGER, name: str = "hours") -> StreamingQuery:
+    """The hours that a micro-batch has changed go to the table under its number; a retry replaces them."""
+    cp = checkpoint or checkpoint_path(enriched.sparkSession, name)
+
+    def write(batch: DataFrame, i: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/{HOURS_BATCH}={i}")  # the hours of one micro-batch
+
+    return _trigger(corrected_hourly(enriched, horizon).writeStream.outputMode("update").foreachBatch(write)
+                    .option("checkpointLocation", cp), trigger).start()
+
+
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """The last state of every hour of the table of :func:`hours_to_table`."""
+    rows = spark.read.parquet(path)
+    last = F.max_by(F.struct("doc_count", "avg_bikes", "avg_occupation"), HOURS_BATCH).alias("_h")
+    return rows.groupBy("bucket").agg(last).select("bucket", "_h.*")
+
+
 def live_latest(enriched: DataFrame) -> DataFrame:
     """G01 on a stream: each station's latest reading, emitted in update mode.
 

@@ -149,6 +149,25 @@ def test_rollup_from_a_stream_and_folded(spark, scratch, small_readings):
     assert watermark == newest - dt.timedelta(hours=2)
 
 
+def test_late_readings_correct_their_hours(spark, scratch, small_readings):
+    """Shuffled input in many micro-batches and a restart; readings beyond the horizon stay out."""
+    cols = ["ts", "num_bikes_available", "occupation_rate", "station_id"]
+    small_readings.select(*cols).repartition(5, "station_id").write.parquet(f"{scratch}/in")
+    schema = spark.read.parquet(f"{scratch}/in").schema
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+        ingest.hours_to_table(stream, f"{scratch}/hours", "60 days", f"{scratch}/cp", "availableNow").awaitTermination()
+        return _rows(ingest.read_hours(spark, f"{scratch}/hours").select("bucket", "doc_count", "avg_bikes"))
+
+    want = panels.hourly_line(small_readings).select("bucket", "doc_count", "avg_bikes")
+    assert run() == _rows(want)
+    late = small_readings.limit(7).select(*cols)
+    late.write.mode("append").parquet(f"{scratch}/in")
+    small_readings.limit(1).withColumn("ts", F.lit("2020-01-01").cast("timestamp")).select(*cols).write.mode("append").parquet(f"{scratch}/in")
+    assert run() == _rows(panels.hourly_line(small_readings.select(*cols).union(late)).select("bucket", "doc_count", "avg_bikes"))
+
+
 # ---- completions ---------------------------------------------------------------------------
 def test_completions_equal_the_plain_searches(spark, scratch, small_readings):
     names = TS.name_dimension(small_readings).cache()
