@@ -182,6 +182,9 @@ def _quantised(ratio: np.ndarray) -> np.ndarray:
     return np.where(ratio > 0, np.clip(q, -2000, 2000) + 2048, 0).astype(np.int64)
 
 
+MAX_ORDER = 4  # 6 + 12 bits per order in 63
+
+
 def _cells(order: int, n: int, types: int, n_docs: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         e = Estimates(left.to_pylist()[0], right.to_pylist(), order, n, n_docs)
@@ -242,6 +245,8 @@ def _scores(order: int, n: int, types: int, n_docs: int, weights: np.ndarray):
 
 def score_texts(docs: DataFrame, held: Column, order: int = ORDER, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Scores of all rows by a model of those that aren't held out: log10 probabilities per text."""
+    if not 1 <= order <= MAX_ORDER:
+        raise ValueError(f"orders are 1 to {MAX_ORDER}: a cell holds a bucket and 12 bits per order")
     blocks = stored(token_blocks(docs, held, block_tokens), "token-blocks")
     n_blocks, n_docs = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
     bits = max(4, int(n_blocks).bit_length())

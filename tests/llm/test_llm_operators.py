@@ -427,6 +427,11 @@ def test_interpolation_on_odd_rows(spark, edge, empty):
     none = op8_interpolation.score_texts(edge, F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, r.score) for r in none} == {(0, 0, 0.0)}
     assert op8_interpolation.score_texts(empty, F.lit(False)).count() == 0
+    for order in (0, 5):
+        with pytest.raises(ValueError, match="orders are 1 to 4"):
+            op8_interpolation.score_texts(edge, F.lit(False), order=order)
+    top = op8_interpolation.score_texts(edge, F.lit(False), order=op8_interpolation.MAX_ORDER).collect()
+    assert len(top) == len(EDGE) and all(math.isfinite(r.score) and r.score <= 0 for r in top)
 
 
 # ---- 9 token shards --------------------------------------------------------------------------------
