@@ -11,10 +11,15 @@ by the corpus; the driver gets the cells, never counts of n-grams.
 
 1. Texts become blocks of token hashes (about ``BLOCK_TOKENS``), written to the shared folder.
 2. Each block sends its distinct n-grams (52-bit hashes; words 64) with training counts, split by
-   hash range, as packed columns; a range's task adds the counts up and answers each block
-   in the order of its request. An n-gram reaches a task once per block at most, so frequent
-   words and n-grams are pre-aggregated; ranges grow in number with the blocks.
-3. Blocks meet their answers twice: to fill the cells, and to score.
+   hash range, as packed columns; a range's task adds the counts up and answers each sender
+   in the order of its request. An n-gram reaches a task once per sender at most, so frequent
+   words and n-grams are pre-aggregated.
+3. Ranges grow in number with the blocks, but no block writes to all of them: beyond ``2^FAN_BITS``
+   blocks the exchange has tiers. A tier's node takes one coarse range from some 128 blocks (or nodes
+   of the tier before), adds up what they have in common and sends it on in 128 finer ranges; answers
+   come back the same way. A block or node sends 128 messages per order at most, so messages grow in
+   proportion to the blocks (times the tiers), and a node holds about as much as one block.
+4. Blocks meet their answers twice: to fill the cells, and to score.
 
 Defined results: words are lower-cased (A-Z); null and empty texts have the end token only.
 Every row counts as a document, repeated rows too; a null doc_id counts as the empty text in
@@ -40,10 +45,13 @@ STEPS, BUCKETS, ITERATIONS = 4, 48, 60       # cells per doubling of a ratio, co
 END, BEGIN = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xC3A5C85C97CB3127)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 KEY_BITS = 52  # of an n-gram's hash; words keep 64
+FAN_BITS = 7   # a sender's messages per order and tier: 2^7
+BLOCKS_PER_TASK = 4  # blocks' worth of messages that a task reads, where that is more tasks than the session's
 
 BLOCK_TYPE = "block bigint, ids array<bigint>, held array<boolean>, sizes array<int>, words binary, tokens binary, n_train bigint"
-REQUEST_TYPE = "block bigint, level int, part bigint, keys binary, counts binary"
-ANSWER_TYPE = "block bigint, level int, part bigint, totals binary, n_sum bigint, n_types bigint"
+REQUEST_TYPE = "sender bigint, level int, part bigint, team bigint, keys binary, counts binary"
+ANSWER_TYPE = "sender bigint, level int, part bigint, totals binary, n_sum bigint, n_types bigint"
+NODE = ["level", "part", "team"]
 SCORE_TYPE = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
@@ -105,19 +113,33 @@ class Block:
             yield np.unique(key, return_inverse=True)
 
 
-def _requests(order: int, bits: int):
+def tier_bits(n_blocks: int, fan_bits: int = FAN_BITS) -> list[int]:
+    """Leading bits of the hash that name a range, tier by tier; more ranges than blocks in the last."""
+    last = max(4, n_blocks.bit_length())
+    return [*range(fan_bits, last, fan_bits), last]
+
+
+def _split(sender: int, level: int, team: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> list[tuple]:
+    """One message per range of ``bits`` leading bits; ``keys`` are sorted."""
+    part = (keys >> np.uint64((64 if level == 1 else KEY_BITS) - bits)).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    return [(sender, level, int(part[a]), team, pack(np.diff(keys[a:z], prepend=np.uint64(0))), pack(counts[a:z]))
+            for a, z in zip(cut, [*cut[1:], len(keys)])]
+
+
+def _requests(order: int, bits: list[int]):
+    """Messages of the blocks to the first tier, whose teams of blocks are drawn by hash."""
+    teams = np.uint64((1 << (bits[-1] - bits[0])) - 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
                 block, out = Block(row), []
+                team = int(mix64(np.asarray([row["block"]], np.uint64) + FACTOR)[0] & teams)
                 for level, (keys, at) in enumerate(block.levels(order), 1):
-                    counts = np.bincount(at[block.train], minlength=len(keys)).astype(np.uint32)
-                    part = (keys >> np.uint64((64 if level == 1 else KEY_BITS) - bits)).astype(np.int64)
-                    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-                    for a, z in zip(cut, [*cut[1:], len(keys)]):
-                        out.append((row["block"], level, int(part[a]), pack(np.diff(keys[a:z], prepend=np.uint64(0))),
-                                    pack(counts[a:z])))
+                    counts = np.bincount(at[block.train], minlength=len(keys)).astype(np.uint64)
+                    out += _split(row["block"], level, team, keys, counts, bits[0])
                 yield _batch(out, REQUEST_TYPE)
     return run
 
@@ -131,22 +153,76 @@ def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, t in zip(cols, types)], list(names))
 
 
-def _answer(group: pa.Table) -> pa.Table:
-    """Adds up the counts of one hash range and answers every block in its own order."""
-    rows = group.to_pylist()
+def _met(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Distinct keys of a node's messages, the place of each message's keys among them, ends of the messages."""
     keys = [np.cumsum(unpack(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
-    counts = [unpack(r["counts"], np.uint32) for r in rows]
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
-    mine, begin, out = total[at], 0, []
-    for i, r in enumerate(rows):
-        end = begin + len(keys[i])
-        out.append((r["block"], r["level"], r["part"], pack(mine[begin:end]),
-                    int(total.sum()) if i == 0 else 0, int((total > 0).sum()) if i == 0 else 0))
-        begin = end
+    return distinct, at, np.cumsum([len(k) for k in keys]).tolist()
+
+
+def _added(rows: list[dict], at: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(at, np.concatenate([unpack(r["counts"], np.uint64) for r in rows]), n).astype(np.uint64)
+
+
+def _pass_on(bits: int, shift: int):
+    """A node's sums, as messages to the next tier (``bits``), where 2^``shift`` teams become one."""
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        distinct, at, _ = _met(rows)
+        level, team = rows[0]["level"], rows[0]["team"]
+        out = _split(team, level, team >> shift, distinct, _added(rows, at, len(distinct)), bits)
+        return pa.Table.from_batches([_batch(out, REQUEST_TYPE)])
+    return run
+
+
+def _replies(rows: list[dict], at: np.ndarray, ends: list[int], total: np.ndarray, n_sum: int, n_types: int) -> pa.Table:
+    """To every sender the counts of its keys, in its own order; the sums of the range are told once."""
+    mine = total[at]
+    out = [(r["sender"], r["level"], r["part"], pack(mine[a:z]), n_sum if a == 0 else 0, n_types if a == 0 else 0)
+           for r, a, z in zip(rows, [0, *ends[:-1]], ends)]
     return pa.Table.from_batches([_batch(out, ANSWER_TYPE)])
 
 
+def _answer(group: pa.Table) -> pa.Table:
+    """The last tier: adds up the counts of one hash range and answers every sender."""
+    rows = group.to_pylist()
+    distinct, at, ends = _met(rows)
+    total = _added(rows, at, len(distinct)).astype(np.int64)
+    return _replies(rows, at, ends, total, int(total.sum()), int((total > 0).sum()))
+
+
+def _hand_down(left: pa.Table, right: pa.Table) -> pa.Table:
+    """A node's own requests met by the answers it got: answers for those who had asked it."""
+    rows = left.to_pylist()
+    _, at, ends = _met(rows)
+    got = sorted(right.select(["finer", "totals"]).to_pylist(), key=lambda r: r["finer"])
+    return _replies(rows, at, ends, np.concatenate([unpack(r["totals"], np.int64) for r in got]), 0, 0)
+
+
+def _spread(df: DataFrame, n: int, *cols: str) -> DataFrame:
+    """``df`` in ``n`` partitions by ``cols`` where the session's own number is smaller."""
+    return df.repartition(n, *cols) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
+def gram_counts(blocks: DataFrame, n_blocks: int, order: int, fan_bits: int = FAN_BITS) -> tuple[DataFrame, int, int]:
+    """Training counts of every block's n-grams (one row per block, order and range of the first tier),
+    number of training tokens, number of distinct ones."""
+    bits, n_tasks = tier_bits(n_blocks, fan_bits), -(-n_blocks // BLOCKS_PER_TASK)
+    asked = [blocks.mapInArrow(_requests(order, bits), REQUEST_TYPE)]  # made anew from the blocks, not stored
+    for before, now in zip(bits, bits[1:]):
+        sums = _spread(asked[-1], n_tasks, *NODE).groupBy(*NODE).applyInArrow(_pass_on(now, now - before), REQUEST_TYPE)
+        asked.append(stored(sums, "gram-sums"))
+    answers = stored(_spread(asked[-1], n_tasks, *NODE).groupBy(*NODE).applyInArrow(_answer, ANSWER_TYPE), "gram-counts")
+    n, types = answers.filter("level = 1").agg(F.coalesce(F.sum("n_sum"), F.lit(0)),
+                                               F.coalesce(F.sum("n_types"), F.lit(0))).first()
+    for t in range(len(bits) - 2, -1, -1):
+        up = answers.select("level", F.shiftright("part", bits[t + 1] - bits[t]).alias("part"),
+                            F.col("sender").alias("team"), F.col("part").alias("finer"), "totals")
+        pairs = _spread(asked[t], n_tasks, *NODE).groupBy(*NODE).cogroup(_spread(up, n_tasks, *NODE).groupBy(*NODE))
+        answers = stored(pairs.applyInArrow(_hand_down, ANSWER_TYPE), "gram-counts")
+    return answers.select(F.col("sender").alias("block"), "level", "part", "totals"), n, types
+
+
 class Estimates:
     """Counts of a block's tokens: ``grams[k]`` of the n-gram of order k + 1, ``contexts[k]`` of its context."""
 
@@ -243,18 +319,17 @@ def _scores(order: int, n: int, types: int, n_docs: int, weights: np.ndarray):
     return run
 
 
-def score_texts(docs: DataFrame, held: Column, order: int = ORDER, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def score_texts(docs: DataFrame, held: Column, order: int = ORDER, block_tokens: int = BLOCK_TOKENS,
+                fan_bits: int = FAN_BITS) -> DataFrame:
     """Scores of all rows by a model of those that aren't held out: log10 probabilities per text."""
     if not 1 <= order <= MAX_ORDER:
         raise ValueError(f"orders are 1 to {MAX_ORDER}: a cell holds a bucket and 12 bits per order")
     blocks = stored(token_blocks(docs, held, block_tokens), "token-blocks")
     n_blocks, n_docs = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
-    bits = max(4, int(n_blocks).bit_length())
-    requests = blocks.mapInArrow(_requests(order, bits), REQUEST_TYPE)
-    answers = stored(requests.groupBy("level", "part").applyInArrow(_answer, ANSWER_TYPE), "gram-counts")
-    n, types = answers.filter("level = 1").agg(F.coalesce(F.sum("n_sum"), F.lit(0)),
-                                               F.coalesce(F.sum("n_types"), F.lit(0))).first()
-    met = blocks.groupBy("block").cogroup(answers.select("block", "level", "part", "totals").groupBy("block"))
+    answers, n, types = gram_counts(blocks, n_blocks, order, fan_bits)
+    n_tasks = -(-n_blocks // BLOCKS_PER_TASK)
+    met = (_spread(blocks, n_tasks, "block").groupBy("block")
+           .cogroup(_spread(answers, n_tasks, "block").groupBy("block")))
     cells = (met.applyInArrow(_cells(order, n, types, n_docs), "cell bigint, n bigint")
              .groupBy("cell").agg(F.sum("n").alias("n")).collect())  # bounded by the quantisation
     cells = sorted((r.cell, r.n) for r in cells)

@@ -421,6 +421,38 @@ def test_interpolation_equals_brute_force(spark, docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_tiers_of_the_count_exchange_add_up_the_same(spark, order):
+    """Tiers change neither counts nor scores, and a block sends no more than a tier's ranges."""
+    frame, held = table(spark, SF, "documents"), crc_mod("doc_id", 7) == 2
+    blocks = op8_interpolation.token_blocks(frame, held, 2_000).cache()
+    n_blocks = blocks.count()
+    assert len(op8_interpolation.tier_bits(n_blocks, 2)) >= 3
+    messages = blocks.mapInArrow(op8_interpolation._requests(order, op8_interpolation.tier_bits(n_blocks, 2)),
+                                 op8_interpolation.REQUEST_TYPE)
+    assert messages.groupBy("sender", "level").count().agg(F.max("count")).first()[0] <= 4
+
+    def counts(fan_bits):
+        answers, n, types = op8_interpolation.gram_counts(blocks, n_blocks, order, fan_bits)
+        got = collections.defaultdict(list)
+        for r in sorted(answers.collect(), key=lambda r: (r.block, r.level, r.part)):
+            got[r.block, r.level].extend(op8_interpolation.unpack(r.totals, np.int64).tolist())
+        return dict(got), n, types
+
+    assert counts(2) == counts(3) == counts(20)  # the last has one tier
+    scores = [sorted((r.doc_id, r.score) for r in op8_interpolation.score_texts(frame, held, order, 2_000, f).collect())
+              for f in (2, 20)]
+    assert scores[0] == scores[1]
+    blocks.unpersist()
+
+
+def test_tiers_name_more_ranges_than_blocks():
+    for n in (0, 1, 15, 16, 127, 128, 80, 16_384, 10_000_000):
+        bits = op8_interpolation.tier_bits(n)
+        assert bits[-1] >= n.bit_length() and all(0 < b - a <= 7 for a, b in zip([0, *bits], bits))
+    assert op8_interpolation.tier_bits(127) == [7] and op8_interpolation.tier_bits(128) == [7, 8]
+
+
 def test_interpolation_on_odd_rows(spark, edge, empty):
     got = op8_interpolation.score_texts(edge, F.lit(False), order=3).collect()
     assert len(got) == len(EDGE) and all(math.isfinite(r.score) and r.score <= 0 for r in got)
