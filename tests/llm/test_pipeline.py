@@ -19,7 +19,7 @@ def _toxic(spark, docs):
     model = op5_toxicity.fit(table(spark, SF, "documents"), table(spark, SF, "labels"), op5_toxicity.trainable_rows())
     s = op5_toxicity.Scorer(model)
     return {r.doc_id for r in docs
-            if s.score([(r.text or "").encode()])[0] >= model.thresholds.get(r.lang, op5_toxicity.DEFAULT_THRESHOLD)}
+            if s.score([(r.text or "").encode()])[0] >= model.thresholds.get(r.lang, model.threshold)}
 
 
 def _leaky(spark, rows):
