@@ -446,6 +446,22 @@ def test_tiers_of_the_count_exchange_add_up_the_same(spark, order):
     blocks.unpersist()
 
 
+def test_more_tasks_than_the_session_has(spark):
+    """With many blocks the exchange takes its own number of partitions; no step shuffles twice for it."""
+    frame, held = table(spark, SF, "documents"), crc_mod("doc_id", 7) == 2
+    want = sorted((r.doc_id, r.score) for r in op8_interpolation.score_texts(frame, held, 2, 4_000, 2).collect())
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        blocks = op8_interpolation.token_blocks(frame, held, 4_000)
+        assert blocks.count() > 2 * op8_interpolation.BLOCKS_PER_TASK
+        out = op8_interpolation.score_texts(frame, held, 2, 4_000, 2)
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+        assert sorted((r.doc_id, r.score) for r in out.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
 def test_tiers_name_more_ranges_than_blocks():
     for n in (0, 1, 15, 16, 127, 128, 80, 16_384, 10_000_000):
         bits = op8_interpolation.tier_bits(n)
