@@ -199,7 +199,8 @@ def hours_to_table(enriched: DataFrame, path: str, horizon: str = "30 days", che
     cp = checkpoint or checkpoint_path(enriched.sparkSession, name)
 
     def write(batch: DataFrame, i: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/{HOURS_BATCH}={i}")  # the hours of one micro-batch
+        # a shuffle, no coalesce: that would run every partition of the state in the one task that writes the hours
+        batch.repartition(1).write.mode("overwrite").parquet(f"{path}/{HOURS_BATCH}={i}")
 
     return _trigger(corrected_hourly(enriched, horizon).writeStream.outputMode("update").foreachBatch(write)
                     .option("checkpointLocation", cp), trigger).start()

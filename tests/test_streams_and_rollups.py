@@ -168,6 +168,26 @@ def test_late_readings_correct_their_hours(spark, scratch, small_readings):
     assert run() == _rows(panels.hourly_line(small_readings.select(*cols).union(late)).select("bucket", "doc_count", "avg_bikes"))
 
 
+def test_state_of_the_hours_keeps_its_partitions(spark, scratch, small_readings):
+    """Each partition of the state runs in a task of its own; only the hours that come out are written by one."""
+    small_readings.select("ts", "num_bikes_available", "occupation_rate").write.parquet(f"{scratch}/in")
+    schema, before = spark.read.parquet(f"{scratch}/in").schema, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        query = ingest.hours_to_table(spark.readStream.schema(schema).parquet(f"{scratch}/in"), f"{scratch}/hours", "60 days",
+                                      f"{scratch}/cp", "availableNow")
+        query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(j).stageIds]
+    assert 7 in [s.numTasks for s in stages]
+    assert all(len([f for f in os.listdir(f"{scratch}/hours/{d}") if f.endswith(".parquet")]) == 1
+               for d in os.listdir(f"{scratch}/hours") if d.startswith(ingest.HOURS_BATCH))
+    assert _rows(ingest.read_hours(spark, f"{scratch}/hours").select("bucket", "doc_count")) == \
+        _rows(panels.hourly_line(small_readings).select("bucket", "doc_count"))
+
+
 # ---- completions ---------------------------------------------------------------------------
 def test_completions_equal_the_plain_searches(spark, scratch, small_readings):
     names = TS.name_dimension(small_readings).cache()
