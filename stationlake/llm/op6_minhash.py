@@ -8,18 +8,19 @@ pipeline's stage) with about 7e-5.
 
 1. One pass over the texts gives set size, a 128-bit fingerprint of the set and the bands.
    Rows with equal sets are one class from the start; only its smallest doc_id (node) goes on.
-2. Nodes that share a bucket go on with their full sets (64-bit shingle hashes). In an order
-   of all shingles that puts those of one node only first, two sets with a similarity of t
-   share one of their first (1 - t) n + 1 shingles; every node is filed under those it has
-   in common with others. Mere variants of one text have enough shingles of their own to be
-   filed nowhere, so they cost nothing. "Of one node only" is read from a twice-seen filter
-   of fixed size (:mod:`op10_line_dedup`); its errors only file a node more often.
+2. Nodes that share a bucket go on with their full sets (64-bit shingle hashes). Every hash
+   is sent once to the task of its range of the hashes, which counts it among all sets and
+   sends back a byte. In an order of all shingles from the rarest on, two sets with a
+   similarity of t share one of their first (1 - t) n + 1 shingles; every node is filed under
+   those it has in common with others. Mere variants of one text have enough shingles of their
+   own to be filed nowhere, and common passages come last, so they cost nothing.
 3. In each file, nodes are compared with its hubs: the node with fewest shingles of its own
    (the centre of a group of variants), then the next 4, 16, ... in later rounds, always
    outside the file's largest component. A file rests as soon as its nodes are in one
    component, so a group of g copies costs about g comparisons, and in the end no pair of
    different components in a file is left out. A pair is compared only if the number of their
-   shared shingles, and the numbers by ranges of the hashes, allow a link.
+   shared shingles, and the numbers by ranges of the hashes, allow a link; nodes that no set
+   of their file's sizes could be linked with leave it after the first round.
 4. Candidates are confirmed on the full sets, links are joined into components by smallest
    label with pointer jumping. Tables between rounds are written to the shared folder. No
    step gathers a bucket, a file, a class or the links in one task.
@@ -32,24 +33,24 @@ class of their equals (null where there are none, then kept). Extra columns pass
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationlake.llm.common import DOCUMENT_COLUMNS, WordHashes, column_bytes, mix64, slices, stored, table
-from stationlake.llm.op10_line_dedup import SLICE_SCHEMA, fold, held, merged
 
 SHINGLE, BANDS, ROWS = 5, 24, 5
 MIN_PERCENT = 85                      # of the union, in the intersection: the op6 query
 STAGE_PERCENT = 80                    # the same in the pipeline, which the query's contract doesn't bind
 SALTS, BATCH_BYTES, BLOCK = 16, 4 << 20, 4096
-FILTER_BITS = 1 << 27                 # 16 MB, whatever the input
+BLOCK_HASHES = 1 << 17                # of the sets in a row that goes to be counted
+RANGE_HASHES = 1 << 20                # counted at once by a task, whatever the input
 RANGES = 32                           # of the shared shingles' hashes, counted per node
 PLACE = np.asarray([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                     0xA0761D6478BD642F], np.uint64)  # odd factors of a word's place in its shingle
@@ -122,16 +123,43 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n, hashes (sorted distinct shingle hashes) for the documents of ``nodes``."""
+    """:func:`blocks` of the sorted distinct shingle hashes of the documents of ``nodes``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes(xxhash.xxh3_64_intdigest)
         for b in slices(batches, "text", BATCH_BYTES):
-            sets = [shingle_hashes(words.of(t)).view(np.int64) for t in column_bytes(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(sets, pa.list_(pa.int64()))], ["node", "n", "hashes"])
+            yield from blocks(b.column(0), [shingle_hashes(words.of(t)) for t in column_bytes(b.column(1))])
 
     own = docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(nodes, "node", "left_semi")
-    return own.mapInArrow(run, "node bigint, n bigint, hashes array<bigint>")
+    return own.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def blocks(nodes: pa.Array, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, total, nodes, begins, sizes, hashes) of some ``BLOCK_HASHES`` hashes, or one set, each."""
+    begin = 0
+    while begin < len(sets):
+        end, total = begin + 1, len(sets[begin])
+        while end < len(sets) and total + len(sets[end]) <= BLOCK_HASHES:
+            total += len(sets[end])
+            end += 1
+        own, one = [len(s) for s in sets[begin:end]], pa.array([0, end - begin], pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([uuid.uuid4().bytes], pa.binary()), pa.array([total], pa.int64()),
+             pa.ListArray.from_arrays(one, nodes.slice(begin, end - begin)),
+             pa.ListArray.from_arrays(one, pa.array(np.cumsum([0, *own[:-1]]), pa.int64())),
+             pa.ListArray.from_arrays(one, pa.array(own, pa.int64())),
+             pa.array([np.concatenate(sets[begin:end]).tobytes()], pa.binary())],
+            ["block", "total", "nodes", "begins", "sizes", "hashes"])
+        begin = end
+
+
+BLOCK_SCHEMA = "block binary, total bigint, nodes array<bigint>, begins array<bigint>, sizes array<bigint>, hashes binary"
+
+
+def set_rows(dealt: DataFrame) -> DataFrame:
+    """(node, n, hashes as bytes) of the sets in blocks."""
+    return (dealt.select(F.explode(F.arrays_zip("nodes", "begins", "sizes")).alias("_s"), "hashes")
+            .selectExpr("_s.nodes AS node", "_s.sizes AS n",
+                        "substring(hashes, CAST(8 * _s.begins + 1 AS INT), CAST(8 * _s.sizes AS INT)) AS hashes"))
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
@@ -143,8 +171,76 @@ def shared_buckets(nodes: DataFrame) -> DataFrame:
             .join(several, ["bucket", "_salt"], "left_semi").select("node").distinct())
 
 
-def files(sets: DataFrame, percent: int, bits: int = FILTER_BITS) -> DataFrame:
-    """(key, node, n, own, rest, spread): each node under the shared ones of its first shingles.
+def frequency_class(n: np.ndarray) -> np.ndarray:
+    """1 for what is there once, more for what is there more often; exact up to 16, then four classes per doubling."""
+    return np.where(n <= 16, n, 16 + np.floor(4 * np.log2(np.maximum(n, 16) / 16))).astype(np.uint8)
+
+
+def classed(dealt: DataFrame, parts: int) -> DataFrame:
+    """``dealt`` with ``classes``, rows (part, classes) with the frequency class of each hash among all sets.
+
+    Every hash goes once to the task of its range (one of ``parts``) of the hashes, which counts
+    them all and sends back a byte each, in the order they came. No task holds more than a range.
+    """
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, packed in zip(b.column(0).to_pylist(), b.column(1)):
+                h = _numbers(packed)
+                if not len(h):
+                    continue
+                part = _part(h, parts)
+                order = np.argsort(part, kind="stable")
+                at, begin = np.unique(part[order], return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at, pa.int32()), pa.array([block] * len(at), pa.binary()),
+                     pa.array([x.tobytes() for x in np.split(h[order], begin[1:])], pa.binary())], ["part", "block", "hashes"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for b in batches:
+            of = b.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                if held and of[begin] != part:
+                    yield from answer(part, held)
+                    held = []
+                part = of[begin]
+                held.append(b.slice(begin, end - begin))
+        if held:
+            yield from answer(part, held)
+
+    def answer(part: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = [x for b in held for x in b.column(2).to_pylist()]
+        _, of, n = np.unique(np.frombuffer(b"".join(pieces), np.uint64), return_inverse=True, return_counts=True)
+        found, ends = frequency_class(n)[of].tobytes(), np.cumsum([0, *(len(x) // 8 for x in pieces)]).tolist()
+        answers = pa.array([found[x:y] for x, y in zip(ends, ends[1:])], pa.binary())
+        begin = 0
+        for b in held:
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([part] * b.num_rows, pa.int32()),
+                                              answers.slice(begin, b.num_rows)], ["block", "part", "classes"])
+            begin += b.num_rows
+
+    pieces = dealt.select("block", "hashes").mapInArrow(split, "part int, block binary, hashes binary")
+    answers = (pieces.repartition(parts, "part").sortWithinPartitions("part")
+               .mapInArrow(count, "block binary, part int, classes binary"))
+    return dealt.join(answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "classes"))).alias("classes")), "block")
+
+
+def _numbers(packed: pa.Scalar) -> np.ndarray:
+    """The hashes of a value of bytes, which may be empty."""
+    buffer = packed.as_buffer()
+    return np.frombuffer(buffer, np.uint64) if len(buffer) else np.zeros(0, np.uint64)
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Which of ``parts`` (a power of two) ranges each hash is in."""
+    return (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+
+
+def files(dealt: DataFrame, percent: int, size: int = RANGE_HASHES) -> DataFrame:
+    """(key, node, n, own, rest, spread): each node under the shared ones of its first shingles, rarest first.
 
     ``own``: shingles of this node only, ``rest``: shingles from this one on, which bounds
     what the node can have in common with another node of the file that has none before.
@@ -152,48 +248,59 @@ def files(sets: DataFrame, percent: int, bits: int = FILTER_BITS) -> DataFrame:
     sum of the smaller counts in common, which tells variants of one text apart that lack
     different shingles of it.
     """
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for b in batches:
-            yield pc.list_flatten(b.column(0)).to_numpy().view(np.uint64)
-
-    twice = merged(sets.select("hashes").mapInArrow(lambda batches: fold(hashes(batches), bits), SLICE_SCHEMA), bits)
-    sent = sets.sparkSession.sparkContext.broadcast(twice)
     names = ["key", "node", "n", "own", "rest"]
     kind = ", ".join(f"{c} bigint" for c in names) + ", spread array<int>"
 
+    total = dealt.agg(F.sum("total")).first()[0] or 0
+    parts = 1 << (max(1, -(-total // size)) - 1).bit_length()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = np.frombuffer(sent.value, np.uint8)
         for b in batches:
-            out: list[list[np.ndarray]] = [[] for _ in names]
-            spread: list[np.ndarray] = []
-            for node, hs in zip(b.column(0).to_pylist(), b.column(1)):
-                h = hs.values.to_numpy().view(np.uint64)
-                shared = h[held(packed, h, bits)]
-                n, own = len(h), len(h) - len(shared)
-                first = shared[:max(0, n - (percent * n + 99) // 100 + 1 - own)].view(np.int64)
-                for col, v in zip(out, (first, node, n, own, n - own - np.arange(len(first)))):
-                    col.append(v if isinstance(v, np.ndarray) else np.full(len(first), v, np.int64))
-                by = np.bincount((shared // np.uint64((1 << 64) // RANGES)).astype(np.int64), minlength=RANGES)
-                spread.append(np.tile(by.astype(np.int32), len(first)))
-            flat = np.concatenate(spread)
-            cut = pa.array(np.arange(0, len(flat) + 1, RANGES, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c), pa.int64()) for c in out),
-                                              pa.ListArray.from_arrays(cut, pa.array(flat))], [*names, "spread"])
-
-    rows = sets.select("node", "hashes").mapInArrow(run, kind)
-    rows = stored(rows, "files")
-    several = (rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-               .filter("lo < hi").select("key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
-    return (rows.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-            .join(several, ["key", "_salt"], "left_semi").select(*names, "spread"))
+            for i in range(b.num_rows):
+                out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
+                spread: list[np.ndarray] = [np.zeros(0, np.int32)]
+                flat, ends = _numbers(b.column(2)[i]), np.cumsum(b.column(1)[i].as_py())
+                found = np.frombuffer(b"".join(p["classes"] for p in b.column(3)[i].as_py()), np.uint8)
+                if len(found) != len(flat):
+                    raise ValueError(f"{len(found)} frequency classes of {len(flat)} shingles")
+                classes = np.empty(len(flat), np.uint8)
+                classes[np.argsort(_part(flat, parts), kind="stable")] = found
+                for node, begin, end in zip(b.column(0)[i].as_py(), np.append(0, ends[:-1]), ends):
+                    h, often = flat[begin:end], classes[begin:end]
+                    more = often > 1
+                    shared, n = h[more], len(h)
+                    own = n - len(shared)
+                    most = max(0, n - (percent * n + 99) // 100 + 1 - own)
+                    if not most or not len(shared):
+                        continue
+                    first = shared[np.argsort(often[more], kind="stable")][:most].view(np.int64)
+                    for col, v in zip(out, (first, node, n, own, n - own - np.arange(len(first)))):
+                        col.append(v if isinstance(v, np.ndarray) else np.full(len(first), v, np.int64))
+                    by = np.bincount((shared // np.uint64((1 << 64) // RANGES)).astype(np.int64), minlength=RANGES)
+                    spread.append(np.tile(by.astype(np.int32), len(first)))
+                flat = np.concatenate(spread)
+                cut = pa.array(np.arange(0, len(flat) + 1, RANGES, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c), pa.int64()) for c in out),
+                                                  pa.ListArray.from_arrays(cut, pa.array(flat))], [*names, "spread"])
+
+    return classed(dealt, parts).select("nodes", "sizes", "hashes", "classes").mapInArrow(run, kind)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
-    """Pairs (a, b) whose full sets share ``percent`` of their union."""
-    x = sets.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("hashes").alias("_ha"))
-    y = sets.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("hashes").alias("_hb"))
-    both = pairs.join(x, "a").join(y, "b").withColumn("_both", F.size(F.array_intersect("_ha", "_hb")))
-    return both.filter(100 * F.col("_both") >= percent * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
+    """Pairs (a, b) whose full sets share ``percent`` of their union; ``pairs`` is read several times."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            linked = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = _numbers(x), _numbers(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield b.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets.select("node", "hashes").join(ends, "node", "left_semi")
+    x, y = (sets.withColumnsRenamed({"node": c, "hashes": f"_{c}"}) for c in ("a", "b"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -213,6 +320,29 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _enough(common: Column, sizes: Column, percent: int) -> Column:
+    """Whether ``common`` shingles are ``percent`` of the union of two sets with ``sizes`` together."""
+    return (100 + percent) * common >= percent * sizes
+
+
+def _open(filed: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``filed`` with label and the file's largest component (_main), where a file has several components.
+
+    The largest needs no hubs: those of all others meet it. Entries go that have too few
+    shingles left even for the smallest set of their file.
+    """
+    named = (filed.join(labels.withColumnRenamed("id", "node"), "node", "left")
+             .select(*filed.columns, F.coalesce("label", "node").alias("label")))
+    open_ = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"), F.max("own").alias("_own"), F.min("n").alias("_least"))
+             .groupBy("key").agg(F.max(F.struct("_n", "_own", "label")).alias("_most"), F.count(F.lit(1)).alias("_labels"),
+                                 F.min("_least").alias("_least"))
+             .filter("_labels > 1")
+             .select("key", F.col("_most.label").alias("_main"), "_least",
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
+    return (named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(open_, ["key", "_salt"])
+            .filter(_enough(F.col("rest"), F.col("n") + F.col("_least"), percent)).drop("_salt", "_least"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs`` (doc_id, text)."""
     sigs = stored(signatures(docs), "signatures")
@@ -225,37 +355,35 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     same_id = (members.join(several, "doc_id", "left_semi").join(classes.select("fingerprint", "node"), "fingerprint")
                .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     nodes = shared_buckets(classes.filter("node IS NOT NULL"))
-    sets = stored(full_sets(docs, nodes), "sets")
-    filed = stored(files(sets, percent), "filed")
+    dealt = stored(full_sets(docs, nodes), "sets")
+    sets = set_rows(dealt)
+    filed = stored(files(dealt, percent), "filed")
     links = stored(same_id, "links")
     labels = components(links)
     hubs = 1
     while True:
-        named = (filed.join(labels.withColumnRenamed("id", "node"), "node", "left")
-                 .select(*filed.columns, F.coalesce("label", "node").alias("label")))
-        # the largest component of a file needs no hubs: those of all others meet it
-        open_ = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"), F.max("own").alias("_own"))
-                 .groupBy("key").agg(F.max(F.struct("_n", "_own", "label")).alias("_most"), F.count(F.lit(1)).alias("_labels"))
-                 .filter("_labels > 1")
-                 .select("key", F.col("_most.label").alias("_main"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")))
-        named = stored(named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int"))
-                       .join(open_, ["key", "_salt"]).drop("_salt"), "open")
-        if not named.limit(1).count():
-            break
-        first = (named.filter("label <> _main")
-                 .withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("own", "node")))
+        if hubs == 1:  # of every file; its nodes are components of their own, or compared once too often
+            named = filed.withColumn("label", F.col("node"))
+            first = named
+        else:
+            named = stored(_open(filed, labels, percent), "open")
+            if not named.limit(1).count():
+                break
+            first = named.filter("label <> _main")
+        first = (first.withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("own", "node")))
                  .filter(F.col("_r") <= hubs)
                  .select("key", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("rest").alias("_rest"),
                          F.col("spread").alias("_spread"), F.col("label").alias("_label")))
-        spread = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        most = F.least("rest", "_rest")
+        first = stored(first, "hubs")
+        salts = 1 if hubs == 1 else SALTS  # one hub a file: the files' rows would outnumber the nodes, and Spark splits hot ones
+        spread = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         common = F.aggregate(F.zip_with("spread", "_spread", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-        pairs = (named.withColumn("_salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(spread, ["key", "_salt"])
+        pairs = (named.withColumn("_salt", F.pmod("node", F.lit(salts)).cast("int")).join(spread, ["key", "_salt"])
                  .filter((F.col("_label") != F.col("label")) & (F.col("a") != F.col("node"))
-                         & (100 * most >= percent * (F.col("n") + F.col("_n") - most))
-                         & (100 * common >= percent * (F.col("n") + F.col("_n") - common)))
+                         & _enough(F.least("rest", "_rest"), F.col("n") + F.col("_n"), percent)
+                         & _enough(common, F.col("n") + F.col("_n"), percent))
                  .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-        new = stored(confirm(pairs, sets, percent), "links")
+        new = stored(confirm(stored(pairs, "pairs"), sets, percent), "links")
         if new.limit(1).count():
             links = links.union(new)
             labels = components(links)
